@@ -1,0 +1,5 @@
+"""Nothing is built here: the workload has no streams.
+
+Late data is handled in batch, by exporting the day that lies seven days back
+(``plans.exports.daily_event_export``) and by replacing whole days or months.
+"""

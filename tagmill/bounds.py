@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,3 +29,16 @@ def bounded_values(df: DataFrame, column: str | Column, limit: int, what: str) -
 def fits(df: DataFrame, limit: int) -> bool:
     """Whether ``df`` has at most ``limit`` rows; reads no more than it must."""
     return df.limit(limit + 1).count() <= limit
+
+
+def held(df: DataFrame, limit: int) -> tuple[DataFrame, list | None]:
+    """``df`` as a local relation with its rows, or ``df`` itself and None when it is larger.
+
+    For text columns.  A rule map held this way is read once per job, not once
+    per use.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df, None
+    columns = {c: pa.array([row[c] for row in rows], pa.string()) for c in df.columns}
+    return df.sparkSession.createDataFrame(pa.table(columns)), rows

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tagmill.functions.text import quoted
 
@@ -17,10 +18,23 @@ PUBLISHED = {
 }
 
 
+# Texts worth a cast to each numeric type.  Spark's try_cast builds an exception for
+# every other text, which costs far more than this test.
+NUMERIC_TEXT = {
+    "bigint": r"^\s*[+-]?[0-9]+\s*$",
+    "int": r"^\s*[+-]?[0-9]+\s*$",
+    "double": r"(?i)[0-9]|nan|inf",
+}
+
+
 def cast_wide(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """Cast each column by its source type name; bad values become NULL."""
     cols = []
-    for name in df.columns:
+    for name, field in zip(df.columns, df.schema):
         to = PUBLISHED.get(kinds.get(name, ""), "string")
-        cols.append(F.col(quoted(name)).try_cast(to).alias(name))
+        col = F.col(quoted(name))
+        cast = col.try_cast(to)
+        if field.dataType == StringType() and to in NUMERIC_TEXT:
+            cast = F.when(col.rlike(NUMERIC_TEXT[to]), cast)
+        cols.append(cast.alias(name))
     return df.select(*cols)

@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 
 from tagmill.bounds import TooLarge, bounded_rows, fits
 from tagmill.functions.text import clean_label, grams, needle
+from tagmill.operators.skew import spread_join
+from tagmill.session import materialize
 
 # Rules compared one by one with every text, on a broadcast copy.
 NESTED_RULES = 1_000
+# Rules looked up by substring on a broadcast copy; more are joined by a shuffle.
+BROADCAST_RULES = 200_000
 # Characters of the substring that joins a long rule to the texts holding it.
 GRAM = 4
 
@@ -56,7 +60,12 @@ def _holds(text: Column) -> Column:
 
 
 def rule_hits(
-    texts: DataFrame, text: str, rules: DataFrame, strategy: str = "auto", keep_unmatched: bool = False
+    texts: DataFrame,
+    text: str,
+    rules: DataFrame,
+    strategy: str = "auto",
+    keep_unmatched: bool = False,
+    counted: bool = False,
 ) -> DataFrame:
     """``texts`` with the columns of each rule its ``text`` satisfies.
 
@@ -64,10 +73,11 @@ def rule_hits(
     shuffle, and the broadcast rules are counted first.  ``gram`` is an equi join
     for rule maps beyond that size: each rule is looked up by its rarest
     substring, and the few candidates are checked in full.  Both are exact.
+    ``counted`` says that the caller has found at most ``NESTED_RULES`` rules.
     """
     if strategy == "auto":
         strategy = "nested" if fits(rules, NESTED_RULES) else "gram"
-    elif strategy == "nested" and not fits(rules, NESTED_RULES):
+    elif strategy == "nested" and not counted and not fits(rules, NESTED_RULES):
         raise TooLarge(f"more than {NESTED_RULES} rules; use strategy='gram'")
     if strategy == "nested":
         return texts.join(F.broadcast(rules), _holds(F.col(text)), "left" if keep_unmatched else "inner").drop(
@@ -83,6 +93,8 @@ def rule_hits(
 
 def _gram_hits(texts: DataFrame, text: str, rules: DataFrame) -> DataFrame:
     anchors = _anchors(rules)
+    if fits(anchors, BROADCAST_RULES):
+        anchors = F.broadcast(anchors)
     sizes = bounded_rows(anchors.select(F.length("gram").alias("n")).distinct(), GRAM + 1, "gram sizes")
     found = F.flatten(F.array(*[grams(F.col(text), row.n) for row in sizes])) if sizes else F.array(F.lit(""))
     return (
@@ -118,27 +130,27 @@ def match_rules(
     strategy: str = "auto",
     dedupe: bool = True,
     keep_unmatched: bool = False,
+    counted: bool = False,
 ) -> DataFrame:
     """``(key, label, ...)`` per hit of a cleaned rule map; repeats are possible.
 
     ``row`` tests the URLs of a row joined without a separator, so a needle may
     span two of them; ``url`` tests each URL alone.  With ``dedupe`` a URL that
-    many users visited is tested once and joined back, where the adaptive skew
-    join splits a URL that holds a large share of the visits.  ``keep_unmatched``
-    adds users without a hit, label NULL.
+    many users visited is tested once and joined back; without it every visit is
+    tested where it lies, which needs no shuffle.  ``keep_unmatched`` adds users
+    without a hit, label NULL.
     """
     payload = [c for c in rules.columns if c not in ("needle", "pattern")]
-    if scope == "row":
-        texts = users.select(key, F.array_join(urls, "").alias("text"))
-        return rule_hits(texts, "text", rules, strategy, keep_unmatched).select(key, *payload)
-    if scope != "url":
+    if scope not in ("row", "url"):
         raise ValueError(f"scope {scope!r}")
-    if not dedupe:
-        texts = users.select(key, F.explode_outer(urls).alias("text"))
-        return rule_hits(texts, "text", rules, strategy, keep_unmatched).select(key, *payload)
-    visits = users.select(key, F.explode(urls).alias("text")).where(F.col("text").isNotNull())
-    hits = rule_hits(visits.select("text").distinct(), "text", rules, strategy)
-    pairs = visits.join(hits, "text").select(key, *payload)
+    if scope == "row" or not dedupe:
+        joined = F.array_join(urls, "") if scope == "row" else F.explode_outer(urls)
+        texts = users.select(key, joined.alias("text"))
+        return rule_hits(texts, "text", rules, strategy, keep_unmatched, counted).select(key, *payload)
+    visits = users.select(key, F.explode(urls).alias("text")).where(F.col("text").isNotNull()).distinct()
+    texts = visits.groupBy("text").agg(F.count(F.lit(1)).alias("_users"))
+    hits = materialize(rule_hits(texts, "text", rules, strategy, counted=counted), "url-hits")
+    pairs = spread_join(visits, hits, "text", "_users", key).select(key, *payload)
     if keep_unmatched:
         pairs = pairs.unionByName(users.select(key), allowMissingColumns=True)
     return pairs

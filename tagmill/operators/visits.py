@@ -35,12 +35,12 @@ def user_url_lists(
     if not 0 <= overlap <= list_urls:
         raise ValueError("overlap must lie between 0 and list_urls")
     rows = visits.select(key, F.col(order).alias("_seq"), F.col(url).alias("_url"))
-    full = rows.where(F.col("_url") != "")
-    sizes = full.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = sizes.where(F.col("_n") > list_urls)
+    heavy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > list_urls)
+    heavy = materialize(heavy, "heavy-users")
     total = heavy.agg(F.sum("_n")).first()[0]
     if total is None:
         return _whole_lists(rows, key)
+    full = rows.where(F.col("_url") != "")
     same = F.col(f"r.{key}").eqNullSafe(F.col(f"h.{key}"))
     light = rows.alias("r").join(heavy.alias("h"), same, "left_anti")
     ranged = materialize(
@@ -54,7 +54,11 @@ def user_url_lists(
     into = F.col("_rn") - 1 - at * list_urls
     parts = F.when((at > 0) & (into < overlap), F.array(at, at - 1)).otherwise(F.array(at))
     cut = _numbered(ranged, key).withColumn("part", F.explode(parts))
-    return _whole_lists(light, key).unionByName(cut.groupBy(key, "part").agg(_collected()))
+    seen = ranged.select(key).distinct()
+    blank = heavy.alias("r").join(seen.alias("h"), same, "left_anti").select(
+        key, F.lit(0).cast("bigint").alias("part"), F.array().cast("array<string>").alias("dollar_url_list")
+    )
+    return _whole_lists(light, key).unionByName(cut.groupBy(key, "part").agg(_collected())).unionByName(blank)
 
 
 def _numbered(ranged: DataFrame, key: str) -> DataFrame:

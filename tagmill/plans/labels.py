@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagmill.bounds import bounded_values
+from tagmill.bounds import bounded_values, held
 from tagmill.operators.casetags import product_partition, product_rules, with_tags
 from tagmill.operators.flags import (
     MAX_LABELS,
@@ -16,7 +16,7 @@ from tagmill.operators.flags import (
     with_masks,
 )
 from tagmill.operators.interest import interest_wide
-from tagmill.operators.rules import clean_rules, match_rules
+from tagmill.operators.rules import NESTED_RULES, clean_rules, match_rules
 from tagmill.operators.visits import LIST_URLS, user_url_lists
 from tagmill.session import materialize
 from tagmill.sinks.jdbc import write_snapshot
@@ -50,16 +50,22 @@ def product_labels(
     if on_unknown not in ("add", "drop", "error"):
         raise ValueError(f"on_unknown {on_unknown!r}")
     labels = dictionary_labels(dictionary)
-    cleaned = clean_rules(rules, mode)
+    cleaned, held_rows = held(clean_rules(rules, mode), NESTED_RULES)
     strange = []
     if on_unknown != "drop":
-        known = dictionary.select(F.upper("product_label").alias("label"))
-        outside = cleaned.join(known, "label", "left_anti")
-        strange = bounded_values(outside, "label", MAX_LABELS, "labels outside the dictionary")
+        if held_rows is not None:
+            named = {row.label for row in held_rows}
+        else:
+            named = set(bounded_values(cleaned, "label", MAX_LABELS, "labels of the rule map"))
+        strange = sorted(named - set(labels))
         if strange and on_unknown == "error":
             raise ValueError(f"labels outside the dictionary: {', '.join(strange)}")
+    if matching.get("strategy", "auto") == "auto":
+        matching["strategy"] = "gram" if held_rows is None else "nested"
     every = labels + strange
-    hits = match_rules(users, with_masks(cleaned, every), key=key, keep_unmatched=True, **matching)
+    hits = match_rules(
+        users, with_masks(cleaned, every), key=key, keep_unmatched=True, counted=held_rows is not None, **matching
+    )
     merged = merge_masks(hits, key, every)
     if strange:
         merged = materialize(merged, "label-masks")
@@ -90,10 +96,14 @@ def product_labels_of_visits(
     if options.get("scope", "row") == "url":
         single = visits.select(key, F.array(url).alias("dollar_url_list"))
         return product_labels(single, rules, dictionary, key=key, **options)
-    longest = clean_rules(rules).agg(F.max(F.length("needle"))).first()[0] or 0
+    cleaned, held_rows = held(rules.select("transfer_rule", "value").distinct(), NESTED_RULES)
+    if held_rows is None:
+        longest = clean_rules(cleaned).agg(F.max(F.length("needle"))).first()[0] or 0
+    else:
+        longest = max((len(row.transfer_rule.replace("%", "")) for row in held_rows if row.transfer_rule), default=0)
     overlap = max(0, longest - 1)
     lists = user_url_lists(visits, key, order, url, max(list_urls, overlap), overlap)
-    return product_labels(lists, rules, dictionary, key=key, **options)
+    return product_labels(lists, cleaned, dictionary, key=key, **options)
 
 
 def label_snapshot(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,12 +28,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small(spark: SparkSession, rows, names: list[str]) -> DataFrame:
+    """A few rows of text, such as a rule map, as a local relation."""
+    return spark.createDataFrame(pa.table(dict(zip(names, map(list, zip(*rows))))))
+
+
 def rule_map(spark: SparkSession, rules=None) -> DataFrame:
-    return spark.createDataFrame(rules or RULES, "transfer_rule string, value string")
+    return small(spark, rules or RULES, ["transfer_rule", "value"])
 
 
 def dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LABELS, "product_label string, product_label2 string")
+    return small(spark, LABELS, ["product_label", "product_label2"])
 
 
 def visits(spark: SparkSession, folder: str) -> DataFrame:

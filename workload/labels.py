@@ -12,7 +12,7 @@ from tagmill.operators.visits import user_url_lists
 from tagmill.plans.labels import product_labels_of_visits, product_tag_partition
 from tagmill.session import scratch_path
 from tagmill.sinks.runlog import read_log, replace_log
-from workload.inputs import dictionary, rule_map, scratch_table, table, visits, written
+from workload.inputs import dictionary, rule_map, scratch_table, small, table, visits, written
 
 LIKE_RULES = [
     ("https://%.net/%", "secure net"),
@@ -29,9 +29,7 @@ CODE_MAP = [
     ("Sites", "url", "%//m.%", "mobile", "site-01", "2024-01-03"),
     ("Sites", "url", "%//www.%", "mobile", "site-01", "2024-01-03"),
 ]
-CODE_MAP_SCHEMA = (
-    "product_label string, mapping_col string, transfer_rule string, value string, product_type string, dt string"
-)
+CODE_MAP_COLUMNS = ["product_label", "mapping_col", "transfer_rule", "value", "product_type", "dt"]
 
 
 def _label_flags(spark, folder, **options):
@@ -117,7 +115,7 @@ def label_dictionary_upper(spark, folder):
 
 
 def _code_map(spark):
-    return spark.createDataFrame(CODE_MAP, CODE_MAP_SCHEMA)
+    return small(spark, CODE_MAP, CODE_MAP_COLUMNS)
 
 
 def user_tag_case(spark, folder):

@@ -33,12 +33,12 @@ def decode_label(label: Column | str) -> Column | str:
     return reduce(lambda c, code: F.replace(c, F.lit(code[0]), F.lit(code[1])), LABEL_CODES, label)
 
 
-def grams(text: Column, size: int) -> Column:
-    """All substrings of ``size`` characters; empty array when there is none."""
-    if size == 0:
-        return F.array(F.lit(""))
-    last = F.length(text) - F.lit(size - 1)
-    cut = F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(size)))
+def grams(text: Column, size: Column | int, step: Column | int = 1) -> Column:
+    """Substrings of ``size`` characters at every ``step``-th place; empty when there is none."""
+    size = F.lit(size) if isinstance(size, int) else size
+    step = F.lit(step) if isinstance(step, int) else step
+    last = F.length(text) - size + 1
+    cut = F.transform(F.sequence(F.lit(1), last, step), lambda i: F.substring(text, i, size))
     return F.when(last >= 1, cut).otherwise(F.array().cast("array<string>"))
 
 

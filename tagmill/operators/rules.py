@@ -19,8 +19,10 @@ from tagmill.session import materialize
 NESTED_RULES = 1_000
 # Rules looked up by substring on a broadcast copy; more are joined by a shuffle.
 BROADCAST_RULES = 200_000
-# Characters of the substring that joins a long rule to the texts holding it.
-GRAM = 4
+# How a needle is looked up, by its least length: substrings of that size are taken
+# from texts at every step-th place, so ``step`` neighbouring ones of the needle
+# meet each place it can stand at.  A shorter needle is looked up whole.
+LOOKUPS = ((11, 6, 6), (7, 4, 4), (4, 4, 1))
 
 
 def clean_rules(rules: DataFrame, mode: str = "contains") -> DataFrame:
@@ -72,7 +74,8 @@ def rule_hits(
     ``nested`` compares every text with every rule where the text lies: no
     shuffle, and the broadcast rules are counted first.  ``gram`` is an equi join
     for rule maps beyond that size: each rule is looked up by its rarest
-    substring, and the few candidates are checked in full.  Both are exact.
+    substrings, and the few candidates are checked in full, which may list a hit
+    more than once.  Both are exact.
     ``counted`` says that the caller has found at most ``NESTED_RULES`` rules.
     """
     if strategy == "auto":
@@ -93,31 +96,45 @@ def rule_hits(
 
 def _gram_hits(texts: DataFrame, text: str, rules: DataFrame) -> DataFrame:
     anchors = _anchors(rules)
+    cuts = bounded_rows(anchors.select("_size", "_step").distinct(), 8, "substring sizes")
     if fits(anchors, BROADCAST_RULES):
         anchors = F.broadcast(anchors)
-    sizes = bounded_rows(anchors.select(F.length("gram").alias("n")).distinct(), GRAM + 1, "gram sizes")
-    found = F.flatten(F.array(*[grams(F.col(text), row.n) for row in sizes])) if sizes else F.array(F.lit(""))
+    found = F.array_distinct(F.flatten(F.array(*[grams(F.col(text), c[0], c[1]) for c in cuts])))
     return (
-        texts.select("*", F.explode(F.array_distinct(found)).alias("gram"))
-        .join(anchors, "gram")
+        texts.select("*", F.explode(found if cuts else F.array(F.lit(""))).alias("_gram"))
+        .join(anchors.drop("_size", "_step"), "_gram")
         .where(_holds(F.col(text)))
-        .drop("gram", "needle", "pattern")
+        .drop("_gram", "needle", "pattern")
     )
 
 
 def _anchors(rules: DataFrame) -> DataFrame:
-    """Rules with the one substring each is looked up by: its rarest among all rules."""
-    size = F.least(F.length("needle"), F.lit(GRAM))
-    whole = rules.where(size < GRAM).withColumn("gram", F.col("needle"))
-    cut = rules.where(size == GRAM)
-    parts = cut.select("needle", F.explode(F.array_distinct(grams(F.col("needle"), GRAM))).alias("gram")).distinct()
-    uses = parts.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
-    rarest = (
-        parts.join(uses, "gram")
-        .groupBy("needle")
-        .agg(F.min(F.struct("uses", "gram"))["gram"].alias("gram"))
+    """A row per rule and substring it is looked up by: its rarest run of neighbours."""
+    size, step = F.length("needle"), F.lit(1)
+    for least, at_size, at_step in reversed(LOOKUPS):
+        long_enough = F.length("needle") >= least
+        size = F.when(long_enough, at_size).otherwise(size)
+        step = F.when(long_enough, at_step).otherwise(step)
+    sized = rules.select("needle").distinct().withColumns({"_size": size, "_step": step})
+    parts = sized.select(
+        "needle", "_size", "_step", F.posexplode(grams(F.col("needle"), F.col("_size"))).alias("_at", "_gram")
     )
-    return whole.unionByName(cut.join(rarest, "needle"))
+    uses = parts.groupBy("_gram").agg(F.count(F.lit(1)).alias("_uses"))
+    placed = F.array_sort(F.collect_list(F.struct("_at", "_gram", "_uses"))).alias("_parts")
+    known = parts.join(uses, "_gram").groupBy("needle", "_size", "_step").agg(placed)
+    run = F.slice("_parts", F.col("_from") + 1, F.col("_step"))
+    runs = F.transform(
+        F.sequence(F.lit(0), F.size("_parts") - F.col("_step")),
+        lambda i: F.struct(
+            F.aggregate(
+                F.slice("_parts", i + 1, F.col("_step")), F.lit(0).cast("bigint"), lambda n, p: n + p["_uses"]
+            ).alias("n"),
+            i.alias("at"),
+        ),
+    )
+    chosen = known.withColumn("_from", F.array_min(runs)["at"])
+    anchors = chosen.select("needle", "_size", "_step", F.explode(F.array_distinct(F.transform(run, lambda p: p["_gram"]))).alias("_gram"))
+    return rules.join(anchors, "needle")
 
 
 def match_rules(
@@ -128,17 +145,17 @@ def match_rules(
     urls: str = "dollar_url_list",
     scope: str = "row",
     strategy: str = "auto",
-    dedupe: bool = True,
+    dedupe: bool = False,
     keep_unmatched: bool = False,
     counted: bool = False,
 ) -> DataFrame:
     """``(key, label, ...)`` per hit of a cleaned rule map; repeats are possible.
 
     ``row`` tests the URLs of a row joined without a separator, so a needle may
-    span two of them; ``url`` tests each URL alone.  With ``dedupe`` a URL that
-    many users visited is tested once and joined back; without it every visit is
-    tested where it lies, which needs no shuffle.  ``keep_unmatched`` adds users
-    without a hit, label NULL.
+    span two of them; ``url`` tests each URL alone.  Every visit is tested where it
+    lies, without a shuffle; with ``dedupe`` a URL is tested once for all its
+    visitors and joined back, which pays when URLs repeat much and rules are many.
+    ``keep_unmatched`` adds users without a hit, label NULL.
     """
     payload = [c for c in rules.columns if c not in ("needle", "pattern")]
     if scope not in ("row", "url"):
@@ -149,7 +166,7 @@ def match_rules(
         return rule_hits(texts, "text", rules, strategy, keep_unmatched, counted).select(key, *payload)
     visits = users.select(key, F.explode(urls).alias("text")).where(F.col("text").isNotNull()).distinct()
     texts = visits.groupBy("text").agg(F.count(F.lit(1)).alias("_users"))
-    hits = materialize(rule_hits(texts, "text", rules, strategy, counted=counted), "url-hits")
+    hits = materialize(rule_hits(texts, "text", rules, strategy, counted=counted).distinct(), "url-hits")
     pairs = spread_join(visits, hits, "text", "_users", key).select(key, *payload)
     if keep_unmatched:
         pairs = pairs.unionByName(users.select(key), allowMissingColumns=True)

@@ -10,15 +10,19 @@ def _day(table: DataFrame, day: str, dt: str) -> DataFrame:
     return table.where(F.col(dt) == F.lit(day).cast(table.schema[dt].dataType))
 
 
+# How NULL is spelt in tab-separated files; an empty field is an empty text (fixed value).
+TSV_NULL = "\\N"
+# Wall times with all their digits.
+_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def export_tsv(table: DataFrame, path: str, day: str | None = None, dt: str = "dt") -> None:
     """Tab-separated, no header; one day or, without ``day``, everything."""
-    (_day(table, day, dt) if day else table).write.mode("overwrite").option("sep", "\t").option(
-        "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    ).csv(path)
+    rows = _day(table, day, dt) if day else table
+    rows.write.mode("overwrite").options(sep="\t", nullValue=TSV_NULL, **_TIMES).csv(path)
 
 
 def export_csv(table: DataFrame, path: str, day: str | None = None, dt: str = "dt") -> None:
-    """Comma-separated with a header; one day or, without ``day``, everything."""
-    (_day(table, day, dt) if day else table).write.mode("overwrite").option("header", True).option(
-        "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    ).csv(path)
+    """Comma-separated with a header; NULL is an empty field, an empty text is quoted."""
+    rows = _day(table, day, dt) if day else table
+    rows.write.mode("overwrite").options(header=True, **_TIMES).csv(path)

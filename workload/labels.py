@@ -45,11 +45,11 @@ def product_label_flags_cut_lists(spark, folder):
 
 
 def product_label_flags_url_scope(spark, folder):
-    return _label_flags(spark, folder, scope="url")
+    return _label_flags(spark, folder, scope="url", dedupe=True)
 
 
 def product_label_flags_per_visit(spark, folder):
-    return _label_flags(spark, folder, scope="url", dedupe=False)
+    return _label_flags(spark, folder, scope="url")
 
 
 def product_label_flags_known_only(spark, folder):

@@ -74,7 +74,7 @@ def slice_export_tsv(spark, folder):
     orders = table(spark, folder, "orders")
     path = scratch_path(spark, "tsv")
     files.export_tsv(orders, path, "1998-03-02", "o_orderdate")
-    return spark.read.schema(orders.schema).option("sep", "\t").csv(path)
+    return spark.read.schema(orders.schema).options(sep="\t", nullValue=files.TSV_NULL).csv(path)
 
 
 def slice_export_csv(spark, folder):

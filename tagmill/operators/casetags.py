@@ -27,7 +27,8 @@ def product_partition(code_map: DataFrame) -> tuple[str, str]:
     """The single ``(product_type, dt)`` of a product's rules."""
     found = code_map.select("product_type", "dt").distinct().limit(2).collect()
     if len(found) != 1:
-        raise ValueError("the rules of a product must share one product_type and dt" if found else "no rule for this product")
+        problem = "the rules of a product must share one product_type and dt" if found else "no rule for this product"
+        raise ValueError(problem)
     return found[0].product_type, found[0].dt
 
 

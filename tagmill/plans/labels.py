@@ -25,6 +25,9 @@ from tagmill.sinks.runlog import log_run
 from tagmill.sources.jdbc import Connection
 from tagmill.sources.tables import run_template
 
+# Rules read once to the driver and kept there; a larger map stays a DataFrame.
+HELD_RULES = 10_000
+
 # Published name of the interest table, before its date (fixed value).
 INTEREST_TABLE = "興趣_大類_濃度及細類"
 
@@ -50,7 +53,7 @@ def product_labels(
     if on_unknown not in ("add", "drop", "error"):
         raise ValueError(f"on_unknown {on_unknown!r}")
     labels = dictionary_labels(dictionary)
-    cleaned, held_rows = held(clean_rules(rules, mode), NESTED_RULES)
+    cleaned, held_rows = held(clean_rules(rules, mode), HELD_RULES)
     strange = []
     if on_unknown != "drop":
         if held_rows is not None:
@@ -60,11 +63,12 @@ def product_labels(
         strange = sorted(named - set(labels))
         if strange and on_unknown == "error":
             raise ValueError(f"labels outside the dictionary: {', '.join(strange)}")
+    few = held_rows is not None and len(held_rows) <= NESTED_RULES
     if matching.get("strategy", "auto") == "auto":
-        matching["strategy"] = "gram" if held_rows is None else "nested"
+        matching["strategy"] = "nested" if few else "gram"
     every = labels + strange
     hits = match_rules(
-        users, with_masks(cleaned, every), key=key, keep_unmatched=True, counted=held_rows is not None, **matching
+        users, with_masks(cleaned, every), key=key, keep_unmatched=True, counted=few, **matching
     )
     merged = merge_masks(hits, key, every)
     if strange:
@@ -96,7 +100,7 @@ def product_labels_of_visits(
     if options.get("scope", "row") == "url":
         single = visits.select(key, F.array(url).alias("dollar_url_list"))
         return product_labels(single, rules, dictionary, key=key, **options)
-    cleaned, held_rows = held(rules.select("transfer_rule", "value").distinct(), NESTED_RULES)
+    cleaned, held_rows = held(rules.select("transfer_rule", "value").distinct(), HELD_RULES)
     if held_rows is None:
         longest = clean_rules(cleaned).agg(F.max(F.length("needle"))).first()[0] or 0
     else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.sinks.partitions import overwrite_paths
@@ -22,6 +22,13 @@ def read_log(spark, path: str) -> DataFrame:
 
 def log_run(spark, path: str, task_id: str, run_date: str, hive_db: str, target_table: str, row_count: int) -> None:
     """Log one finished run; call it last, after its rows are written."""
-    values = (task_id, F.lit(run_date).cast("date"), hive_db, target_table, F.lit(row_count).cast("bigint"))
-    entry = spark.range(1).select(*[(v if isinstance(v, Column) else F.lit(v)).alias(c) for c, v in zip(COLUMNS, values)])
-    replace_log(entry, path)
+    replace_log(
+        spark.range(1).select(
+            F.lit(task_id).alias("task_id"),
+            F.lit(run_date).cast("date").alias("run_date"),
+            F.lit(hive_db).alias("hive_db"),
+            F.lit(target_table).alias("target_table"),
+            F.lit(row_count).cast("bigint").alias("row_count"),
+        ),
+        path,
+    )

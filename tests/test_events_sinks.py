@@ -55,7 +55,8 @@ def test_dedup_treats_nulls_as_equal(spark):
 
 
 def test_typed_wide(spark):
-    df = spark.createDataFrame([(" 7 ", "1e3", "x", True), ("1.5", "nan", "y", False)], "i string, f string, s string, b boolean")
+    values = [(" 7 ", "1e3", "x", True), ("1.5", "nan", "y", False)]
+    df = spark.createDataFrame(values, "i string, f string, s string, b boolean")
     got = types.cast_wide(df, {"i": "int64", "f": "float64", "s": "int32", "b": "bool"})
     assert [t for _, t in got.dtypes] == ["bigint", "double", "int", "string"]
     first, second = got.collect()
@@ -92,8 +93,8 @@ def test_replace_day_refuses_other_days(spark, tmp_path):
 
 def test_run_log_keeps_one_row_per_task_and_date(spark, tmp_path):
     log = str(tmp_path / "log")
-    for task, day, count in (("a", "2024-01-01", 1), ("a", "2024-01-02", 2), ("b", "2024-01-01", 3), ("a", "2024-01-01", 9)):
-        runlog.log_run(spark, log, task, day, "db", "t", count)
+    for task, day, count in (("a", 1, 1), ("a", 2, 2), ("b", 1, 3), ("a", 1, 9)):
+        runlog.log_run(spark, log, task, f"2024-01-0{day}", "db", "t", count)
     assert sorted((r.task_id, str(r.run_date), r.row_count) for r in runlog.read_log(spark, log).collect()) == [
         ("a", "2024-01-01", 9),
         ("a", "2024-01-02", 2),
@@ -102,8 +103,8 @@ def test_run_log_keeps_one_row_per_task_and_date(spark, tmp_path):
 
 
 def test_product_tags_without_rows_keep_the_partition_and_log_zero(spark, tmp_path):
-    rules = spark.createDataFrame([("P", "url", "%a%", "v", "t1", "2024-01-01")],
-                                  "product_label string, mapping_col string, transfer_rule string, value string, product_type string, dt string")
+    names = ["product_label", "mapping_col", "transfer_rule", "value", "product_type", "dt"]
+    rules = spark.createDataFrame([("P", "url", "%a%", "v", "t1", "2024-01-01")], names)
     run = {"task_id": "t", "run_date": "2024-01-02", "log_path": str(tmp_path / "log"), "product_label2": "second"}
     source = spark.createDataFrame([("abc",), ("xyz",)], "url string")
     assert product_tag_partition(source, rules, "p", "tags", **run) == 2

@@ -4,7 +4,7 @@ from tagmill.functions.text import decode_label, unique_names
 from tagmill.operators import casetags as C
 from tagmill.operators import interest as I
 
-CODE_MAP = "product_label string, mapping_col string, transfer_rule string, value string, product_type string, dt string"
+CODE_MAP = ["product_label", "mapping_col", "transfer_rule", "value", "product_type", "dt"]
 
 
 def code_map(spark, *rules):
@@ -56,7 +56,8 @@ def by_key(df):
 
 
 def degree_facts(spark):
-    rows = [("u", "a", "low"), ("u", "a", "top"), ("u", "b", None), ("v", "b", "mid"), (None, "a", "x"), ("w", None, "z")]
+    rows = [("u", "a", "low"), ("u", "a", "top"), ("u", "b", None), ("v", "b", "mid"), (None, "a", "x")]
+    rows.append(("w", None, "z"))
     return spark.createDataFrame(rows, DEGREES)
 
 

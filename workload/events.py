@@ -158,7 +158,8 @@ WHERE date_diff('day', DATE '1998-01-05', CAST(o_orderdate AS DATE)) % 14 = 0"""
   date_diff('day', DATE '1998-01-05', CAST(l_shipdate AS DATE)) % 14 = 0 AS on_grid
 FROM lineitem GROUP BY CAST(l_shipdate AS DATE)""",
     "typed_wide": """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) AS l_quantity, l_tax, l_extendedprice,
-  CAST(l_partkey AS VARCHAR) AS l_partkey, TRY_CAST(l_returnflag AS BIGINT) AS l_returnflag, l_linestatus FROM lineitem""",
+  CAST(l_partkey AS VARCHAR) AS l_partkey, TRY_CAST(l_returnflag AS BIGINT) AS l_returnflag, l_linestatus
+FROM lineitem""",
     "preview_limit": "SELECT * FROM events ORDER BY event_id LIMIT 10",
     "template_export": """SELECT user_id AS customuid, count(*) AS events, round(sum(value), 2) AS total
 FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY user_id""",

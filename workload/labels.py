@@ -111,7 +111,8 @@ def code_map_lookup(spark, folder):
 
 def label_dictionary_upper(spark, folder):
     part = table(spark, folder, "part")
-    return label_dictionary(part.select(F.col("p_name").alias("product_label"), F.col("p_type").alias("product_label2")))
+    names = part.select(F.col("p_name").alias("product_label"), F.col("p_type").alias("product_label2"))
+    return label_dictionary(names)
 
 
 def _code_map(spark):
@@ -147,7 +148,9 @@ def run_log_replace(spark, folder):
 
     def entries(rows):
         return rows.groupBy("run_date", F.col("event_type").alias("task_id")).agg(
-            F.lit("dm_tag").alias("hive_db"), F.lit("events").alias("target_table"), F.count(F.lit(1)).alias("row_count")
+            F.lit("dm_tag").alias("hive_db"),
+            F.lit("events").alias("target_table"),
+            F.count(F.lit(1)).alias("row_count"),
         )
 
     path = scratch_path(spark, "run_log")
@@ -255,8 +258,8 @@ SQL = {
 FROM pages p JOIN (SELECT DISTINCT split_part(url, '/', 3) AS site FROM pages) r
   ON contains(p.url, '//' || r.site || '/')""",
     "rule_audit": _AUDIT,
-    "code_map_lookup": """SELECT p_name AS product_label, 'p_type' AS mapping_col, '%' || p_type || '%' AS transfer_rule,
-  p_brand AS value, 'size-' || p_size AS product_type, '2024-01-01' AS dt
+    "code_map_lookup": """SELECT p_name AS product_label, 'p_type' AS mapping_col,
+  '%' || p_type || '%' AS transfer_rule, p_brand AS value, 'size-' || p_size AS product_type, '2024-01-01' AS dt
 FROM part WHERE lower(p_name) = 'small ring'""",
     "label_dictionary_upper": "SELECT upper(p_name) AS product_label, p_type AS product_label2 FROM part",
     "user_tag_case": """SELECT page_id, url, CASE WHEN url LIKE '%utm_source=feed' THEN 'feed' END AS user_tag_1,

@@ -7,8 +7,8 @@ from datetime import date, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Digit groups of a raw event time, yyyyMMddHHmmssSSS (fixed value).
-TM_PATTERN = r"(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})(\d{3})"
+# A raw event time, yyyyMMddHHmmssSSS (fixed value).
+TM_PATTERN = "^[0-9]{17}$"
 
 
 def shift(day: str, days: int) -> str:
@@ -48,6 +48,7 @@ def parse_tm(tm: Column, zoned: bool = False) -> Column:
 
     ``zoned`` reads it in the session time zone; otherwise it stays a wall time.
     """
-    text = F.regexp_replace(tm, f"^{TM_PATTERN}$", "$1-$2-$3 $4:$5:$6.$7")
-    kind = "timestamp" if zoned else "timestamp_ntz"
-    return F.when(tm.rlike(f"^{TM_PATTERN}$"), text.try_cast(kind))
+    day = F.concat_ws("-", F.substring(tm, 1, 4), F.substring(tm, 5, 2), F.substring(tm, 7, 2))
+    clock = F.concat_ws(":", F.substring(tm, 9, 2), F.substring(tm, 11, 2), F.substring(tm, 13, 2))
+    text = F.concat(day, F.lit(" "), clock, F.lit("."), F.substring(tm, 15, 3))
+    return F.when(tm.rlike(TM_PATTERN), text.try_cast("timestamp" if zoned else "timestamp_ntz"))

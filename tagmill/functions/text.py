@@ -13,8 +13,8 @@ LABEL_CODES = (("_and_", "&"), ("_or_", "/"), ("__", " "))
 
 
 def clean_label(value: Column) -> Column:
-    """Upper case without leading white space, Unicode blanks included."""
-    return F.regexp_replace(F.upper(value), r"(?U)^\s+", "")
+    """Upper case without leading white space, Unicode blanks and separators included."""
+    return F.regexp_replace(F.upper(value), r"(?U)^[\s\x1c-\x1f]+", "")
 
 
 def needle(rule: Column) -> Column:

@@ -180,7 +180,8 @@ def match_rules(
     ``row`` tests the URLs of a row joined without a separator, so a needle may
     span two of them; ``url`` tests each URL alone.  Every visit is tested where it
     lies, without a shuffle; with ``dedupe`` a URL is tested once for all its
-    visitors and joined back, which pays when URLs repeat much and rules are many.
+    visitors and joined back, which pays when URLs repeat much and rules are many
+    (distinct visits are written aside, as they are read twice).
     ``keep_unmatched`` adds users without a hit, label NULL.
     """
     payload = [c for c in rules.columns if c not in ("needle", "pattern")]
@@ -190,7 +191,8 @@ def match_rules(
         joined = F.array_join(urls, "") if scope == "row" else F.explode_outer(urls)
         texts = users.select(key, joined.alias("text"))
         return rule_hits(texts, "text", rules, strategy, keep_unmatched, counted).select(key, *payload)
-    visits = users.select(key, F.explode(urls).alias("text")).where(F.col("text").isNotNull()).distinct()
+    visits = users.select(key, F.explode(urls).alias("text")).where(F.col("text").isNotNull())
+    visits = materialize(visits.distinct(), "url-visits")
     texts = visits.groupBy("text").agg(F.count(F.lit(1)).alias("_users"))
     hits = materialize(rule_hits(texts, "text", rules, strategy, counted=counted).distinct(), "url-hits")
     pairs = spread_join(visits, hits, "text", "_users", key).select(key, *payload)

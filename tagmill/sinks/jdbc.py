@@ -72,7 +72,7 @@ def run_statements(spark: SparkSession, connection: Connection, statements: list
 def publish_day(
     df: DataFrame, connection: Connection, staging: str, table: str, day: str, dt: str = "dt"
 ) -> None:
-    """Replace one day of a relational table.
+    """Replace one day of a relational table, which is created if it is missing.
 
     Rows go to a staging table first.  A task that ran twice could have stored
     its rows twice there, so the staged count is compared with the rows sent
@@ -89,4 +89,5 @@ def publish_day(
     )
     if int(staged) != seen.get["rows"]:
         raise RuntimeError(f"{staging} holds {staged} rows, {seen.get['rows']} were sent; run again")
+    df.limit(0).write.format("jdbc").options(**write_options(connection, table)).mode("append").save()
     run_statements(df.sparkSession, connection, day_statements(staging, table, df.columns, day, dt))

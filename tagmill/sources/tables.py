@@ -7,10 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagmill.bounds import bounded_rows
+
 # Default name of the table that holds URL rules (fixed value).
 RULE_MAP = "dm_tag.dmp_rule_map"
 
 _NAME = re.compile(r"^\w+(\.\w+)*$")
+# Tables one mirror run may list.
+MAX_SPECS = 10_000
 PATTERNS = ("full", "append", "yyyymm")
 
 
@@ -83,6 +87,11 @@ class LoadSpec:
         """Take the fields a load needs; schedule and memory fields are ignored."""
         return cls(**{k: record.get(k) for k in ("hive_db", "sql_db", "table", "pattern_type", "key_to_new_data")})
 
+    @classmethod
+    def from_table(cls, table: DataFrame) -> "list[LoadSpec]":
+        """The specifications a job table lists, one per row."""
+        return [cls.from_record(row.asDict()) for row in bounded_rows(table, MAX_SPECS, "load specifications")]
+
     @property
     def target(self) -> str:
         return f"{self.hive_db}.{self.sql_db}_{self.table}"

@@ -134,6 +134,8 @@ def test_load_specs(spark):
               "crontab_update_frequency": "* * * * *", "driver_memory_import_data": "3g"}
     spec = tables.LoadSpec.from_record(record)
     assert spec.target == "default.crm_x" and loads.load(spark.range(2), spec, "2024-01-01") == 2
+    listed = spark.createDataFrame([("default", "crm", "x", "full")], ["hive_db", "sql_db", "table", "pattern_type"])
+    assert [s.target for s in tables.LoadSpec.from_table(listed)] == [spec.target]
     with pytest.raises(ValueError, match="key_to_new_data"):
         tables.LoadSpec.from_record({**record, "pattern_type": "append"})
     with pytest.raises(ValueError, match="none of"):

@@ -43,7 +43,7 @@ def test_null_and_empty_lists(spark):
 
 
 def test_labels_are_upper_cased_and_left_trimmed(spark):
-    rules = [("a", "\t 　fr x "), ("a", None), (None, "y")]
+    rules = [("a", "\t\x1d 　fr x "), ("a", None), (None, "y")]
     assert match(spark, [("u", ["a"])], rules) == {("u", "FR X ")}
 
 

@@ -24,8 +24,9 @@ BROADCAST_RULES = 200_000
 # from texts at every step-th place, so ``step`` neighbouring ones of the needle
 # meet each place it can stand at.  A shorter needle is looked up whole.
 LOOKUPS = ((11, 6, 6), (7, 4, 4), (4, 4, 1))
-# Characters of a text looked at together, a multiple of every step.
-PIECE = 600
+# Characters of a text looked at together, and of the cuts those are taken from.
+PIECE = 200
+COARSE = 50 * PIECE
 
 
 def clean_rules(rules: DataFrame, mode: str = "contains") -> DataFrame:
@@ -107,17 +108,16 @@ def _gram_hits(texts: DataFrame, text: str, rules: DataFrame) -> DataFrame:
     )
     if fits(anchors, BROADCAST_RULES):
         anchors = F.broadcast(anchors)
-    piece = F.array(F.col(text))
+    pieces = texts.withColumn("_piece", F.col(text))
     if cuts and not any(cut.patterned for cut in cuts):
-        piece = _pieces(F.col(text), max(cut.longest for cut in cuts))
+        pieces = texts.withColumn("_piece", F.explode(_pieces(F.col(text), max(cut.longest for cut in cuts))))
     found = F.array(F.lit(""))
     if cuts:
         found = F.array_distinct(
             F.flatten(F.array(*[grams(F.col("_piece"), cut["_size"], cut["_step"]) for cut in cuts]))
         )
     return (
-        texts.select("*", F.explode(piece).alias("_piece"))
-        .select("*", F.explode(found).alias("_gram"))
+        pieces.select("*", F.explode(found).alias("_gram"))
         .join(anchors.drop("_size", "_step"), "_gram")
         .where(_holds(F.col("_piece")))
         .drop("_piece", "_gram", "needle", "pattern")
@@ -125,12 +125,19 @@ def _gram_hits(texts: DataFrame, text: str, rules: DataFrame) -> DataFrame:
 
 
 def _pieces(text: Column, longest: int) -> Column:
-    """Cuts of a long text that overlap enough to hold every needle whole.
+    """Pieces of a text that overlap enough to hold every needle whole.
 
-    A row that pairs a piece with a substring stays small, however long the text.
+    A row that pairs a piece with a substring stays small, however long the text;
+    cutting twice spares walking a long text to the start of each piece.
     """
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(PIECE))
-    return F.transform(starts, lambda at: F.substring(text, at, F.lit(PIECE + max(0, longest - 1))))
+
+    def cut(part: Column, width: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(part), F.lit(width))
+        return F.transform(starts, lambda at: F.substring(part, at, F.lit(width + longest - 1)))
+
+    fine, coarse = max(PIECE, longest), max(COARSE, longest)
+    pieces = F.flatten(F.transform(cut(text, coarse), lambda part: cut(part, fine)))
+    return F.when(F.length(text) <= fine, F.array(text)).otherwise(pieces)
 
 
 def _anchors(rules: DataFrame) -> DataFrame:

@@ -59,7 +59,8 @@ def test_like_mode(spark):
 @pytest.mark.parametrize("dedupe", [False, True])
 @pytest.mark.parametrize("strategy", ["nested", "gram"])
 def test_strategies_equal_brute_force(spark, monkeypatch, scope, dedupe, strategy):
-    monkeypatch.setattr(R, "PIECE", 12)
+    monkeypatch.setattr(R, "PIECE", 5)
+    monkeypatch.setattr(R, "COARSE", 25)
     rnd = random.Random(7)
     word = lambda low, high: "".join(rnd.choice("abc/") for _ in range(rnd.randint(low, high)))
     users = [(f"u{i % 25}", [word(0, 30) for _ in range(rnd.randint(0, 6))]) for i in range(60)]

@@ -143,11 +143,12 @@ def tag_partition_overwrite(spark, folder):
 
 
 def run_log_replace(spark, folder):
-    """One log row per event day: a first run counts twice, the repeated one all but errors."""
-    events = table(spark, folder, "events").withColumn("run_date", F.to_date("ts"))
+    """A log row per event day and task: a first run counts twice, the repeated one only activity."""
+    task = F.when(F.col("event_type") == "error", "errors").otherwise("activity")
+    events = table(spark, folder, "events").withColumns({"run_date": F.to_date("ts"), "task_id": task})
 
     def entries(rows):
-        return rows.groupBy("run_date", F.col("event_type").alias("task_id")).agg(
+        return rows.groupBy("run_date", "task_id").agg(
             F.lit("dm_tag").alias("hive_db"),
             F.lit("events").alias("target_table"),
             F.count(F.lit(1)).alias("row_count"),
@@ -155,7 +156,7 @@ def run_log_replace(spark, folder):
 
     path = scratch_path(spark, "run_log")
     replace_log(entries(events.unionAll(events)), path)
-    replace_log(entries(events.where(F.col("event_type") != "error")), path)
+    replace_log(entries(events.where(F.col("task_id") == "activity")), path)
     return read_log(spark, path)
 
 
@@ -272,9 +273,9 @@ FROM pages""",
   'site-01' AS product_type, '2024-01-03' AS dt FROM pages WHERE url LIKE '%//m.%' OR url LIKE '%//www.%'
 UNION ALL SELECT page_id, url, CASE WHEN url LIKE '%blog%' THEN 'blog' END, '08:00:00', 'news-02', '2024-01-02'
 FROM pages""",
-    "run_log_replace": """SELECT event_type AS task_id, CAST(ts AS DATE) AS run_date, 'dm_tag' AS hive_db,
-  'events' AS target_table, count(*) * CASE WHEN event_type = 'error' THEN 2 ELSE 1 END AS row_count
-FROM events GROUP BY event_type, CAST(ts AS DATE)""",
+    "run_log_replace": """SELECT CASE WHEN event_type = 'error' THEN 'errors' ELSE 'activity' END AS task_id,
+  CAST(ts AS DATE) AS run_date, 'dm_tag' AS hive_db, 'events' AS target_table,
+  CAST(sum(CASE WHEN event_type = 'error' THEN 2 ELSE 1 END) AS BIGINT) AS row_count FROM events GROUP BY 1, 2""",
     "user_url_list": """SELECT distinct_id, part, count(*) AS urls, string_agg(url, ' ' ORDER BY page_id) AS dollar_urls
 FROM (SELECT split_part(url, '/', 3) AS distinct_id, page_id, url,
         (row_number() OVER (PARTITION BY split_part(url, '/', 3) ORDER BY page_id) - 1) // 20 AS part FROM pages)

@@ -1,12 +1,13 @@
-"""Every registered query against its SQL."""
+"""Every query of the workload against its SQL."""
 
 import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from workload import all_queries, all_sql
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +16,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(all_queries())
+    assert set(SQL) <= set(entry.oracle_sql()) and set(all_queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_sql(spark, con, name):
-    same_columns, extra, missing, _ = compare(entry.queries()[name](spark, FOLDER), con, SQL[name])
+    same_columns, extra, missing, _ = compare(all_queries()[name](spark, FOLDER), con, SQL[name])
     assert same_columns and not extra and not missing, (extra, missing)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagmill.llm.jaccard import ngram_jaccard
 from tagmill.llm.packing import pack, pack_sql
 from tagmill.llm.sharding import shard_by_bytes
 
@@ -36,6 +37,12 @@ SQL["op1_length_buckets"] = pack_sql(
 )
 
 
+@query
+def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_jaccard(table(spark, folder, "documents"), "doc_id", "text", size=5, percent=75)
+    return found.withColumnRenamed("component", "component_id")
+
+
 @query
 def op8_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tagmill.llm.jaccard import ngram_jaccard
 from tagmill.llm.packing import pack, pack_sql
+from tagmill.llm.quality import RULES, cascade_order, first_rejection, measured
+from tagmill.llm.secrets import BASE, listed, scan_secrets
 from tagmill.llm.sharding import shard_by_bytes
 
 QUERIES = {}
@@ -37,6 +39,53 @@ SQL["op1_length_buckets"] = pack_sql(
 )
 
 
+@query
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(table(spark, folder, "documents"), "text", ["doc_id"])
+    spans = F.col("secrets")
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter(spans, lambda s: s["place"] < len(BASE))
+    return found.select(
+        "doc_id", *[count(rule.kind) for rule in BASE], F.sha2(listed(base), 256).alias("base_sha256"), listed(spans).alias("spans")
+    )
+
+
+@query
+def op4_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    order = cascade_order(documents, "text", RULES)
+    counts = measured(documents, "text", ["doc_id"])
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return counts.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & first_rejection(order, F.col).isNull()).alias("kept"),
+    )
+
+
+SQL["op4_quality_cascade"] = r"""WITH w AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+tri AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM w, unnest(range(1, len(ws) - 1)) AS t(i)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, unnest([0, 1, 2]) AS u(j) GROUP BY doc_id),
+m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(regexp_extract_all(text, '[A-Z]')) AS n_capitals,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (10 * n_symbols > n_words OR 2 * n_capitals > word_chars OR 2 * n_dup_lines > n_lines
+    OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
+FROM b"""
+
+
 @query
 def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     found = ngram_jaccard(table(spark, folder, "documents"), "doc_id", "text", size=5, percent=75)

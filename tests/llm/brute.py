@@ -46,3 +46,19 @@ def jaccard(docs, size=5, percent=75):
         edges += [(i, j) for j, c in shared.items() if 100 * c >= percent * (len(s) + len(sets[j]) - c)]
     found = roots(sets, edges)
     return {i: (len(s), found[i]) for i, s in sets.items()}
+
+
+KINDS = [
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+]
+
+
+def base_spans(text):
+    found = []
+    for place, (kind, pattern, group, least) in enumerate(KINDS):
+        for m in re.finditer(pattern, text or ""):
+            if len(m.group(group)) >= least:
+                found.append((m.start(), place, m.end(), kind))
+    return [f"{kind}:{start}:{end}" for start, _, end, kind in sorted(found)]

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagmill.llm.jaccard import ngram_jaccard
+from tagmill.llm.language import fit_languages, identify_languages
 from tagmill.llm.packing import pack, pack_sql
+from tagmill.llm.pieces import decode, encode
 from tagmill.llm.quality import RULES, cascade_order, first_rejection, measured
+from tagmill.llm.samples import held_out
 from tagmill.llm.secrets import BASE, listed, scan_secrets
 from tagmill.llm.sharding import shard_by_bytes
+from tagmill.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES = {}
 SQL = {}
@@ -39,6 +44,18 @@ SQL["op1_length_buckets"] = pack_sql(
 )
 
 
+@query
+def op2_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = decode(encode(table(spark, folder, "documents"), model, keep=["doc_id"]), model)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_secrets(table(spark, folder, "documents"), "text", ["doc_id"])
@@ -92,6 +109,15 @@ def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("component", "component_id")
 
 
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held = held_out(F.col("doc_id"), 4, 2)
+    net = fit_toxicity(documents, labels, ~held)
+    found = score_toxicity(documents, net, keep=["doc_id"])
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "flagged")
+
+
 @query
 def op8_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
@@ -107,3 +133,12 @@ def op8_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held = held_out(F.col("doc_id"), 3, 1)
+    model = fit_languages(documents.where(~held))
+    found = identify_languages(documents, model, keep=["doc_id"])
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")

@@ -2,7 +2,7 @@
 
 Words are runs without the six ASCII white space characters; hashes see A-Z as a-z.
 Nothing here knows Spark: the functions run inside tasks, on the Arrow batches
-that Spark deals out.  Work arrays cover about a megabyte of text at a time, so
+that Spark deals out.  Work arrays cover about half a megabyte of text at a time, so
 memory follows the batch and not the corpus.
 """
 
@@ -12,9 +12,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-STEP = 1 << 20
+STEP = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+# For word hashes of letters only: whatever is in ASCII and not a letter separates.
+NOT_LETTERS = np.ones(256, bool)
+NOT_LETTERS[128:] = False
+NOT_LETTERS[65:91] = NOT_LETTERS[97:123] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _TABLE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)[_LOWER]
@@ -67,13 +71,14 @@ def _cuts(space: np.ndarray, n: int) -> list[int]:
     return cuts + [n]
 
 
-def words(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = ()):
+def words(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = (), separators=_SPACE):
     """``(first word of each row and an end, word starts, word ends, hashes, [prefix hashes])``.
 
+    ``separators`` says for each byte value whether it separates words.
     A prefix hash covers a word's first so many bytes, or the word if it is shorter.
     """
     n = len(data)
-    space = _SPACE[data]
+    space = separators[data]
     begins = np.zeros(n + 1, bool)
     begins[offsets] = True
     starts, ends, hashes, heads = [], [], [], [[] for _ in prefixes]

@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagmill.llm.htmltext import extract_main_text
 from tagmill.llm.jaccard import ngram_jaccard
 from tagmill.llm.language import fit_languages, identify_languages
+from tagmill.llm.neighbours import near_vectors
 from tagmill.llm.packing import pack, pack_sql
 from tagmill.llm.pieces import decode, encode
 from tagmill.llm.quality import RULES, cascade_order, first_rejection, measured
@@ -118,6 +120,12 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "flagged")
 
 
+@query
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = extract_main_text(table(spark, folder, "pages"), "html", ["page_id", "url"])
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op8_byte_shards(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
@@ -142,3 +150,10 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     model = fit_languages(documents.where(~held))
     found = identify_languages(documents, model, keep=["doc_id"])
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding", "label", cosine=0.98)
+    found = found.withColumnRenamed("component", "component_id")
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -10,14 +10,15 @@ from tagmill.session import materialize
 SENT_ROWS = 1_000_000
 
 
-def matched(rows: DataFrame, keys: DataFrame, on: str, limit: int = SENT_ROWS) -> DataFrame:
-    """The rows whose ``on`` is among ``keys`` (one column of 8 bytes, read twice).
+def matched(rows: DataFrame, keys: DataFrame, on: str, limit: int = SENT_ROWS, how: str = "left_semi") -> DataFrame:
+    """The rows whose ``on`` is among ``keys`` (one column of 8 bytes, read twice), or,
+    with ``left_anti``, all others.
 
     A key list counted as at most ``limit`` rows, eight megabytes, is sent to all
     executors so the rows stay where they are; a longer one is joined by a shuffle.
     """
     few = keys.limit(limit + 1).count() <= limit
-    return rows.join(F.broadcast(keys) if few else keys, on, "left_semi")
+    return rows.join(F.broadcast(keys) if few else keys, on, how)
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

@@ -47,7 +47,7 @@ def shard_by_bytes(df: DataFrame, order: str, size: Column, shards: int, keep: d
     upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     placed = rows.withColumn("_upto", upto).withColumn("_nth", F.row_number().over(inside) - 1)
     placed = placed.join(F.broadcast(parts), "_part")
-    middle = (F.col("_byte0") + F.col("_upto") - F.col("size") / 2) / F.col("_total")
+    middle = (F.col("_byte0") + F.col("_upto") - F.col("size") / 2) / F.nullif("_total", F.lit(0))
     placed = placed.withColumn(
         "shard", F.least(F.lit(shards - 1), F.floor(F.coalesce(middle, F.lit(0.0)) * shards)).cast("int")
     ).withColumn("_row", F.col("_row0") + F.col("_nth"))

@@ -82,7 +82,7 @@ def words(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...] = (),
     begins = np.zeros(n + 1, bool)
     begins[offsets] = True
     starts, ends, hashes, heads = [], [], [], [[] for _ in prefixes]
-    cuts = _cuts(space, n)
+    cuts = _cuts(space, n) if n else []
     for lo, hi in zip(cuts, cuts[1:]):
         word = ~space[lo:hi]
         first = begins[lo:hi].copy()

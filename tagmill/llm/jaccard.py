@@ -18,7 +18,7 @@ BLOCK = 1 << 14
 BINS = 128
 POSTING = np.dtype([("h", "<u8"), ("k", "<i8"), ("n", "<u4"), ("pos", "<u4")])
 SCAN = "id long, k long, k2 long, n int, sig binary, block int, salt int, cells binary"
-HELD = 2_000_000
+HELD = 400_000
 
 
 def _needed(na, nb, percent):
@@ -32,7 +32,7 @@ def _sets(column, size, seed):
     return keys, np.diff(rows) > 0, shingles(rows, hashes, size)
 
 
-def _slices(batches, rows=2_000):
+def _slices(batches, rows=500):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
@@ -133,16 +133,16 @@ def _postings(batches, size, seed, percent, counts, buckets, heavy):
         yield flush(parts)
 
 
-def _shared(buckets):
+def _shared(buckets, percent):
     def run(table: pa.Table) -> pa.Table:
-        """The postings of shingles that two classes or more have, each once."""
+        """Each posting once that shares its shingle with a class of a fitting size."""
         all_ = np.concatenate([np.frombuffer(b.as_py(), POSTING) for b in table.column("postings")])
-        all_ = all_[np.lexsort((all_["k"], all_["h"]))]
+        all_ = all_[np.lexsort((all_["k"], all_["n"], all_["h"]))]
         new = np.ones(len(all_), bool)
         new[1:] = (all_["h"][1:] != all_["h"][:-1]) | (all_["k"][1:] != all_["k"][:-1])
         all_ = all_[new]
         if table.column("bucket")[0].as_py() < buckets:
-            same = all_["h"][1:] == all_["h"][:-1]
+            same = (all_["h"][1:] == all_["h"][:-1]) & (100 * all_["n"][:-1].astype(np.int64) >= percent * all_["n"][1:])
             keep = np.zeros(len(all_), bool)
             keep[1:] |= same
             keep[:-1] |= same
@@ -223,7 +223,7 @@ def ngram_jaccard(
        shingles rare first; any fixed order gives exact results.
     3. Each class posts the first shingles of its order, just so many that two classes
        similar enough must share one.  Postings travel packed by hash bucket, and those
-       of a single class are dropped.  Shingles in cells counted ``heavy`` times or more
+       without a second class of a fitting size in their list are dropped.  Shingles in cells counted ``heavy`` times or more
        are dealt by class instead, so no bucket gathers a very long list.
     4. First every class is compared with the least class of each of its lists, a number
        of pairs that is linear in the lists.  Then pairs of classes that are not linked
@@ -248,7 +248,7 @@ def ngram_jaccard(
     lists = docs.where("id is not null").select("text").mapInArrow(
         lambda it: _postings(it, size, seed, percent, sent, buckets, heavy), "bucket int, postings binary"
     )
-    lists = materialize(lists.groupBy("bucket").applyInArrow(_shared(buckets), "h long, k long, n int, pos int"), "lists")
+    lists = materialize(lists.groupBy("bucket").applyInArrow(_shared(buckets, percent), "h long, k long, n int, pos int"), "lists")
     signed = materialize(
         rows.join(classes, ["k", "id"], "left_semi").select("k", "id", "n", "sig"), "signed"
     )

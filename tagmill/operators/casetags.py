@@ -6,16 +6,21 @@ product ``product_label`` gets ``value``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.bounds import bounded_rows
 from tagmill.functions.text import decode_label, quoted, strip_blanks
 
-# Rules one product may have; they become one expression.
-MAX_CASES = 5_000
+# Rules one product may have by default; they become one expression.
+MAX_CASES = 20_000
+
+
+def _any(tests: list[Column]) -> Column:
+    """The OR of all tests as a balanced tree, which stays shallow for thousands of them."""
+    while len(tests) > 1:
+        tests = [a | b for a, b in zip(tests[::2], tests[1::2])] + tests[len(tests) & ~1 :]
+    return tests[0]
 
 
 def product_rules(code_map: DataFrame, product: str) -> DataFrame:
@@ -32,7 +37,7 @@ def product_partition(code_map: DataFrame) -> tuple[str, str]:
     return found[0].product_type, found[0].dt
 
 
-def tag_columns(code_map: DataFrame, scope: str = "value") -> dict[str, Column]:
+def tag_columns(code_map: DataFrame, scope: str = "value", max_cases: int = MAX_CASES) -> dict[str, Column]:
     """``{"user_tag": Column}``, or ``user_tag_1..n`` when several pairs exist.
 
     There is one tag per ``(mapping_col, value)``, ordered by that pair.  In scope
@@ -42,11 +47,11 @@ def tag_columns(code_map: DataFrame, scope: str = "value") -> dict[str, Column]:
     if scope not in ("value", "column"):
         raise ValueError(f"scope {scope!r}")
     rules = code_map.select("mapping_col", strip_blanks(F.col("transfer_rule")).alias("rule"), "value").distinct()
-    rows = sorted(tuple(r) for r in bounded_rows(rules.na.drop(), MAX_CASES, "code map"))
+    rows = sorted(tuple(r) for r in bounded_rows(rules.na.drop(), max_cases, "code map"))
     out = []
     for column, value in sorted({(c, v) for c, _, v in rows}):
         tests = sorted({r for c, r, v in rows if c == column and (scope == "column" or v == value)})
-        met = reduce(lambda a, b: a | b, [F.col(quoted(column)).like(t) for t in tests])
+        met = _any([F.col(quoted(column)).like(t) for t in tests])
         out.append(F.when(met, F.lit(value)))
     names = ["user_tag"] if len(out) == 1 else [f"user_tag_{i}" for i in range(1, len(out) + 1)]
     return dict(zip(names, out))

@@ -35,7 +35,9 @@ def _degree_cells(categories: list[str], degrees: list[str] | None) -> tuple[lis
     value = F.coalesce(F.col("degree"), F.lit(""))
     if degrees is not None:
         known = F.array(*[F.lit(d) for d in degrees])
-        value = F.array_position(known, value).cast("int")
+        at = F.array_position(known, value).cast("int")
+        strange = F.raise_error(F.concat(F.lit("degree outside the given ones: "), value)).cast("int")
+        value = F.when(at > 0, at).otherwise(strange)
     aggs, cells = [], []
     for i, category in enumerate(categories):
         aggs.append(F.max(F.when(F.col("interest_category") == category, value)).alias(f"_d{i}"))
@@ -61,7 +63,8 @@ def _column_names(key: str, categories: list[str], classes: list[str]) -> tuple[
 def degree_matrix(facts: DataFrame, key: str = "customuid", categories=None, degrees=None) -> DataFrame:
     """``key`` and one text column per category: its largest degree, else ``''``.
 
-    ``degrees``, when given, must list every degree that occurs, in order.
+    ``degrees``, when given, must list every degree that occurs, in order (NULL counts
+    as ``''``); a fact with another degree is an error.
     """
     if categories is None:
         categories, degrees = categories_and_degrees(facts)

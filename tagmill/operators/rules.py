@@ -78,8 +78,8 @@ def rule_hits(
     ``nested`` compares every text with every rule where the text lies: no
     shuffle, and the broadcast rules are counted first.  ``gram`` is an equi join
     for rule maps beyond that size: each rule is looked up by its rarest
-    substrings, and the few candidates are checked in full, which may list a hit
-    more than once.  Both are exact.
+    substrings, and the few candidates are checked in full.  Both are exact and list
+    a hit once for each row of ``texts``.
     ``counted`` says that the caller has found at most ``NESTED_RULES`` rules.
     """
     if strategy == "auto":
@@ -108,6 +108,7 @@ def _gram_hits(texts: DataFrame, text: str, rules: DataFrame) -> DataFrame:
     )
     if fits(anchors, BROADCAST_RULES):
         anchors = F.broadcast(anchors)
+    texts = texts.withColumn("_row", F.monotonically_increasing_id())
     pieces = texts.withColumn("_piece", F.col(text))
     if cuts and not any(cut.patterned for cut in cuts):
         pieces = texts.withColumn("_piece", F.explode(_pieces(F.col(text), max(cut.longest for cut in cuts))))
@@ -120,7 +121,9 @@ def _gram_hits(texts: DataFrame, text: str, rules: DataFrame) -> DataFrame:
         pieces.select("*", F.explode(found).alias("_gram"))
         .join(anchors.drop("_size", "_step"), "_gram")
         .where(_holds(F.col("_piece")))
-        .drop("_piece", "_gram", "needle", "pattern")
+        .drop("_piece", "_gram")
+        .dropDuplicates(["_row", *rules.columns])
+        .drop("_row", "needle", "pattern")
     )
 
 

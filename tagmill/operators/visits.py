@@ -19,7 +19,7 @@ def user_url_lists(
     order: str = "seq",
     url: str = "url",
     list_urls: int = LIST_URLS,
-    overlap: int = 0,
+    overlap: int | None = None,
 ) -> DataFrame:
     """``(key, part, dollar_url_list)``: the URLs of each user in ``order``.
 
@@ -29,10 +29,11 @@ def user_url_lists(
     numbered, and cut into consecutive parts.  ``overlap`` repeats the first URLs
     of a part at the end of the part before; rows of one user are combined by OR
     after matching, so with ``overlap >= longest needle - 1`` the parts match
-    exactly what the single list would.  NULL and empty URLs are left out, so
+    exactly what the single list would.  It must be named once a user is heavy: cut
+    lists without it are refused (``lists_for_rules`` computes it).  NULL and empty URLs are left out, so
     every URL has a character; a user with no other keeps an empty list.
     """
-    if not 0 <= overlap <= list_urls:
+    if overlap is not None and not 0 <= overlap <= list_urls:
         raise ValueError("overlap must lie between 0 and list_urls")
     rows = visits.select(key, F.col(order).alias("_seq"), F.col(url).alias("_url"))
     heavy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > list_urls)
@@ -40,6 +41,8 @@ def user_url_lists(
     total = heavy.agg(F.sum("_n")).first()[0]
     if total is None:
         return _whole_lists(rows, key)
+    if overlap is None:
+        raise ValueError(f"users with more than {list_urls} visits have their lists cut; name the overlap")
     full = rows.where(F.col("_url") != "")
     same = F.col(f"r.{key}").eqNullSafe(F.col(f"h.{key}"))
     light = rows.alias("r").join(heavy.alias("h"), same, "left_anti")
@@ -61,6 +64,21 @@ def user_url_lists(
     return _whole_lists(light, key).unionByName(cut.groupBy(key, "part").agg(_collected())).unionByName(blank)
 
 
+def lists_for_rules(
+    visits: DataFrame,
+    rules: DataFrame,
+    key: str = "distinct_id",
+    order: str = "seq",
+    url: str = "url",
+    list_urls: int = LIST_URLS,
+) -> DataFrame:
+    """``user_url_lists`` for a cleaned rule map: parts overlap by its longest needle, so
+    matching them in scope ``row`` finds what the whole lists hold."""
+    longest = rules.agg(F.max(F.length("needle"))).first()[0] or 0
+    overlap = max(0, longest - 1)
+    return user_url_lists(visits, key, order, url, max(list_urls, overlap), overlap)
+
+
 def _numbered(ranged: DataFrame, key: str) -> DataFrame:
     """Number the rows of each key by ``_seq`` without one task seeing a whole key.
 

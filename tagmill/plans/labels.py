@@ -17,7 +17,7 @@ from tagmill.operators.flags import (
 )
 from tagmill.operators.interest import interest_wide
 from tagmill.operators.rules import NESTED_RULES, clean_rules, match_rules
-from tagmill.operators.visits import LIST_URLS, user_url_lists
+from tagmill.operators.visits import LIST_URLS, lists_for_rules
 from tagmill.session import materialize
 from tagmill.sinks.jdbc import write_snapshot
 from tagmill.sinks.partitions import create_like, overwrite_partitions
@@ -100,14 +100,9 @@ def product_labels_of_visits(
     if options.get("scope", "row") == "url":
         single = visits.select(key, F.array(url).alias("dollar_url_list"))
         return product_labels(single, rules, dictionary, key=key, **options)
-    cleaned, held_rows = held(rules.select("transfer_rule", "value").distinct(), HELD_RULES)
-    if held_rows is None:
-        longest = clean_rules(cleaned).agg(F.max(F.length("needle"))).first()[0] or 0
-    else:
-        longest = max((len(row.transfer_rule.replace("%", "")) for row in held_rows if row.transfer_rule), default=0)
-    overlap = max(0, longest - 1)
-    lists = user_url_lists(visits, key, order, url, max(list_urls, overlap), overlap)
-    return product_labels(lists, cleaned, dictionary, key=key, **options)
+    rules, _ = held(rules.select("transfer_rule", "value").distinct(), HELD_RULES)
+    lists = lists_for_rules(visits, clean_rules(rules), key, order, url, list_urls)
+    return product_labels(lists, rules, dictionary, key=key, **options)
 
 
 def label_snapshot(
@@ -131,12 +126,14 @@ def product_tag_partition(
     scope: str = "value",
     template: str | None = None,
     path: str | None = None,
+    partition_key: tuple[str, ...] = ("product_type", "dt"),
 ) -> int:
     """Tag ``source`` by the rules of one product and replace that product's partition.
 
     The rows carry ``product_type`` and ``dt`` of the code map and, when given,
     ``product_label2`` and ``process_time``.  A ``template`` may reshape them: a
-    query over ``{tagged}`` with ``:run_date`` bound.  The table is created from
+    query over ``{tagged}`` with ``:run_date`` bound.  ``partition_key`` names the
+    columns of the result the table is partitioned by.  The table is created from
     the result if it is missing.  The run log is written last, also for a run
     without rows, which leaves the table as it was.
     """
@@ -150,7 +147,7 @@ def product_tag_partition(
     tagged = tagged.withColumn("product_type", F.lit(product_type)).withColumn("dt", F.lit(dt))
     if template:
         tagged = run_template(spark, template, args={"run_date": run_date}, tagged=tagged)
-    create_like(spark, table, tagged, ["product_type", "dt"], path)
+    create_like(spark, table, tagged, list(partition_key), path)
     rows = overwrite_partitions(tagged, table)
     database, _, name = table.rpartition(".")
     log_run(spark, log_path, task_id, run_date, database or spark.catalog.currentDatabase(), name, rows)

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tagmill.functions.dates import month_of
+from tagmill.functions.text import quoted
 from tagmill.session import materialize
-from tagmill.sinks.partitions import create_like, overwrite_partitions, overwrite_table
+from tagmill.sinks.partitions import create_like, overwrite_partitions, overwrite_table, replace_partition
 from tagmill.sources.files import BAD_LINE, good_and_bad, read_vendor_file
 from tagmill.sources.jdbc import Connection, read_jdbc
 from tagmill.sources.tables import LoadSpec
@@ -24,17 +25,19 @@ MONTH = "yyyymm"
 
 
 def load_full(source: DataFrame, table: str, path: str | None = None) -> int:
-    """Replace a table by its source; an empty source leaves it as it is."""
+    """Replace a table, with all its partitions, by its source, rows or none."""
     create_like(source.sparkSession, table, source, path=path)
     return overwrite_table(source, table)
 
 
 def load_append(source: DataFrame, table: str, key: str, execution_date: str, path: str | None = None) -> int:
-    """Add the rows whose ``key`` exceeds the largest one of earlier loads.
+    """Add the rows that earlier loads do not hold, by ``key``.
 
-    Rows are kept by load date, so a repeated run replaces its own rows only.
-    Keys must grow from load to load; a load before the latest one is refused,
-    as it would take rows that later loads already hold.
+    Rows with a key above the largest one of all earlier loads are new.  Rows with that
+    very key, or without a key, are new unless a stored row equals them in all columns,
+    so late ones arrive; keys below the largest count as loaded.  Rows are kept by load
+    date: a repeated run replaces its own rows only, also by none.  A load before the
+    latest one is refused, as it would take rows that later loads already hold.
     """
     spark = source.sparkSession
     dated = source.withColumn(LOAD_DATE, F.lit(execution_date).cast("date"))
@@ -42,11 +45,17 @@ def load_append(source: DataFrame, table: str, key: str, execution_date: str, pa
     loads = sorted(row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator())
     if loads and loads[-1] > execution_date:
         raise ValueError(f"{table} holds a load of {loads[-1]}, after {execution_date}")
-    earlier = [d for d in loads if d < execution_date]
-    if earlier:
-        stored = spark.table(table).where(F.col(LOAD_DATE) == F.lit(earlier[-1]).cast("date"))
-        dated = dated.where(F.col(key) > F.lit(stored.agg(F.max(key)).first()[0]).cast(source.schema[key].dataType))
-    return overwrite_partitions(dated, table)
+    if any(d < execution_date for d in loads):
+        stored = spark.table(table).where(F.col(LOAD_DATE) < F.lit(execution_date).cast("date"))
+        largest = F.lit(stored.agg(F.max(key)).first()[0]).cast(source.schema[key].dataType)
+        edge = F.col(key).isNull() | F.coalesce(F.col(key) == largest, F.lit(False))
+        old, new = stored.where(edge).alias("o"), dated.where(edge).alias("n")
+        same = [F.col(f"o.{quoted(c)}").eqNullSafe(F.col(f"n.{quoted(c)}")) for c in source.columns]
+        above = dated.where(F.coalesce(F.col(key) > largest, F.col(key).isNotNull() & largest.isNull()))
+        dated = above.unionByName(new.join(old, same, "left_anti"))
+        # The stored rows are read while their table is written.
+        dated = materialize(dated, "append")
+    return replace_partition(dated, table, LOAD_DATE, execution_date)
 
 
 def month_bounds(day: str) -> tuple[str, str]:
@@ -58,7 +67,7 @@ def month_bounds(day: str) -> tuple[str, str]:
 def load_month(
     source: DataFrame, table: str, key: str, execution_date: str | None = None, path: str | None = None
 ) -> int:
-    """Replace the month of ``execution_date``, or every month the source has.
+    """Replace the month of ``execution_date``, also by no rows, or every month the source has.
 
     The month is cut by a range of the bare ``key``, which partitioned files and
     relational servers can evaluate themselves.
@@ -69,6 +78,7 @@ def load_month(
         kind = source.schema[key].dataType
         low, high = (F.lit(d).cast(kind) for d in month_bounds(execution_date))
         rows = rows.where((F.col(key) >= low) & (F.col(key) < high))
+        return replace_partition(rows, table, MONTH, execution_date[:7].replace("-", ""))
     return overwrite_partitions(rows, table)
 
 
@@ -115,4 +125,4 @@ def load_vendor_file(
         raise ValueError(f"{broken} unreadable lines in {files}, such as: {sample}")
     dated = good.withColumn(dt, F.lit(day).cast("date"))
     create_like(spark, table, dated, [dt], path)
-    return overwrite_partitions(dated, table)
+    return replace_partition(dated, table, dt, day)

@@ -36,10 +36,15 @@ def overwrite_jdbc(df: DataFrame, connection: Connection, table: str, truncate:
     df.write.format("jdbc").options(**write_options(connection, table, truncate)).mode("overwrite").save()
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """One partition per connection by a shuffle, so the stage that computes the rows keeps its tasks."""
+    return df.repartition(CONNECTIONS)
+
+
 def write_snapshot(df: DataFrame, connection: Connection, table: str, day: str) -> str:
     """Replace the table of one date; returns its name."""
     name = snapshot_name(table, day)
-    overwrite_jdbc(df, connection, name)
+    overwrite_jdbc(_dealt(df), connection, name)
     return name
 
 
@@ -78,7 +83,7 @@ def publish_day(
     its rows twice there, so the staged count is compared with the rows sent
     before one transaction deletes the old day and copies the new one.
     """
-    out, seen = counted(df)
+    out, seen = counted(_dealt(df))
     overwrite_jdbc(out, connection, staging, truncate=True)
     staged = (
         df.sparkSession.read.format("jdbc")

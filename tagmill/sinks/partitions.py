@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from datetime import date
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +34,8 @@ def create_like(spark: SparkSession, table: str, df: DataFrame, partition_by=(),
     if partition_by:
         ddl += " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
     if path:
-        ddl += f" LOCATION '{path}'"
+        escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+        ddl += f" LOCATION '{escaped}'"
     spark.sql(ddl)
 
 
@@ -38,6 +43,38 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(checked_name(table)) if c.isPartition]
 
 
+@contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str):
+    """Which partitions an overwrite replaces, for the writes inside; nothing is set if it holds already."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    if before.lower() == mode:
+        yield
+        return
+    spark.conf.set(name, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def clear_partition(spark: SparkSession, table: str, column: str, value: str) -> None:
+    """Leave one partition of a table without rows; ``column`` is its only partition column."""
+    if not all(c.isalnum() or c in "-_" for c in value):
+        raise ValueError(f"not a plain partition value: {value!r}")
+    kept = [f for f in spark.table(checked_name(table)).schema.fields if f.name != column]
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in kept)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{checked_name(column)}` = '{value}') SELECT {columns} WHERE false")
+
+
+def replace_partition(df: DataFrame, table: str, column: str, value: str) -> int:
+    """``overwrite_partitions`` for rows of one partition; without rows the partition is emptied."""
+    rows = overwrite_partitions(df, table)
+    if not rows:
+        clear_partition(df.sparkSession, table, column, value)
+    return rows
+
+
 def overwrite_partitions(df: DataFrame, table: str) -> int:
     """Replace the partitions ``df`` has rows for, keep all others; returns the row count.
 
@@ -48,12 +85,8 @@ def overwrite_partitions(df: DataFrame, table: str) -> int:
     if not keys:
         raise ValueError(f"{table} has no partitions; use overwrite_table")
     out, seen = counted(_spread(df.select(*spark.table(table).columns), keys))
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    with _overwrite_mode(spark, "dynamic"):
         out.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
     return seen.get["rows"]
 
 
@@ -65,27 +98,38 @@ def overwrite_paths(df: DataFrame, path: str, partition_by: list[str]) -> int:
 
 
 def overwrite_table(df: DataFrame, table: str) -> int:
-    """Replace all rows of a table.
+    """Replace all rows of a table, of every partition; an empty ``df`` empties it.
 
-    The rows are first written aside, so ``df`` may read the table itself, and a
-    result without rows leaves the old content in place.
+    The rows are written once.  Only a ``df`` that reads the table itself is written
+    aside first.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "overwrite")
-    out, seen = counted(df)
-    out.write.parquet(path)
-    rows = seen.get["rows"]
-    if rows:
-        spark.read.schema(df.schema).parquet(path).select(*spark.table(table).columns).write.insertInto(
-            checked_name(table), overwrite=True
-        )
-    return rows
+    columns = spark.table(checked_name(table)).columns
+    with _overwrite_mode(spark, "static"):
+        out, seen = counted(df.select(*columns))
+        try:
+            out.write.insertInto(table, overwrite=True)
+        except AnalysisException as error:
+            if "UNSUPPORTED_OVERWRITE" not in (error.getCondition() or ""):
+                raise
+            path = scratch_path(spark, "overwrite")
+            out, seen = counted(df)
+            out.write.parquet(path)
+            spark.read.schema(df.schema).parquet(path).select(*columns).write.insertInto(table, overwrite=True)
+    return seen.get["rows"]
 
 
 def replace_day(df: DataFrame, path: str, day: str, dt: str = "dt") -> int:
-    """Replace one day of a folder partitioned by ``dt``; a row of another day is an error."""
+    """Replace one day of a folder partitioned by ``dt``; a row of another day is an error.
+
+    A day without rows leaves an empty partition in place of the old rows.
+    """
     kind = df.schema[dt].dataType
     checked = F.when(F.col(dt) == F.lit(day).cast(kind), F.col(dt)).otherwise(
         F.raise_error(F.lit(f"row outside {day}")).cast(kind)
     )
-    return overwrite_paths(df.withColumn(dt, checked), path, [dt])
+    rows = overwrite_paths(df.withColumn(dt, checked), path, [dt])
+    if not rows:
+        folder = f"{path.rstrip('/')}/{checked_name(dt)}={date.fromisoformat(day).isoformat()}"
+        df.drop(dt).limit(0).write.mode("overwrite").parquet(folder)
+    return rows

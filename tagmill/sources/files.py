@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tagmill.functions.dates import compact
+from tagmill.sinks.files import TSV_ESCAPES, TSV_NULL
 
 # Holds the text of a line that does not fit the schema.
 BAD_LINE = "_bad_line"
@@ -37,6 +38,29 @@ def read_vendor_file(
     )
 
 
+def _plain(text):
+    """Undo ``TSV_ESCAPES``: what stands between two doubled backslashes holds the other escapes."""
+
+    def turned(part):
+        for plain, spelt in TSV_ESCAPES[1:]:
+            part = F.replace(part, F.lit(spelt), F.lit(plain))
+        return part
+
+    return F.array_join(F.transform(F.split(text, r"\\\\", -1), turned), "\\")
+
+
+def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read what ``export_tsv`` wrote; every text comes back as it was."""
+    cells = F.split("value", "\t", -1)
+    lines = spark.read.option("lineSep", "\n").text(path).select(cells.alias("c"))
+    columns = []
+    for i, field in enumerate(schema.fields):
+        cell = F.get("c", F.lit(i))
+        value = _plain(cell) if field.dataType.typeName() == "string" else cell.cast(field.dataType)
+        columns.append(F.when(cell != TSV_NULL, value).alias(field.name))
+    return lines.select(columns)
+
+
 def good_and_bad(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split a delivery into its rows and its unreadable lines."""
     return rows.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE), rows.where(F.col(BAD_LINE).isNotNull())

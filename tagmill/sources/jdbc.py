@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagmill.sources.tables import checked_name
+
 # Driver of the relational server results are published to (fixed value).
 SQLSERVER_DRIVER = "com.microsoft.sqlserver.jdbc.SQLServerDriver"
 
@@ -59,7 +61,8 @@ def read_jdbc(
         .option("fetchsize", str(fetch_size))
     )
     if split_by:
-        ask = f"(SELECT min({split_by}) AS lo, max({split_by}) AS hi FROM {table}) b"
+        by = checked_name(split_by)
+        ask = f"(SELECT min({by}) AS lo, max({by}) AS hi FROM {checked_name(table)}) b"
         low, high = spark.read.format("jdbc").options(**connection.options()).option("dbtable", ask).load().first()
         if low is not None:
             reader = reader.options(**split_options(split_by, low, high, partitions))

@@ -59,7 +59,7 @@ def run_text_template(spark: SparkSession, text: str, **values: str) -> DataFram
     anything that could end a quoted text.
     """
     for name, value in values.items():
-        if re.search(r"['\"`\;]|--|/\*", value):
+        if re.search(r"['\"`;\\]|--|/\*", value):
             raise ValueError(f"unsafe value for {name!r}")
     return spark.sql(text.format(**values))
 

@@ -7,12 +7,14 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tagmill import session
 from tagmill.functions import dates, types
 from tagmill.operators import events as E
+from tagmill.operators.casetags import tag_columns
+from tagmill.operators.interest import degree_matrix
 from tagmill.plans import loads
 from tagmill.plans.labels import product_tag_partition
 from tagmill.sinks import files, jdbc, partitions, runlog
 from tagmill.sources import jdbc as source_jdbc
 from tagmill.sources import tables
-from tagmill.sources.files import vendor_path
+from tagmill.sources.files import read_tsv, vendor_path
 
 
 def rows(df):
@@ -73,11 +75,12 @@ def test_partition_overwrite_touches_only_its_partitions(spark):
     assert rows(spark.table("parts")) == [(1, "a"), (3, "b"), (4, "b")]
 
 
-def test_full_overwrite_may_read_its_target_and_keeps_it_when_empty(spark):
+def test_full_overwrite_may_read_its_target_and_empties_it(spark):
     assert loads.load_full(spark.range(3), "whole") == 3
     assert loads.load_full(spark.table("whole").where("id > 0"), "whole") == 2
-    assert loads.load_full(spark.range(0), "whole") == 0
     assert rows(spark.table("whole")) == [(1,), (2,)]
+    assert loads.load_full(spark.range(0), "whole") == 0
+    assert rows(spark.table("whole")) == []
     with pytest.raises(ValueError, match="no partitions"):
         partitions.overwrite_partitions(spark.range(1), "whole")
 
@@ -129,6 +132,38 @@ def test_append_is_rerun_safe(spark):
         loads.load_append(second, "grown", "k", "2024-01-01")
 
 
+def test_append_takes_late_and_missing_keys(spark):
+    rows_of = lambda *ids: spark.createDataFrame([(i, d) for i, d in delivered if i in ids], "id int, d string")
+    delivered = [(1, "d1"), (2, "d2"), (3, "d2"), (4, "d3"), (5, None), (6, None)]
+    assert loads.load_append(rows_of(1, 2, 5), "late", "d", "2024-01-01") == 3
+    for _ in range(2):
+        assert loads.load_append(rows_of(1, 2, 3, 4, 5, 6), "late", "d", "2024-01-02") == 3
+    assert sorted(r.id for r in spark.table("late").collect()) == [1, 2, 3, 4, 5, 6]
+    nulls = spark.createDataFrame([(1, None)], "id int, d string")
+    loads.load_append(nulls, "late_nulls", "d", "2024-01-01")
+    assert loads.load_append(rows_of(1, 2), "late_nulls", "d", "2024-01-02") == 2
+
+
+def test_many_cases_make_a_shallow_tree(spark):
+    rules = spark.range(3_000).selectExpr("'url' AS mapping_col", "concat('%', id, 'x%') AS transfer_rule", "'v' AS value")
+    tags = tag_columns(rules)
+    got = spark.createDataFrame([("a17x",), ("a",)], "url string").withColumns(tags).collect()
+    assert [r.user_tag for r in got] == ["v", None]
+
+
+def test_unknown_degree_is_an_error(spark):
+    facts = spark.createDataFrame([(1, "c", "high")], "customuid int, interest_category string, degree string")
+    with pytest.raises(Exception, match="degree outside the given ones: high"):
+        degree_matrix(facts, categories=["c"], degrees=["low"]).collect()
+
+
+def test_tsv_keeps_every_text(spark, tmp_path):
+    texts = ["a\tb", "a\nb\r", "\\", "\\n", "\\\\t\\", "\\N", "", None, '"q"', "é"]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "t string, i int")
+    files.export_tsv(df, str(tmp_path / "t"))
+    assert [r.t for r in sorted(read_tsv(spark, str(tmp_path / "t"), df.schema).collect(), key=lambda r: r.i)] == texts
+
+
 def test_load_specs(spark):
     record = {"hive_db": "default", "sql_db": "crm", "table": "x", "pattern_type": "full", "key_to_new_data": "",
               "crontab_update_frequency": "* * * * *", "driver_memory_import_data": "3g"}
@@ -166,13 +201,12 @@ def test_vendor_files(spark, tmp_path):
 def test_exports_read_back(spark, tmp_path):
     df = spark.createDataFrame([("a\tb", 'q"x', 1), ("", None, 2)], "s string, t string, dt int")
     out = str(tmp_path / "out")
-    tsv, csv = {"sep": "\t", "nullValue": files.TSV_NULL}, {"header": True, "nullValue": "none"}
-    for export, options in ((files.export_tsv, tsv), (files.export_csv, csv)):
+    csv = lambda: spark.read.schema(df.schema).options(header=True, nullValue="none").csv(out)
+    for export, read in ((files.export_tsv, lambda: read_tsv(spark, out, df.schema)), (files.export_csv, csv)):
         export(df, out)
-        back = spark.read.schema(df.schema).options(**options).csv(out)
-        assert {tuple(r) for r in back.collect()} == {("a\tb", 'q"x', 1), ("", None, 2)}
+        assert {tuple(r) for r in read().collect()} == {("a\tb", 'q"x', 1), ("", None, 2)}
         export(df, out, "2")
-        assert spark.read.schema(df.schema).options(**options).csv(out).count() == 1
+        assert read().count() == 1
 
 
 def test_templates(spark):
@@ -184,6 +218,8 @@ def test_templates(spark):
     assert tables.run_text_template(spark, "SELECT '{baseTime}' AS d", baseTime="2024-01-01").first().d == "2024-01-01"
     with pytest.raises(ValueError, match="unsafe"):
         tables.run_text_template(spark, "SELECT '{d}'", d="x' OR '1")
+    with pytest.raises(ValueError, match="unsafe"):
+        tables.run_text_template(spark, "SELECT '{d}'", d="\\")
     assert tables.preview(frame, 2, "id").count() == 2
 
 

@@ -123,7 +123,7 @@ def test_heavy_users_get_consecutive_lists(spark):
     rows += [("few", 2, "b"), ("few", 1, "a"), ("few", 3, None), ("none", 1, "")]
     random.Random(3).shuffle(rows)
     visits = spark.createDataFrame(rows, VISITS).repartition(5)
-    got = lists(user_url_lists(visits, list_urls=10))
+    got = lists(user_url_lists(visits, list_urls=10, overlap=0))
     hot = [f"h{i}" for i in range(101)]
     assert [got["hot", p] for p in range(11)] == [hot[p * 10 : p * 10 + 10] for p in range(11)]
     assert [u for p in range(3) for u in got[None, p]] == [f"n{i}" for i in range(30)]

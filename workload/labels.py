@@ -8,7 +8,7 @@ from tagmill.functions.text import clean_label, decode_label, needle, strip_blan
 from tagmill.operators.casetags import product_rules, with_tags
 from tagmill.operators.flags import label_dictionary
 from tagmill.operators.rules import audit_rules, clean_rules, match_rules
-from tagmill.operators.visits import user_url_lists
+from tagmill.operators.visits import lists_for_rules, user_url_lists
 from tagmill.plans.labels import product_labels_of_visits, product_tag_partition
 from tagmill.session import scratch_path
 from tagmill.sinks.runlog import read_log, replace_log
@@ -57,8 +57,14 @@ def product_label_flags_known_only(spark, folder):
 
 
 def rule_match_pairs(spark, folder):
-    lists = user_url_lists(visits(spark, folder))
-    return match_rules(lists, clean_rules(rule_map(spark))).distinct()
+    rules = clean_rules(rule_map(spark))
+    return match_rules(lists_for_rules(visits(spark, folder), rules), rules).distinct()
+
+
+def rule_match_pairs_cut(spark, folder):
+    """Lists of 20 URLs; a needle may stand across a cut."""
+    rules = clean_rules(rule_map(spark))
+    return match_rules(lists_for_rules(visits(spark, folder), rules, list_urls=20), rules).distinct()
 
 
 def rule_match_like(spark, folder):
@@ -161,7 +167,7 @@ def run_log_replace(spark, folder):
 
 
 def user_url_list(spark, folder):
-    lists = user_url_lists(visits(spark, folder), list_urls=20)
+    lists = user_url_lists(visits(spark, folder), list_urls=20, overlap=0)
     return lists.select(
         "distinct_id", "part", F.size("dollar_url_list").cast("bigint").alias("urls"),
         F.array_join("dollar_url_list", " ").alias("dollar_urls"),
@@ -190,6 +196,7 @@ QUERIES = {
         product_label_flags_per_visit,
         product_label_flags_known_only,
         rule_match_pairs,
+        rule_match_pairs_cut,
         rule_match_like,
         rule_match_grams,
         rule_audit,
@@ -284,3 +291,5 @@ GROUP BY distinct_id, part""",
   p_name || ' ' || p_type AS needle, '%' || replace(p_name, ' ', '') || '%' || p_type || '%' AS rule,
   upper(p_name) || ' ' AS label FROM part""",
 }
+
+SQL["rule_match_pairs_cut"] = SQL["rule_match_pairs"]

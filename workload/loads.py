@@ -8,6 +8,8 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from tagmill.plans import loads
 from tagmill.session import scratch_path
 from tagmill.sinks import files
+from tagmill.sinks.partitions import create_like, overwrite_partitions, overwrite_paths, replace_day
+from tagmill.sources.files import read_tsv
 from workload.inputs import scratch_table, table, written
 
 
@@ -31,6 +33,61 @@ def load_append(spark, folder):
     return written(spark, name, path)
 
 
+def load_append_late(spark, folder):
+    """The second delivery adds rows on the largest date of the first and rows without a date."""
+    orders = table(spark, folder, "orders")
+    last = F.lit("1998-03-02").cast("timestamp_ntz")
+    dated = orders.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderdate")))
+    early = (F.col("o_orderdate") < last) | ((F.col("o_orderdate") == last) & (F.col("o_orderkey") % 2 == 0))
+    early |= F.col("o_orderdate").isNull() & (F.col("o_orderkey") % 100 == 0)
+    name, path = scratch_table(spark, "orders_late")
+    loads.load_append(dated.where(early), name, "o_orderdate", "2024-01-01", path)
+    for _ in range(2):
+        loads.load_append(dated, name, "o_orderdate", "2024-01-02", path)
+    return written(spark, name, path)
+
+
+def load_append_emptied(spark, folder):
+    """A load is run again without rows and so takes its rows back."""
+    orders = table(spark, folder, "orders")
+    name, path = scratch_table(spark, "orders_emptied")
+    early = orders.where(F.col("o_orderdate") < F.lit("1995-01-01").cast("timestamp_ntz"))
+    loads.load_append(early, name, "o_orderdate", "2024-01-01", path)
+    loads.load_append(orders, name, "o_orderdate", "2024-01-02", path)
+    loads.load_append(early, name, "o_orderdate", "2024-01-02", path)
+    return written(spark, name, path)
+
+
+def load_month_emptied(spark, folder):
+    """A month that the source has lost is emptied."""
+    orders = table(spark, folder, "orders")
+    name, path = scratch_table(spark, "orders_month_emptied")
+    loads.load_month(orders, name, "o_orderdate", path=path)
+    without = orders.where(F.date_format("o_orderdate", "yyyyMM") != "199712")
+    loads.load_month(without, name, "o_orderdate", "1997-12-31", path)
+    return written(spark, name, path)
+
+
+def load_full_partitioned(spark, folder):
+    """The target is partitioned; partitions the source no longer has go too."""
+    orders = table(spark, folder, "orders")
+    name, path = scratch_table(spark, "orders_partitioned")
+    create_like(spark, name, orders, ["o_orderpriority"], path)
+    overwrite_partitions(orders, name)
+    loads.load_full(orders.where(F.col("o_orderpriority") != "1-URGENT"), name, path)
+    return written(spark, name, path)
+
+
+def day_replaced_by_nothing(spark, folder):
+    """A day of a folder is replaced by no rows."""
+    orders = table(spark, folder, "orders").withColumn("dt", F.to_date("o_orderdate"))
+    path = scratch_path(spark, "days")
+    late = orders.where(F.col("dt") >= F.lit("1998-07-25").cast("date"))
+    overwrite_paths(late, path, ["dt"])
+    replace_day(late.limit(0), path, "1998-07-27")
+    return spark.read.schema(orders.schema).parquet(path)
+
+
 def load_month(spark, folder):
     """All months are loaded with negated prices; one month is then loaded right."""
     orders = table(spark, folder, "orders")
@@ -74,7 +131,23 @@ def slice_export_tsv(spark, folder):
     orders = table(spark, folder, "orders")
     path = scratch_path(spark, "tsv")
     files.export_tsv(orders, path, "1998-03-02", "o_orderdate")
-    return spark.read.schema(orders.schema).options(sep="\t", nullValue=files.TSV_NULL).csv(path)
+    return read_tsv(spark, path, orders.schema)
+
+
+def text_export_tsv(spark, folder):
+    """Texts with line breaks, one line a row."""
+    documents = table(spark, folder, "documents")
+    path = scratch_path(spark, "text-tsv")
+    files.export_tsv(documents, path)
+    return read_tsv(spark, path, documents.schema)
+
+
+def text_export_csv(spark, folder):
+    """Texts with line breaks, quoted."""
+    documents = table(spark, folder, "documents")
+    path = scratch_path(spark, "text-csv")
+    files.export_csv(documents, path)
+    return spark.read.schema(documents.schema).options(header=True, multiLine=True).csv(path)
 
 
 def slice_export_csv(spark, folder):
@@ -89,12 +162,19 @@ QUERIES = {
     f.__name__: f
     for f in (
         load_full,
+        load_full_partitioned,
         load_append,
+        load_append_late,
+        load_append_emptied,
         load_month,
+        load_month_emptied,
+        day_replaced_by_nothing,
         mapping_refresh,
         vendor_file_load,
         slice_export_tsv,
         slice_export_csv,
+        text_export_tsv,
+        text_export_csv,
     )
 }
 
@@ -102,6 +182,17 @@ SQL = {
     "load_full": "SELECT * FROM orders",
     "load_append": """SELECT *, CASE WHEN o_orderdate < TIMESTAMP '1998-06-01' THEN DATE '2024-01-01'
   ELSE DATE '2024-01-02' END AS load_dt FROM orders""",
+    "load_full_partitioned": "SELECT * FROM orders WHERE o_orderpriority <> '1-URGENT'",
+    "load_append_late": """SELECT * EXCLUDE (d) REPLACE (d AS o_orderdate), CASE WHEN d < TIMESTAMP '1998-03-02'
+    OR (d = TIMESTAMP '1998-03-02' AND o_orderkey % 2 = 0) OR (d IS NULL AND o_orderkey % 100 = 0)
+  THEN DATE '2024-01-01' ELSE DATE '2024-01-02' END AS load_dt
+FROM (SELECT *, CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate END AS d FROM orders)""",
+    "load_append_emptied": """SELECT *, DATE '2024-01-01' AS load_dt FROM orders
+  WHERE o_orderdate < TIMESTAMP '1995-01-01'""",
+    "load_month_emptied": """SELECT *, strftime(o_orderdate, '%Y%m') AS yyyymm FROM orders
+  WHERE strftime(o_orderdate, '%Y%m') <> '199712'""",
+    "day_replaced_by_nothing": """SELECT *, CAST(o_orderdate AS DATE) AS dt FROM orders
+  WHERE o_orderdate >= TIMESTAMP '1998-07-25' AND CAST(o_orderdate AS DATE) <> DATE '1998-07-27'""",
     "load_month": """SELECT * REPLACE (CASE WHEN strftime(o_orderdate, '%Y%m') = '199712' THEN o_totalprice
   ELSE -o_totalprice END AS o_totalprice), strftime(o_orderdate, '%Y%m') AS yyyymm FROM orders""",
     "mapping_refresh": "SELECT * REPLACE (upper(s_name) AS s_name) FROM supplier",
@@ -109,4 +200,6 @@ SQL = {
   DATE '2024-01-05' AS dt FROM customer""",
     "slice_export_tsv": "SELECT * FROM orders WHERE o_orderdate = TIMESTAMP '1998-03-02'",
     "slice_export_csv": "SELECT * FROM events",
+    "text_export_tsv": "SELECT * FROM documents",
+    "text_export_csv": "SELECT * FROM documents",
 }

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from array import array
-from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -13,7 +12,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-CACHED, CACHED_CHARS = 150_000, 48
+CACHED, CACHED_CHARS = 400_000, 48
 
 
 class Pieces:
@@ -130,14 +129,14 @@ class Pieces:
 
 
 class _Cache(dict):
-    """Ids of runs met before, up to a bound; others are encoded each time."""
+    """Ids, as bytes, of runs met before, up to a bound; others are encoded each time."""
 
     def __init__(self, pieces: Pieces, prefix: str):
         super().__init__()
         self.pieces, self.prefix = pieces, prefix
 
-    def __missing__(self, run: str) -> list[int]:
-        ids = self.pieces.encode_run(self.prefix + run)
+    def __missing__(self, run: str) -> bytes:
+        ids = array("i", self.pieces.encode_run(self.prefix + run)).tobytes()
         if len(run) <= CACHED_CHARS and len(self) < CACHED:
             self[run] = ids
         return ids
@@ -149,32 +148,39 @@ class Encoder:
     def __init__(self, path: str):
         self.pieces = Pieces(path)
         self.spaced, self.plain = _Cache(self.pieces, SPACE), _Cache(self.pieces, "")
+        self.feed = array("i", [self.pieces.byte[10]]).tobytes()
         self.runs = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
-    def encode(self, text: str | None) -> array:
-        out = array("i")
+    def encode(self, text: str | None) -> bytes:
+        """The ids as 32-bit numbers."""
         if not text:
-            return out
+            return b""
         pieces = self.pieces
         if not pieces.by_word:
-            out.extend(pieces.encode_run(SPACE + text.replace(" ", SPACE)))
-            return out
+            return array("i", pieces.encode_run(SPACE + text.replace(" ", SPACE))).tobytes()
+        out = []
         odd = SPACE in text
-        feed = pieces.byte[10]
         for i, line in enumerate(text.split("\n") if pieces.by_line else [text]):
-            if i:
-                out.append(feed)
             words = line.split(" ")
             if odd or "" in words:
                 line = (line if i else SPACE + line).replace(" ", SPACE)
-                words = self.runs.findall(line)
-                out.extend(chain.from_iterable(map(self.plain.__getitem__, words)))
+                out.append(b"".join(map(self.plain.__getitem__, self.runs.findall(line))))
             elif i:
-                out.extend(self.plain[words[0]])
-                out.extend(chain.from_iterable(map(self.spaced.__getitem__, words[1:])))
+                out.append(self.plain[words[0]] + b"".join(map(self.spaced.__getitem__, words[1:])))
             else:
-                out.extend(chain.from_iterable(map(self.spaced.__getitem__, words)))
-        return out
+                out.append(b"".join(map(self.spaced.__getitem__, words)))
+        return self.feed.join(out)
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker process; it keeps its cache from task to task."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def decoded(pieces: Pieces, ids: list[int]) -> str:
@@ -209,13 +215,13 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
 
     def run(batches):
-        encoder = Encoder(path)
+        own = encoder(path)
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                found = [encoder.encode(t) for t in batch.column(len(keep)).to_pylist()]
-                flat = np.concatenate([np.frombuffer(f, np.int32) for f in found]) if found else np.zeros(0, np.int32)
-                bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+                found = [own.encode(t) for t in batch.column(len(keep)).to_pylist()]
+                flat = np.frombuffer(b"".join(found), np.int32)
+                bounds = np.cumsum([0, *(len(f) // 4 for f in found)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + [ids], names=[*keep, "ids"])
 
@@ -231,7 +237,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", keep: list[str] | None =
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
 
     def run(batches):
-        pieces = Pieces(path)
+        pieces = encoder(path).pieces
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)

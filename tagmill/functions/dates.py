@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # A raw event time, yyyyMMddHHmmssSSS (fixed value).
 TM_PATTERN = "^[0-9]{17}$"
+# The zone event times are written in (fixed value).
+EVENT_ZONE = "UTC+8"
 
 
 def shift(day: str, days: int) -> str:
@@ -52,3 +54,8 @@ def parse_tm(tm: Column, zoned: bool = False) -> Column:
     clock = F.concat_ws(":", F.substring(tm, 9, 2), F.substring(tm, 11, 2), F.substring(tm, 13, 2))
     text = F.concat(day, F.lit(" "), clock, F.lit("."), F.substring(tm, 15, 3))
     return F.when(tm.rlike(TM_PATTERN), text.try_cast("timestamp" if zoned else "timestamp_ntz"))
+
+
+def event_instant(tm: Column, zone: str = EVENT_ZONE) -> Column:
+    """The moment of an event time written in ``zone``, as a wall time in UTC; the session's zone plays no part."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), parse_tm(tm))

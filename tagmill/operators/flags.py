@@ -27,7 +27,7 @@ def dictionary_labels(dictionary: DataFrame) -> list[str]:
     return bounded_values(dictionary, F.upper("product_label"), MAX_LABELS, "label dictionary")
 
 
-def _mask_names(labels) -> list[str]:
+def mask_names(labels) -> list[str]:
     return [f"_mask{i}" for i in range(max(1, -(-len(labels) // BITS)))]
 
 
@@ -41,7 +41,7 @@ def with_masks(df: DataFrame, labels: list[str], label: str = "label") -> DataFr
         )
         .otherwise(F.lit(0).cast("bigint"))
         .alias(name)
-        for i, name in enumerate(_mask_names(labels))
+        for i, name in enumerate(mask_names(labels))
     ]
     return at.select(*[F.col(quoted(c)) for c in df.columns if c != label], *masks)
 
@@ -55,19 +55,19 @@ def merge_masks(pairs: DataFrame, key: str, labels: list[str], label: str = "lab
     if label in pairs.columns:
         pairs = with_masks(pairs, labels, label)
     zero = F.lit(0).cast("bigint")
-    return pairs.groupBy(key).agg(*[F.coalesce(F.bit_or(n), zero).alias(n) for n in _mask_names(labels)])
+    return pairs.groupBy(key).agg(*[F.coalesce(F.bit_or(n), zero).alias(n) for n in mask_names(labels)])
 
 
 def labels_present(merged: DataFrame, labels: list[str]) -> set[str]:
     """Labels at least one key of ``merged`` has."""
-    names = _mask_names(labels)
+    names = mask_names(labels)
     found = merged.agg(*[F.coalesce(F.bit_or(n), F.lit(0).cast("bigint")).alias(n) for n in names]).first()
     return {v for i, v in enumerate(labels) if found[i // BITS] >> (i % BITS) & 1}
 
 
 def flag_columns(merged: DataFrame, key: str, labels: list[str], keep: list[str] | None = None) -> DataFrame:
     """``key`` and one bigint 0/1 column per label of ``keep``; ``labels`` explains the masks."""
-    names, keep = _mask_names(labels), labels if keep is None else keep
+    names, keep = mask_names(labels), labels if keep is None else keep
     clash = [v for v in keep if v.lower() == key.lower()]
     if clash:
         raise ValueError(f"label {clash[0]!r} clashes with the key column")
@@ -83,5 +83,7 @@ def flag_matrix(pairs: DataFrame, key: str, labels: list[str], label: str = "lab
 
 def count_matrix(facts: DataFrame, key: str, label: str, labels: list[str]) -> DataFrame:
     """How often each key has each label, as bigint columns."""
-    counts = [F.count_if(F.col(quoted(label)) == v).alias(v) for v in labels]
-    return facts.groupBy(key).agg(*counts)
+    # Counted by (key, label) first; a pivot over given values then places each count once.
+    named = facts.select(F.col(key), F.col(quoted(label)).alias("_label"))
+    wide = named.groupBy(key).pivot("_label", labels).agg(F.count(F.lit(1))) if labels else named.select(key).distinct()
+    return wide.select(key, *[F.coalesce(F.col(quoted(v)), F.lit(0)).cast("bigint").alias(v) for v in labels])

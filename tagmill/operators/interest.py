@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagmill.bounds import TooLarge, bounded_rows, bounded_values
 from tagmill.functions.text import quoted, unique_names
-from tagmill.operators.flags import MAX_LABELS
+from tagmill.operators.flags import BITS, MAX_LABELS, mask_names, with_masks
 
 # Prefix of degree columns (fixed value).
 DEGREE_PREFIX = "大類_濃度_"
@@ -46,12 +46,11 @@ def _degree_cells(categories: list[str], degrees: list[str] | None) -> tuple[lis
     return aggs, cells
 
 
-def _class_cells(classes: list[str]) -> tuple[list[Column], list[Column]]:
-    aggs, cells = [], []
-    for i, cls in enumerate(classes):
-        aggs.append(F.max(F.when(F.col("interest_class") == cls, F.lit(1))).alias(f"_c{i}"))
-        cells.append(F.when(F.col(f"_c{i}") == 1, F.lit("1")).otherwise(F.lit("0")))
-    return aggs, cells
+def _class_cells(classes: list[str], masks: list[str]) -> tuple[list[Column], list[Column]]:
+    """Aggregates and cell values of the class block: a class is a bit of a few masks."""
+    aggs = [F.bit_or(name).alias(name) for name in masks]
+    bits = (F.getbit(F.coalesce(F.col(masks[i // BITS]), F.lit(0)), F.lit(i % BITS)) for i in range(len(classes)))
+    return aggs, [F.when(bit == 1, F.lit("1")).otherwise(F.lit("0")) for bit in bits]
 
 
 def _column_names(key: str, categories: list[str], classes: list[str]) -> tuple[list[str], list[str]]:
@@ -78,9 +77,9 @@ def class_flags(facts: DataFrame, key: str = "customuid", classes=None) -> DataF
     """``key`` and one column ``'0'``/``'1'`` per class."""
     if classes is None:
         classes = bounded_values(facts, "interest_class", MAX_LABELS, "classes")
-    aggs, cells = _class_cells(classes)
+    aggs, cells = _class_cells(classes, mask_names(classes))
     _, names = _column_names(key, [], classes)
-    wide = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
+    wide = with_masks(facts.select(key, "interest_class"), classes, "interest_class").groupBy(key).agg(*aggs)
     return wide.select(key, *[c.alias(n) for c, n in zip(cells, names)])
 
 
@@ -105,14 +104,15 @@ def interest_wide(
     if classes is None:
         classes = bounded_values(class_facts, "interest_class", MAX_LABELS, "classes")
     degree_aggs, degree_cells = _degree_cells(categories, degrees)
-    class_aggs, class_cells = _class_cells(classes)
+    masks = mask_names(classes)
+    class_aggs, class_cells = _class_cells(classes, masks)
     degree_names, class_names = _column_names(key, categories, classes)
     none = F.lit(None).cast("string")
     stacked = degree_facts.select(
-        key, "interest_category", "degree", none.alias("interest_class"), F.lit(1).alias("_block")
+        key, "interest_category", "degree", *[F.lit(0).cast("bigint").alias(m) for m in masks], F.lit(1).alias("_block")
     ).unionByName(
-        class_facts.select(
-            key, none.alias("interest_category"), none.alias("degree"), "interest_class", F.lit(2).alias("_block")
+        with_masks(class_facts.select(key, "interest_class"), classes, "interest_class").select(
+            key, none.alias("interest_category"), none.alias("degree"), *masks, F.lit(2).alias("_block")
         )
     )
     wide = stacked.groupBy(key).agg(F.bit_or("_block").alias("_blocks"), *degree_aggs, *class_aggs)

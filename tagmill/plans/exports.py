@@ -16,7 +16,7 @@ from tagmill.sources.tables import preview, run_template
 
 
 def template_export(
-    spark: SparkSession, text: str, connection: Connection, table: str, day: str, names=None, args=None, **frames
+    spark: SparkSession, text: str, connection: Connection | str, table: str, day: str, names=None, args=None, **frames
 ) -> str:
     """Publish the result of a query text, ``:baseTime`` bound, as the table of ``day``."""
     result = run_template(spark, text, names, {"baseTime": day, **(args or {})}, **frames)
@@ -24,7 +24,7 @@ def template_export(
 
 
 def template_exports(
-    spark: SparkSession, texts: dict[str, str], connection: Connection, day: str, **options
+    spark: SparkSession, texts: dict[str, str], connection: Connection | str, day: str, **options
 ) -> list[str]:
     """``template_export`` for several tables, such as the second-level interests."""
     return [template_export(spark, text, connection, table, day, **options) for table, text in texts.items()]

@@ -106,7 +106,7 @@ def product_labels_of_visits(
 
 
 def label_snapshot(
-    users: DataFrame, rules: DataFrame, dictionary: DataFrame, connection: Connection, table: str, day: str, **options
+    users: DataFrame, rules: DataFrame, dictionary: DataFrame, connection: Connection | str, table: str, day: str, **options
 ) -> str:
     """Publish ``product_labels`` as the relational table of ``day``."""
     return write_snapshot(product_labels(users, rules, dictionary, **options), connection, table, day)
@@ -155,7 +155,7 @@ def product_tag_partition(
 
 
 def interest_snapshot(
-    degree_facts: DataFrame, class_facts: DataFrame, connection: Connection, day: str, **options
+    degree_facts: DataFrame, class_facts: DataFrame, connection: Connection | str, day: str, **options
 ) -> str:
     """Publish the interest table of ``day``."""
     return write_snapshot(interest_wide(degree_facts, class_facts, **options), connection, INTEREST_TABLE, day)

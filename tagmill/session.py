@@ -15,10 +15,6 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
-# Event times are written in this zone (fixed value).
-EVENT_ZONE = "UTC+8"
-
-
 def get_session(app: str, master: str | None = None, zone: str | None = None, conf=None) -> SparkSession:
     """A session with ``DEFAULTS``; ``conf`` wins over them."""
     builder = SparkSession.builder.appName(app)

@@ -41,9 +41,16 @@ def _dealt(df: DataFrame) -> DataFrame:
     return df.repartition(CONNECTIONS)
 
 
-def write_snapshot(df: DataFrame, connection: Connection, table: str, day: str) -> str:
-    """Replace the table of one date; returns its name."""
+def write_snapshot(df: DataFrame, connection: Connection | str, table: str, day: str) -> str:
+    """Replace the table of one date; returns its name.
+
+    A text in place of a connection is a folder on shared storage; the table is then
+    the Parquet folder of its name below it.
+    """
     name = snapshot_name(table, day)
+    if isinstance(connection, str):
+        df.write.mode("overwrite").parquet(f"{connection.rstrip('/')}/{name}")
+        return name
     overwrite_jdbc(_dealt(df), connection, name)
     return name
 

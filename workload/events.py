@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tagmill.functions.dates import month_name, month_of, on_grid, parse_tm, underscored
+from tagmill.functions.dates import compact, event_instant, month_name, month_of, on_grid, parse_tm, shift, table_suffix, underscored
 from tagmill.functions.types import cast_wide
 from tagmill.operators import events as ops
+from tagmill.plans import exports
 from tagmill.plans.exports import daily_event_files
 from tagmill.session import scratch_path
 from tagmill.sinks.partitions import overwrite_paths
 from tagmill.sources.tables import preview, run_template, run_text_template
-from workload.inputs import EVENTS_SQL, delivered_twice, events, table
+from workload.inputs import EVENTS_SQL, OTHER_SQL, delivered_twice, events, table
 
 _SHOWN = ["distinct_id", "dt", "tm", "event_duration", "element_content", "event"]
 
@@ -28,8 +29,35 @@ def event_tm_parse(spark, folder):
     return events(spark, folder).select("event_id", parse_tm(F.col("tm")).alias("tm"))
 
 
+def event_tm_instant(spark, folder):
+    """Event times of the export's zone as instants in UTC."""
+    return events(spark, folder).select("event_id", event_instant(F.col("tm")).alias("instant"))
+
+
+def export_names(spark, folder):
+    """Names an export of 1998-01-07 gives to what it writes about the day a week before."""
+    day = shift("1998-01-07", -7)
+    orders = table(spark, folder, "orders").where(F.to_date("o_orderdate") == F.lit(day).cast("date"))
+    return orders.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(month_name("event_yyyymm", day)).alias("monthly"),
+        F.lit(compact(day)).alias("compact"),
+        F.lit(table_suffix(day)).alias("suffix"),
+        "row_count",
+    )
+
+
+def template_export_files(spark, folder):
+    """The template's result as the snapshot of a date on shared storage."""
+    root = scratch_path(spark, "snapshots")
+    source = table(spark, folder, "events")
+    name = exports.template_export(
+        spark, _TEMPLATE, root, "interest", "2024-01-20", names={"key": "user_id"}, source=source
+    )
+    return spark.read.parquet(f"{root}/{name}").withColumn("name", F.lit(name))
+
+
 def event_dedup(spark, folder):
-    return ops.dedup_events(delivered_twice(spark, folder)).select(*_SHOWN)
+    return ops.dedup_events(delivered_twice(spark, folder))
 
 
 def event_dedup_first(spark, folder):
@@ -48,7 +76,7 @@ def event_day_replace(spark, folder):
     overwrite_paths(rows, path, ["dt"])
     for _ in range(2):
         daily_event_files(rows, "2024-01-15", path)
-    return spark.read.schema(rows.schema).parquet(path).select(*_SHOWN)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def monthly_name_rollup(spark, folder):
@@ -119,6 +147,9 @@ QUERIES = {
         event_day_slice,
         event_lookback,
         event_tm_parse,
+        event_tm_instant,
+        export_names,
+        template_export_files,
         event_dedup,
         event_dedup_first,
         event_dup_report,
@@ -133,21 +164,26 @@ QUERIES = {
     )
 }
 
-_TWICE = f"(SELECT * EXCLUDE event_id FROM ({EVENTS_SQL}) UNION ALL SELECT * EXCLUDE event_id FROM ({EVENTS_SQL}))"
+_TWICE = "(" + " UNION ALL ".join(f"SELECT * EXCLUDE event_id FROM ({s})" for s in (EVENTS_SQL, EVENTS_SQL, OTHER_SQL)) + ")"
 _COLUMNS = "distinct_id, dt, tm, event_duration, element_content, event"
 
 SQL = {
-    "event_day_slice": f"SELECT * FROM ({EVENTS_SQL}) WHERE dt = DATE '2024-01-08'",
-    "event_lookback": f"SELECT * FROM ({EVENTS_SQL}) WHERE dt BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'",
+    "event_day_slice": f"SELECT event_id, {_COLUMNS} FROM ({EVENTS_SQL}) WHERE dt = DATE '2024-01-08'",
+    "event_lookback": f"SELECT event_id, {_COLUMNS} FROM ({EVENTS_SQL}) WHERE dt BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'",
     "event_tm_parse": "SELECT event_id, date_trunc('millisecond', ts) AS tm FROM events",
-    "event_dedup": f"SELECT DISTINCT {_COLUMNS} FROM {_TWICE}",
+    "event_tm_instant": "SELECT event_id, date_trunc('millisecond', ts) - INTERVAL 8 HOUR AS instant FROM events",
+    "export_names": """SELECT 'event_199712' AS monthly, '19971231' AS compact, '1997_12_31' AS suffix, count(*) AS row_count
+FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1997-12-31'""",
+    "template_export_files": """SELECT user_id AS customuid, count(*) AS events, round(sum(value), 2) AS total,
+  'interest_2024_01_20' AS name FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY user_id""",
+    "event_dedup": f"SELECT DISTINCT * FROM {_TWICE}",
     "event_dedup_first": f"""SELECT event_id, {_COLUMNS} FROM ({EVENTS_SQL})
 QUALIFY row_number() OVER (PARTITION BY distinct_id, dt, event ORDER BY event_id) = 1""",
     "event_dup_report": f"""SELECT (SELECT count(*) FROM {_TWICE}) AS rows_before,
   (SELECT count(*) FROM (SELECT DISTINCT * FROM {_TWICE})) AS rows_after,
   (SELECT count(DISTINCT user_id) FROM events) AS users""",
-    "event_day_replace": f"""SELECT {_COLUMNS} FROM {_TWICE} WHERE dt <> DATE '2024-01-08'
-UNION ALL SELECT DISTINCT {_COLUMNS} FROM {_TWICE} WHERE dt = DATE '2024-01-08'""",
+    "event_day_replace": f"""SELECT * FROM {_TWICE} WHERE dt <> DATE '2024-01-08'
+UNION ALL SELECT DISTINCT * FROM {_TWICE} WHERE dt = DATE '2024-01-08'""",
     "monthly_name_rollup": """SELECT 'event_' || strftime(o_orderdate, '%Y%m') AS table_name, count(*) AS row_count
 FROM orders GROUP BY 1""",
     "biweekly_snapshots": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dt FROM orders

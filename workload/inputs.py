@@ -24,6 +24,11 @@ RULES = [
 LABELS = [("french", "F"), ("feed", "E"), ("spam", "S"), ("article", "A"), ("top_first", "T"), ("unused", "U")]
 
 
+# Event columns without a counterpart in the given table; they are derived from the event's number.
+_GIVEN = ("distinct_id", "dt", "tm", "event_duration", "element_content", "event")
+DERIVED = [c for c in EVENT_COLUMNS if c not in _GIVEN]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -59,20 +64,35 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
         "element_content": F.col("props"),
         "event": F.col("event_type"),
     }
-    empty = F.lit(None).cast("string")
-    return source.select("event_id", *[known.get(c, empty).alias(c) for c in EVENT_COLUMNS])
+    for i, c in enumerate(DERIVED):
+        text = F.concat(F.lit(f"{c}_"), F.expr(f"(event_id div 2 + {i}) % 3").cast("string"))
+        known[c] = F.when(F.expr(f"(event_id div 3 + {i}) % 5 <> 0"), text)
+    return source.select("event_id", *[known[c].alias(c) for c in EVENT_COLUMNS])
 
 
 def delivered_twice(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table as two deliveries of every event leave it."""
-    once = events(spark, folder).drop("event_id")
-    return once.unionAll(once)
+    """The event table as repeated deliveries leave it: every event twice, and once more
+    with another text, or none, in a single column."""
+    once = events(spark, folder)
+    changed = {
+        c: F.when(F.expr(f"event_id % {len(DERIVED)} = {i}"), F.when(F.expr("event_id % 2 = 0"), F.lit("changed"))).otherwise(F.col(c))
+        for i, c in enumerate(DERIVED)
+    }
+    other = once.withColumns(changed).drop("event_id")
+    return once.drop("event_id").unionAll(once.drop("event_id")).unionAll(other)
 
 
-EVENTS_SQL = """SELECT event_id, CAST(user_id AS VARCHAR) AS distinct_id, CAST(ts AS DATE) AS dt,
+_DERIVED_SQL = "".join(
+    f",\n  CASE WHEN (event_id // 3 + {i}) % 5 <> 0 THEN '{c}_' || ((event_id // 2 + {i}) % 3) END AS {c}" for i, c in enumerate(DERIVED)
+)
+EVENTS_SQL = f"""SELECT event_id, CAST(user_id AS VARCHAR) AS distinct_id, CAST(ts AS DATE) AS dt,
   strftime(ts, '%Y%m%d%H%M%S') || lpad(CAST(date_part('millisecond', ts)::BIGINT % 1000 AS VARCHAR), 3, '0') AS tm,
-  value AS event_duration, props AS element_content, event_type AS event
+  value AS event_duration, props AS element_content, event_type AS event{_DERIVED_SQL}
 FROM events"""
+OTHER_SQL = "SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN event_id % {len(DERIVED)} = {i} THEN CASE WHEN event_id % 2 = 0 THEN 'changed' END ELSE {c} END AS {c}"
+    for i, c in enumerate(DERIVED)
+) + f") FROM ({EVENTS_SQL})"
 
 
 def scratch_table(spark: SparkSession, name: str) -> tuple[str, str]:

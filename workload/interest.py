@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tagmill.operators import interest as ops
 from tagmill.plans import exports
+from tagmill.plans.labels import interest_snapshot
+from tagmill.session import scratch_path
 from workload.inputs import table
 
 
@@ -45,7 +47,41 @@ def activity_counts(spark, folder):
     return exports.activity_counts(table(spark, folder, "events"), "user_id", "event_type")
 
 
-QUERIES = {f.__name__: f for f in (interest_degree_matrix, interest_class_flags, interest_wide, activity_counts)}
+def interest_snapshot_files(spark, folder):
+    """The interest table of a date on shared storage."""
+    root = scratch_path(spark, "snapshots")
+    name = interest_snapshot(degree_facts(spark, folder), class_facts(spark, folder), root, "2024-01-31")
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def part_facts(spark, folder):
+    """Sizes stand for users, brand and kind together for some 150 classes."""
+    name = F.concat_ws("_", "p_brand", "p_type")
+    return table(spark, folder, "part").select(F.col("p_size").cast("string").alias("customuid"), name.alias("interest_class"))
+
+
+def class_flags_wide(spark, folder):
+    return ops.class_flags(part_facts(spark, folder))
+
+
+def activity_counts_wide(spark, folder):
+    return exports.activity_counts(part_facts(spark, folder), "customuid", "interest_class")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        interest_degree_matrix,
+        interest_class_flags,
+        interest_wide,
+        interest_snapshot_files,
+        class_flags_wide,
+        activity_counts,
+        activity_counts_wide,
+    )
+}
+
+_PARTS = "SELECT CAST(p_size AS VARCHAR) AS customuid, p_brand || '_' || p_type AS class FROM part"
 
 _CATEGORIES = ("click", "error", "purchase", "signup", "view")
 _CLASSES = ("A_F", "A_O", "N_F", "N_O", "R_F", "R_O")
@@ -60,6 +96,10 @@ _FLAGS = "SELECT customuid, " + ", ".join(
 FROM lineitem) GROUP BY customuid"""
 
 SQL = {
+    "class_flags_wide": f"""SELECT customuid, CASE WHEN COLUMNS(* EXCLUDE customuid) > 0 THEN '1' ELSE '0' END
+FROM (PIVOT ({_PARTS}) ON class USING count(*) GROUP BY customuid)""",
+    "activity_counts_wide": f"PIVOT ({_PARTS}) ON class USING count(*) GROUP BY customuid",
+    "interest_snapshot_files": f"SELECT * FROM ({_DEGREES}) d FULL JOIN ({_FLAGS}) c USING (customuid)",
     "interest_degree_matrix": _DEGREES,
     "interest_class_flags": _FLAGS,
     "interest_wide": f"SELECT * FROM ({_DEGREES}) d FULL JOIN ({_FLAGS}) c USING (customuid)",

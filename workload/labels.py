@@ -9,9 +9,11 @@ from tagmill.operators.casetags import product_rules, with_tags
 from tagmill.operators.flags import label_dictionary
 from tagmill.operators.rules import audit_rules, clean_rules, match_rules
 from tagmill.operators.visits import lists_for_rules, user_url_lists
-from tagmill.plans.labels import product_labels_of_visits, product_tag_partition
-from tagmill.session import scratch_path
+from tagmill.plans.labels import label_snapshot, product_labels_of_visits, product_tag_partition
+from tagmill.session import materialize, scratch_path
+from tagmill.sinks.partitions import create_like, overwrite_table
 from tagmill.sinks.runlog import read_log, replace_log
+from tagmill.sources.tables import read_rule_map
 from workload.inputs import dictionary, rule_map, scratch_table, small, table, visits, written
 
 LIKE_RULES = [
@@ -67,6 +69,27 @@ def rule_match_pairs_cut(spark, folder):
     return match_rules(lists_for_rules(visits(spark, folder), rules, list_urls=20), rules).distinct()
 
 
+def label_snapshot_files(spark, folder):
+    """The label snapshot of a date on shared storage."""
+    root = scratch_path(spark, "snapshots")
+    rules = clean_rules(rule_map(spark))
+    lists = lists_for_rules(visits(spark, folder), rules)
+    name = label_snapshot(lists, rule_map(spark), dictionary(spark), root, "labels", "2024-01-31")
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def rule_map_scan(spark, folder):
+    """A rule map kept as a catalog table, rules repeated."""
+    pages = visits(spark, folder)
+    rules = pages.select(F.concat(F.lit("%//"), "distinct_id").alias("transfer_rule"), F.col("distinct_id").alias("value"), "seq")
+    name, path = scratch_table(spark, "rule_map")
+    create_like(spark, name, rules, path=path)
+    overwrite_table(rules, name)
+    found = materialize(read_rule_map(spark, name), "rule-map")
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 def rule_match_like(spark, folder):
     single = visits(spark, folder).select("distinct_id", F.array("url").alias("dollar_url_list"))
     return match_rules(single, clean_rules(rule_map(spark, LIKE_RULES), "like"), scope="url").distinct()
@@ -197,6 +220,8 @@ QUERIES = {
         product_label_flags_known_only,
         rule_match_pairs,
         rule_match_pairs_cut,
+        label_snapshot_files,
+        rule_map_scan,
         rule_match_like,
         rule_match_grams,
         rule_audit,
@@ -293,3 +318,6 @@ GROUP BY distinct_id, part""",
 }
 
 SQL["rule_match_pairs_cut"] = SQL["rule_match_pairs"]
+SQL["label_snapshot_files"] = SQL["product_label_flags"]
+SQL["rule_map_scan"] = """SELECT DISTINCT '%//' || split_part(url, '/', 3) AS transfer_rule, split_part(url, '/', 3) AS value
+FROM pages"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -10,7 +12,8 @@ from tagmill.session import scratch_path
 from tagmill.sinks import files
 from tagmill.sinks.partitions import create_like, overwrite_partitions, overwrite_paths, replace_day
 from tagmill.sources.files import read_tsv
-from workload.inputs import scratch_table, table, written
+from tagmill.sources.tables import LoadSpec
+from workload.inputs import scratch_table, small, table, written
 
 
 def load_full(spark, folder):
@@ -88,6 +91,27 @@ def day_replaced_by_nothing(spark, folder):
     return spark.read.schema(orders.schema).parquet(path)
 
 
+def job_table_loads(spark, folder):
+    """Loads as a job table lists them, each by its pattern; returns what the targets hold."""
+    run = uuid.uuid4().hex[:12]
+    jobs = small(
+        spark,
+        [
+            ("default", f"crm{run}", "supplier", "full", None),
+            ("default", f"crm{run}", "orders", "append", "o_orderdate"),
+            ("default", f"erp{run}", "orders", "yyyymm", "o_orderdate"),
+        ],
+        ["hive_db", "sql_db", "table", "pattern_type", "key_to_new_data"],
+    )
+    held = []
+    for spec in LoadSpec.from_table(jobs):
+        path = scratch_path(spark, spec.table)
+        loads.load(table(spark, folder, spec.table), spec, "1997-12-31", path)
+        rows = written(spark, spec.target, path).agg(F.count(F.lit(1)).alias("row_count"))
+        held.append(rows.select(F.lit(spec.table).alias("source"), F.lit(spec.pattern_type).alias("pattern"), "row_count"))
+    return held[0].unionAll(held[1]).unionAll(held[2])
+
+
 def load_month(spark, folder):
     """All months are loaded with negated prices; one month is then loaded right."""
     orders = table(spark, folder, "orders")
@@ -168,6 +192,7 @@ QUERIES = {
         load_append_emptied,
         load_month,
         load_month_emptied,
+        job_table_loads,
         day_replaced_by_nothing,
         mapping_refresh,
         vendor_file_load,
@@ -193,6 +218,9 @@ FROM (SELECT *, CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate END AS d FROM or
   WHERE strftime(o_orderdate, '%Y%m') <> '199712'""",
     "day_replaced_by_nothing": """SELECT *, CAST(o_orderdate AS DATE) AS dt FROM orders
   WHERE o_orderdate >= TIMESTAMP '1998-07-25' AND CAST(o_orderdate AS DATE) <> DATE '1998-07-27'""",
+    "job_table_loads": """SELECT 'supplier' AS source, 'full' AS pattern, count(*) AS row_count FROM supplier
+UNION ALL SELECT 'orders', 'append', count(*) FROM orders
+UNION ALL SELECT 'orders', 'yyyymm', count(*) FROM orders WHERE strftime(o_orderdate, '%Y%m') = '199712'""",
     "load_month": """SELECT * REPLACE (CASE WHEN strftime(o_orderdate, '%Y%m') = '199712' THEN o_totalprice
   ELSE -o_totalprice END AS o_totalprice), strftime(o_orderdate, '%Y%m') AS yyyymm FROM orders""",
     "mapping_refresh": "SELECT * REPLACE (upper(s_name) AS s_name) FROM supplier",

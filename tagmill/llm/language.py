@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,40 +22,59 @@ class Languages:
     names: list[str]
     hashes: np.ndarray
     logs: np.ndarray
-    grams: list[dict[str, np.ndarray]]
+    grams: list[dict[str, int]]  # row of each n-gram
+    gram_logs: list[np.ndarray]
 
 
 def _logs(counts: np.ndarray, add: float) -> np.ndarray:
     return np.log((counts + add) / (counts.sum(axis=0) + add * max(1, len(counts)))).astype(np.float32)
 
 
+class _Counts:
+    """Counts of items by language, in rows that grow."""
+
+    def __init__(self, langs: int):
+        self.langs, self.row, self.held = langs, {}, array("d")
+
+    def add(self, item, lang: int, n: float = 1.0) -> bool:
+        """Count; whether the item is new for the language."""
+        at = self.row.get(item)
+        if at is None:
+            at = self.row[item] = len(self.row)
+            self.held.extend([0.0] * self.langs)
+        at = at * self.langs + lang
+        new = not self.held[at]
+        self.held[at] += n
+        return new
+
+    def logs(self, add: float) -> np.ndarray:
+        counts = np.frombuffer(self.held).reshape(-1, self.langs) if self.row else np.zeros((0, max(1, self.langs)))
+        return _logs(counts, add)
+
+
 def train(texts, labels: list[str], least: int = 2) -> Languages:
     """Words seen ``least`` times or more are known.  N-grams are counted over the
     distinct words of each language, each with a space on both sides."""
     names = sorted(set(labels))
-    rows, starts, ends, hashes, _ = words(*raw(texts), separators=NOT_LETTERS)
-    data, _ = raw(texts)
-    of = np.repeat(np.array([names.index(x) for x in labels], np.int64), np.diff(rows))
-    known, inverse = np.unique(hashes, return_inverse=True)
-    counts = np.zeros((len(known), max(1, len(names))))
-    np.add.at(counts, (inverse, of), 1)
-    grams: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-    pairs, first = np.unique(inverse * max(1, len(names)) + of, return_index=True)
-    for pair, i in zip(pairs.tolist(), first.tolist()):
-        word = " " + data[starts[i] : ends[i]].tobytes().decode().lower() + " "
-        lang = pair % max(1, len(names))
-        for n in range(1, LONGEST + 1):
-            for j in range(len(word) - n + 1):
-                held = grams[n].get(word[j : j + n])
-                if held is None:
-                    held = grams[n][word[j : j + n]] = np.zeros(len(names), np.float32)
-                held[lang] += 1
-    for n in range(1, LONGEST + 1):
-        if grams[n]:
-            logs = _logs(np.stack(list(grams[n].values())), 0.5)
-            grams[n] = dict(zip(grams[n], logs))
-    often = counts.sum(axis=1) >= least
-    return Languages(names, known[often], _logs(counts[often], 0.1), grams)
+    known, grams = _Counts(len(names)), [_Counts(len(names)) for _ in range(LONGEST + 1)]
+    for lo in range(0, len(labels), 500):
+        data, offsets = raw(texts.slice(lo, 500))
+        rows, starts, ends, hashes, _ = words(data, offsets, separators=NOT_LETTERS)
+        of = np.repeat([names.index(x) for x in labels[lo : lo + 500]], np.diff(rows))
+        for lang in range(len(names)):
+            mine = np.flatnonzero(of == lang)
+            some, first, n = np.unique(hashes[mine], return_index=True, return_counts=True)
+            for h, i, c in zip(some.tolist(), mine[first].tolist(), n.tolist()):
+                if known.add(h, lang, c):
+                    word = " " + data[starts[i] : ends[i]].tobytes().decode().lower() + " "
+                    for size in range(1, LONGEST + 1):
+                        for j in range(len(word) - size + 1):
+                            grams[size].add(word[j : j + size], lang)
+    hashes = np.fromiter(known.row, np.uint64, len(known.row))
+    often = np.frombuffer(known.held).reshape(len(hashes), -1).sum(axis=1) >= least if len(hashes) else np.zeros(0, bool)
+    order = np.argsort(hashes[often])
+    logs = known.logs(0.1)[often][order]
+    return Languages(names, hashes[often][order], logs, [g.row for g in grams], [g.logs(0.5) for g in grams])
 
 
 def backed_off(model: Languages, word: str) -> np.ndarray:
@@ -63,7 +83,7 @@ def backed_off(model: Languages, word: str) -> np.ndarray:
     for n in range(min(LONGEST, len(word)), 0, -1):
         held = [g for g in map(model.grams[n].get, (word[j : j + n] for j in range(len(word) - n + 1))) if g is not None]
         if held:
-            return np.mean(held, axis=0)
+            return model.gram_logs[n][held].mean(axis=0)
     return np.zeros(len(model.names), np.float32)
 
 
@@ -103,10 +123,10 @@ def predict(model: Languages, column, cache: dict) -> tuple[list[str], np.ndarra
     return names, np.where(letters, share.max(axis=1), 0.0)
 
 
-def fit_languages(docs: DataFrame, key="doc_id", text="text", lang="lang", each: int = 2_000, most: int = 12_000) -> Languages:
+def fit_languages(docs: DataFrame, key="doc_id", text="text", lang="lang", each: int = 1_500, most: int = 6_000) -> Languages:
     """Learn from about ``each`` rows of every language, ``most`` in all: a bounded sample
     chosen by a hash of the key and counted on the driver."""
-    sample = chosen(docs.select(key, text, lang), key, lang, each, most)
+    sample = chosen(docs.select(key, text, lang), key, lang, each, most).toArrow().sort_by(key)
     return train(sample.column(text), sample.column(lang).to_pylist())
 
 

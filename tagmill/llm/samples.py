@@ -11,18 +11,16 @@ def held_out(key: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def chosen(df: DataFrame, key: str, label: str, each: int, most: int):
-    """About ``each`` rows of every label value, ``most`` at most over all, as an Arrow table by key.
+def chosen(df: DataFrame, key: str, label: str, each: int, most: int) -> DataFrame:
+    """About ``each`` rows of every label value, ``most`` at most over all.
 
     Rows are chosen by a hash of their key, so the same rows train every time.  Labels
     are counted first; the counts are small, a row a label value.
     """
     counts = {r[0]: r[1] for r in df.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
-    if not counts:
-        return df.limit(0).toArrow()
-    each = min(each, most // len(counts))
+    each = min(each, most // max(1, len(counts)))
     share = F.lit(0.0)
     for value, n in counts.items():
         share = F.when(F.col(label) == F.lit(value), F.lit(min(1.0, each / n))).otherwise(share)
     dealt = F.pmod(F.xxhash64(F.col(key), F.lit("train")), F.lit(1 << 30)) / float(1 << 30)
-    return df.where(F.col(label).isNotNull() & (dealt < share)).limit(most + most // 4).toArrow().sort_by(key)
+    return df.where(F.col(label).isNotNull() & (dealt < share)).limit(most + most // 4)

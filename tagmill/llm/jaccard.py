@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagmill.llm.frames import components, matched
@@ -51,7 +51,8 @@ def _scan(batches, size, seed, cells):
         found = list(shingles(rows, hashes, size))
         n = len(found)
         if n and (flat := np.concatenate(found)).size:
-            seen += np.bincount((flat >> shift).astype(np.int64), minlength=cells).astype(np.uint32)
+            cell, times = np.unique(flat >> shift, return_counts=True)
+            seen[cell.astype(np.int64)] += times.astype(np.uint32)
         signs = [np.minimum(np.bincount((x >> np.uint64(57)).astype(np.int64), minlength=BINS), 255) for x in found]
         yield pa.RecordBatch.from_arrays(
             [
@@ -208,6 +209,7 @@ def ngram_jaccard(
     cells: int = 1 << 22,
     buckets: int = 1024,
     heavy: int = 200_000,
+    rounds: int = 2,
 ) -> DataFrame:
     """``(key, n_shingles, component)`` for every row: near-duplicates share a component.
 
@@ -225,10 +227,11 @@ def ngram_jaccard(
        similar enough must share one.  Postings travel packed by hash bucket, and those
        without a second class of a fitting size in their list are dropped.  Shingles in cells counted ``heavy`` times or more
        are dealt by class instead, so no bucket gathers a very long list.
-    4. First every class is compared with the least class of each of its lists, a number
-       of pairs that is linear in the lists.  Then pairs of classes that are not linked
-       yet and share a posting follow.  Length, positional and suffix filters run before
-       texts are fetched, and each remaining pair is verified once.
+    4. In a few ``rounds`` every class is compared with one class of each of its lists, a
+       number of pairs that is linear in the lists, and lists whose classes are all
+       linked are done.  Then all pairs of classes follow that share a posting and are
+       not linked yet, those first that share most.  Length, positional and suffix filters run before texts are
+       fetched, and each remaining pair is verified once.
 
     Shingles are 64-bit hashes; two classes with equal hashes are told apart by a second
     hash, and the first is drawn anew if that happens.
@@ -248,7 +251,10 @@ def ngram_jaccard(
     lists = docs.where("id is not null").select("text").mapInArrow(
         lambda it: _postings(it, size, seed, percent, sent, buckets, heavy), "bucket int, postings binary"
     )
-    lists = materialize(lists.groupBy("bucket").applyInArrow(_shared(buckets, percent), "h long, k long, n int, pos int"), "lists")
+    lists = lists.groupBy("bucket").applyInArrow(_shared(buckets, percent), "h long, k long, n int, pos int")
+    # before: a class's earlier postings that some other class has; the rest cannot be shared.
+    earlier = Window.partitionBy("k").orderBy("pos")
+    lists = materialize(lists.withColumn("before", F.row_number().over(earlier) - 1), "lists")
     signed = materialize(
         rows.join(classes, ["k", "id"], "left_semi").select("k", "id", "n", "sig"), "signed"
     )
@@ -271,29 +277,45 @@ def ngram_jaccard(
         found = sides.select("a", "b", "ta", "tb").mapInArrow(_verified(size, seed, percent), "a long, b long")
         return materialize(found, "links")
 
-    least = lists.groupBy("h").agg(F.min("k").alias("b"))
-    stars = lists.join(least, "h").where("k <> b").select(F.col("k").alias("a"), "b").distinct()
-    stars = materialize(close(stars), "stars")
-    links = linked(stars)
-    known = components(links, "known")
-    placed = lists.join(known.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
-    mixed = placed.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
-    open_ = materialize(placed.join(mixed, "h", "left_semi"), "open")
+    open_, stars, links = lists.withColumn("root", F.col("k")), None, None
+    for turn in range(rounds):
+        salt = F.xxhash64("k", F.lit(turn))
+        centre = open_.groupBy("h").agg(*[F.min_by(c, salt).alias(f"c{c}") for c in ("k", "n", "root")])
+        rays = open_.join(centre, "h").where(f"root <> croot and 100L * least(n, cn) >= {percent}L * greatest(n, cn)")
+        rays = rays.select(F.greatest("k", "ck").alias("a"), F.least("k", "ck").alias("b")).distinct()
+        rays = materialize(close(rays if stars is None else rays.join(stars, ["a", "b"], "left_anti")), "stars")
+        stars = rays if stars is None else stars.unionAll(rays)
+        links = linked(rays) if links is None else links.unionAll(linked(rays))
+        known = components(links, "known").withColumnRenamed("node", "k")
+        placed = lists.join(known, "k", "left").withColumn("root", F.coalesce("root", "k"))
+        mixed = placed.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
+        open_ = materialize(placed.join(mixed, "h", "left_semi"), "open")
     x, y = open_.alias("x"), open_.alias("y")
     pairs = x.join(
         y,
         F.expr(
             "x.h = y.h and x.k < y.k and x.root <> y.root"
             f" and 100L * least(x.n, y.n) >= {percent}L * greatest(x.n, y.n)"
+            " and least(x.before, y.before) + least(x.n - x.pos, y.n - y.pos)"
+            f" >= ceil({percent}L * (x.n + y.n) / {100 + percent})"
         ),
     ).groupBy(F.col("x.k").alias("b"), F.col("y.k").alias("a"))
     pairs = pairs.agg(
-        F.count("*").alias("c"), F.max("x.pos").alias("pb"), F.max("y.pos").alias("pa"), F.max("x.n").alias("nb"), F.max("y.n").alias("na")
+        F.first("x.root").alias("rb"), F.first("y.root").alias("ra"), F.count("*").alias("c"), F.max("x.pos").alias("pb"), F.max("y.pos").alias("pa"), F.max("x.n").alias("nb"), F.max("y.n").alias("na")
     )
     # All that both have up to the last shared posting is counted; the rest cannot exceed the shorter tail.
-    pairs = pairs.where(f"c + least(na - pa, nb - pb) - 1 >= ceil({percent}L * (na + nb) / {100 + percent})").select("a", "b")
-    pairs = materialize(close(pairs.join(stars, ["a", "b"], "left_anti")), "pairs")
-    links = links.unionAll(linked(pairs))
+    pairs = pairs.where(f"c + least(na - pa, nb - pb) - 1 >= ceil({percent}L * (na + nb) / {100 + percent})")
+    pairs = pairs.join(stars, ["a", "b"], "left_anti").select("a", "b", "ra", "rb", "c")
+    # Of a class and a component, the pairs that share most come first; one link between them will do.
+    nth = [F.row_number().over(Window.partitionBy(*w).orderBy(F.desc("c"), *w[::2], "a", "b")) for w in (("a", "rb"), ("b", "ra"))]
+    pairs = materialize(pairs.withColumn("nth", F.greatest(*nth)), "pairs")
+    links = links.unionAll(linked(materialize(close(pairs.where("nth <= 4").select("a", "b")), "first")))
+    known = components(links, "known")
+    rest = pairs.where("nth > 4").select("a", "b")
+    for side in ("a", "b"):
+        rest = rest.join(known.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
+    rest = rest.where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
+    links = links.unionAll(linked(materialize(close(rest), "rest")))
     roots = components(links, "roots").withColumnRenamed("node", "k")
     classes = classes.join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
     least = classes.groupBy("root").agg(F.min("id").alias("component"))

@@ -143,7 +143,8 @@ def identify_languages(df: DataFrame, model: Languages, text: str = "text", keep
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
 
     def run(batches):
-        model, cache = sent.value, {}
+        model = sent.value
+        cache = model.__dict__.setdefault("cache", {})  # kept by the worker from task to task
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)

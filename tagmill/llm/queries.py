@@ -111,6 +111,19 @@ def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("component", "component_id")
 
 
+SQL["op5_ngram_jaccard"] = r"""WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS t(i) WHERE len(ws) > 0),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.y) AS component_id
+FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
 @query
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -157,3 +170,13 @@ def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     found = near_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding", "label", cosine=0.98)
     found = found.withColumnRenamed("component", "component_id")
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+SQL["op10_near_vectors"] = """WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+links AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM v a
+  JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT r.x AS vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(r.y) AS component_id, min(r.y) = r.x AS kept
+FROM reach r LEFT JOIN n ON n.x = r.x GROUP BY r.x"""

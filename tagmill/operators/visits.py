@@ -9,8 +9,9 @@ from tagmill.session import materialize
 
 # URLs one list may hold; a user with more gets several lists.
 LIST_URLS = 10_000
-# Visits of heavy users one task sorts at a time.
+# Visits of heavy users one task sorts at a time, and most tasks that share them.
 SORT_ROWS = 2_000_000
+SORT_TASKS = 20_000
 
 
 def user_url_lists(
@@ -49,7 +50,7 @@ def user_url_lists(
     ranged = materialize(
         full.alias("r")
         .join(heavy.alias("h"), same, "left_semi")
-        .repartitionByRange(max(2, -(-total // SORT_ROWS)), key, "_seq")
+        .repartitionByRange(min(SORT_TASKS, max(2, -(-total // SORT_ROWS))), key, "_seq")
         .withColumn("_slice", F.spark_partition_id()),
         "visits",
     )

@@ -91,8 +91,19 @@ def load(source: DataFrame, spec: LoadSpec, execution_date: str, path: str | Non
     return load_month(source, spec.target, spec.key_to_new_data, execution_date, path)
 
 
-def mirror(spark: SparkSession, connection: Connection, spec: LoadSpec, execution_date: str, **reading) -> int:
-    """``load`` from the relational table of the specification."""
+def mirror(
+    spark: SparkSession, connection: Connection, spec: LoadSpec, execution_date: str, one_task: bool = False, **reading
+) -> int:
+    """``load`` from the relational table of the specification.
+
+    The table is read in parallel by ranges of ``split_by``, by default the key of new
+    data.  Reading it in one task must be asked for.
+    """
+    split_by = reading.pop("split_by", None) or spec.key_to_new_data
+    if not one_task:
+        if not split_by:
+            raise ValueError(f"{spec.table}: name split_by, or ask for one_task")
+        reading["split_by"] = split_by
     return load(read_jdbc(spark, connection, spec.table, **reading), spec, execution_date)
 
 

@@ -253,8 +253,11 @@ def ngram_jaccard(
     )
     lists = lists.groupBy("bucket").applyInArrow(_shared(buckets, percent), "h long, k long, n int, pos int")
     # before: a class's earlier postings that some other class has; the rest cannot be shared.
-    earlier = Window.partitionBy("k").orderBy("pos")
-    lists = materialize(lists.withColumn("before", F.row_number().over(earlier) - 1), "lists")
+    # lost: how many of its postings no other class has; it is small for a text that others are copies of.
+    earlier, whole = Window.partitionBy("k").orderBy("pos"), Window.partitionBy("k")
+    posted = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    lists = lists.withColumn("before", F.row_number().over(earlier) - 1)
+    lists = materialize(lists.withColumn("lost", (posted - F.count("*").over(whole)).cast("int")), "lists")
     signed = materialize(
         rows.join(classes, ["k", "id"], "left_semi").select("k", "id", "n", "sig"), "signed"
     )
@@ -279,8 +282,8 @@ def ngram_jaccard(
 
     open_, stars, links = lists.withColumn("root", F.col("k")), None, None
     for turn in range(rounds):
-        salt = F.xxhash64("k", F.lit(turn))
-        centre = open_.groupBy("h").agg(*[F.min_by(c, salt).alias(f"c{c}") for c in ("k", "n", "root")])
+        rank = F.struct("lost", F.xxhash64("k", F.lit(turn)))
+        centre = open_.groupBy("h").agg(*[F.min_by(c, rank).alias(f"c{c}") for c in ("k", "n", "root")])
         rays = open_.join(centre, "h").where(f"root <> croot and 100L * least(n, cn) >= {percent}L * greatest(n, cn)")
         rays = rays.select(F.greatest("k", "ck").alias("a"), F.least("k", "ck").alias("b")).distinct()
         rays = materialize(close(rays if stars is None else rays.join(stars, ["a", "b"], "left_anti")), "stars")

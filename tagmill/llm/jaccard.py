@@ -21,6 +21,18 @@ SCAN = "id long, k long, k2 long, n int, sig binary, block int, salt int, cells
 HELD = 400_000
 
 
+def _squeezed(postings: np.ndarray) -> bytes:
+    """Postings as compressed byte planes: sorted hashes and small numbers leave most high bytes alike."""
+    planes = postings.view(np.uint8).reshape(-1, POSTING.itemsize).T
+    return pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
+
+
+def _spread(blob: bytes, rows: int) -> np.ndarray:
+    flat = pa.Codec("zstd").decompress(blob, rows * POSTING.itemsize, asbytes=True)
+    planes = np.frombuffer(flat, np.uint8).reshape(POSTING.itemsize, rows)
+    return np.ascontiguousarray(planes.T).view(POSTING).ravel()
+
+
 def _needed(na, nb, percent):
     """Shared shingles that two sets of these sizes need."""
     return -(-(percent * (na + nb)) // (100 + percent))
@@ -104,12 +116,13 @@ def _postings(batches, size, seed, percent, counts, buckets, heavy):
         bucket = (all_["h"] % np.uint64(buckets)).astype(np.int32)
         hot = counts[(all_["h"] >> shift).astype(np.int64)] >= heavy
         bucket[hot] = buckets + (all_["k"][hot] % buckets).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
+        order = np.lexsort((all_["h"], bucket))
         all_, bucket = all_[order], bucket[order]
-        ids, starts = np.unique(bucket, return_index=True)
-        blobs = [all_[a:b].tobytes() for a, b in zip(starts, [*starts[1:], len(all_)])]
+        ids, starts, sizes = np.unique(bucket, return_index=True, return_counts=True)
+        blobs = [_squeezed(all_[a : a + m]) for a, m in zip(starts, sizes)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "postings"]
+            [pa.array(ids, pa.int32()), pa.array(sizes, pa.int32()), pa.array(blobs, pa.binary())],
+            names=["bucket", "held", "postings"],
         )
 
     parts, held = [], 0
@@ -137,7 +150,8 @@ def _postings(batches, size, seed, percent, counts, buckets, heavy):
 def _shared(buckets, percent):
     def run(table: pa.Table) -> pa.Table:
         """Each posting once that shares its shingle with a class of a fitting size."""
-        all_ = np.concatenate([np.frombuffer(b.as_py(), POSTING) for b in table.column("postings")])
+        packed = zip(table.column("postings"), table.column("held"))
+        all_ = np.concatenate([_spread(blob.as_py(), held.as_py()) for blob, held in packed])
         all_ = all_[np.lexsort((all_["k"], all_["n"], all_["h"]))]
         new = np.ones(len(all_), bool)
         new[1:] = (all_["h"][1:] != all_["h"][:-1]) | (all_["k"][1:] != all_["k"][:-1])
@@ -227,9 +241,9 @@ def ngram_jaccard(
        similar enough must share one.  Postings travel packed by hash bucket, and those
        without a second class of a fitting size in their list are dropped.  Shingles in cells counted ``heavy`` times or more
        are dealt by class instead, so no bucket gathers a very long list.
-    4. In a few ``rounds`` every class is compared with one class of each of its lists, a
-       number of pairs that is linear in the lists, and lists whose classes are all
-       linked are done.  Then all pairs of classes follow that share a posting and are
+    4. In a few ``rounds`` every class is compared with one class of each of its lists, the
+       one with fewest shingles of its own, which others are likely copies of.  The number
+       of pairs is linear in the lists, and lists whose classes are all linked are done.  Then all pairs of classes follow that share a posting and are
        not linked yet, those first that share most.  Length, positional and suffix filters run before texts are
        fetched, and each remaining pair is verified once.
 
@@ -249,7 +263,7 @@ def ngram_jaccard(
     classes = classes.select("k", "id")
     sent = spark.sparkContext.broadcast(shingle_counts(scan, cells))
     lists = docs.where("id is not null").select("text").mapInArrow(
-        lambda it: _postings(it, size, seed, percent, sent, buckets, heavy), "bucket int, postings binary"
+        lambda it: _postings(it, size, seed, percent, sent, buckets, heavy), "bucket int, held int, postings binary"
     )
     lists = lists.groupBy("bucket").applyInArrow(_shared(buckets, percent), "h long, k long, n int, pos int")
     # before: a class's earlier postings that some other class has; the rest cannot be shared.

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 WINDOW = 3
+# Characters below which the text outside of articles is no surge.
+SURGE = 80
 # Element names with a fixed meaning in HTML.
 BREAKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form"
@@ -48,21 +50,22 @@ def _close(page: str, name: str, at: int) -> int | None:
     return None
 
 
-def lines(page: str) -> list[tuple[str, bool]]:
-    """The page's text blocks in order, and whether each lies in an article.
+def lines(page: str) -> list[tuple[str, int]]:
+    """The page's text blocks in order, and the number of the outermost article each lies in, or 0.
 
     Elements that hold no article text, by name or by class, leave ``WINDOW`` empty
-    lines.  One that is never closed is skipped only if it may run to the end.
+    lines, as do the bounds of articles.  One that is never closed is skipped only if
+    it may run to the end.
     """
-    found: list[tuple[str, bool]] = []
+    found: list[tuple[str, int]] = []
     parts: list[str] = []
-    depth = at = 0
+    depth = at = articles = 0
 
     def flush():
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            found.append((text, depth > 0))
+            found.append((text, articles if depth else 0))
 
     while True:
         m = _TOKEN.search(page, at)
@@ -90,37 +93,64 @@ def lines(page: str) -> list[tuple[str, bool]]:
                 at = end
                 if name in BREAKS or name not in RAW:
                     flush()
-                    found.extend([("", False)] * WINDOW)
+                    found.extend([("", 0)] * WINDOW)
                 continue
         if name in BREAKS:
             flush()
             if inside:
-                depth = max(0, depth + (-1 if closing else 1))
+                before, depth = depth, max(0, depth + (-1 if closing else 1))
+                if not before or not depth:
+                    articles += not closing
+                    found.extend([("", 0)] * WINDOW)
     flush()
     return found
 
 
+def _chosen(bodies: list[tuple[int, int, int]], homes: list[int], blocks: np.ndarray) -> list[tuple[int, int, int]]:
+    """The bodies on the side, in articles or outside, that holds most text, and those as high on the other.
+
+    A side that has no surge gives way to articles.  On the side with less text the
+    articles one by one, or all outside text together, stay if a block of theirs is at
+    least a third as high as the highest of the page; cards and stray lines are not.
+    """
+    text, height = {}, {}
+    for (a, b, n), home in zip(bodies, homes):
+        text[home] = text.get(home, 0) + n
+        height[home] = max(height.get(home, 0), int(blocks[a:b].max()))
+    outside, inside = text.get(0, 0), sum(n for home, n in text.items() if home)
+    if not inside or not outside:
+        return bodies
+    top = max(height.values())
+    if outside > inside and outside >= SURGE:
+        stay = {home for home in height if not home or 3 * height[home] >= top}
+    else:
+        stay = {home for home in height if home or (outside >= SURGE and 3 * height[0] >= top)}
+    return [body for body, home in zip(bodies, homes) if home in stay]
+
+
 def main_text(page: str | None) -> str:
     """Text between the surge and dive points of the line-block distribution.
 
     A block is the text length of ``WINDOW`` lines from a line on.  Where the sums rise
     from nothing the text surges, where they fall back to nothing it dives; what lies
-    between is one body.  On pages that mark up an article, lines outside of it count
-    as empty and every body is kept.  On others the bodies with a tenth or more of the
-    longest one's length are kept, which drops stray lines.
+    between is one body.  On pages that mark up an article, bodies in and outside of it
+    are weighed by their text and the height of their blocks; those in articles are all
+    kept unless they are cards beside longer text.  Elsewhere the bodies with a tenth or
+    more of the longest one's length are kept, which drops stray lines.
     """
     found = lines(page or "")
-    marked = any(inside and text for text, inside in found)
-    sizes = np.array([len(text) if inside or not marked else 0 for text, inside in found] + [0] * WINDOW, np.int64)
+    sizes = np.array([len(text) for text, _ in found] + [0] * WINDOW, np.int64)
     sums = np.concatenate([[0], np.cumsum(sizes)])
     blocks = sums[WINDOW:] - sums[:-WINDOW]
     full = np.concatenate([[False], blocks > 0, [False]])
     surges, dives = np.flatnonzero(~full[:-1] & full[1:]), np.flatnonzero(full[:-1] & ~full[1:])
     bodies = [(a, b, int(sums[min(b + WINDOW - 1, len(sums) - 1)] - sums[a])) for a, b in zip(surges.tolist(), dives.tolist())]
+    home = lambda a, b: max(found[i][1] for i in range(a, min(b + WINDOW - 1, len(found))))
+    bodies = _chosen(bodies, [home(a, b) for a, b, _ in bodies], blocks)
     longest = max((n for _, _, n in bodies), default=0)
     kept = []
     for a, b, n in bodies:
-        if marked or 10 * n >= longest:
+        if home(a, b) or 10 * n >= longest:
             kept += [found[i][0] for i in range(a, min(b + WINDOW - 1, len(found))) if sizes[i]]
     return "\n\n".join(kept)
 

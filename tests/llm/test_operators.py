@@ -281,6 +281,24 @@ def test_main_text(page, text):
     assert htmltext.main_text(page) == text
 
 
+LONG = " ".join(["long text"] * 30)
+CARD = "<article><h2><a href='/1'>Card</a></h2><p>Read about it.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"{CARD * 4}<div><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG}\n\n{LONG}"),
+        (f"<article><p>{LONG}</p></article><div><p>{LONG}</p></div>", f"{LONG}\n\n{LONG}"),
+        (f"<div><p>{LONG}</p><p>{LONG}</p></div><article><p>{LONG}</p></article>", f"{LONG}\n\n{LONG}\n\n{LONG}"),
+        (f"<article><p>{LONG}</p></article>{CARD}<p>stray line</p>", f"{LONG}\n\nCard\n\nRead about it."),
+        (f"<div><h1>Head</h1><p>{LONG}</p></div>", f"Head\n\n{LONG}"),
+    ],
+)
+def test_main_text_where_articles_mislead(page, text):
+    assert htmltext.main_text(page) == text
+
+
 def test_main_text_frames(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, "<p>x</p>", "a"), (1, "<p>x</p>", "a")], "page_id int, html string, text string")
     assert sorted(r.text for r in htmltext.extract_main_text(df).collect()) == ["", "x", "x"]

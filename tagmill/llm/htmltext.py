@@ -28,15 +28,29 @@ MARKS = frozenset(
     " subscribe signup login search pagination pager toolbar complementary contentinfo".split()
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\b(?:hidden|aria-hidden\s*=\s*[\"']?true)(?=[\s\"'/=]|$)|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_ARTICLE = re.compile(r"<(article|main)(?=[\s/>])[^>]*>", re.I)
 
 
-def _marked(attributes: str) -> bool:
-    if not attributes:
-        return False
-    words = re.split(r"[^a-z]+", " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower())
-    return not MARKS.isdisjoint(words) or bool(_HIDDEN.search(attributes))
+def _attributes(tag: str) -> dict[str, str]:
+    """Attribute values by name in lower case; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(tag):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _marked(given: dict[str, str], depth: int) -> bool:
+    """Whether a whole word of class, id or role is a mark, or made of marks only; an article may have a header."""
+    words = " ".join(given.get(n, "") for n in ("class", "id", "role")).lower().split()
+    marks = MARKS - {"header"} if depth else MARKS
+    return any(marks.issuperset(re.split("[-_]+", word)) for word in words)
+
+
+def _hidden(given: dict[str, str]) -> bool:
+    shown = given.get("aria-hidden", "").strip().lower() != "true" and not _NOT_SHOWN.search(html.unescape(given.get("style", "")))
+    return "hidden" in given or not shown
 
 
 def _close(page: str, name: str, at: int) -> int | None:
@@ -50,16 +64,29 @@ def _close(page: str, name: str, at: int) -> int | None:
     return None
 
 
+def _longest_article(page: str) -> int:
+    """Where the content of the page's longest article or main element begins, or -1."""
+    best, found = -1, -1
+    for m in _ARTICLE.finditer(page):
+        end = _close(page, m.group(1).lower(), m.end())
+        size = (len(page) if end is None else end) - m.end()
+        if size > best:
+            best, found = size, m.end()
+    return found
+
+
 def lines(page: str) -> list[tuple[str, int]]:
     """The page's text blocks in order, and the number of the outermost article each lies in, or 0.
 
     Elements that hold no article text, by name or by class, leave ``WINDOW`` empty
     lines, as do the bounds of articles.  One that is never closed is skipped only if
-    it may run to the end.
+    it may run to the end.  Articles, and what holds the page's longest one, are
+    skipped only where they are hidden.
     """
     found: list[tuple[str, int]] = []
     parts: list[str] = []
     depth = at = articles = 0
+    longest: int | None = None
 
     def flush():
         text = " ".join(html.unescape("".join(parts)).split())
@@ -82,13 +109,18 @@ def lines(page: str) -> list[tuple[str, int]]:
             continue
         closing = bool(m.group(1))
         inside = name in ("article", "main")
-        skip = not closing and not m.group(3).rstrip().endswith("/") and (
-            name in RAW or (name in FRAMES and not (name == "header" and depth)) or (name not in ("html", "body") and _marked(m.group(3)))
-        )
+        skip = hidden = False
+        if not closing and not m.group(3).rstrip().endswith("/"):
+            given = _attributes(m.group(3)) if m.group(3) and name not in ("html", "body") else {}
+            hidden = name in RAW or _hidden(given)
+            skip = hidden or (name in FRAMES and not (name == "header" and depth)) or (not inside and _marked(given, depth))
         if skip:
             end = _close(page, name, at)
             if end is None and name in RAW | {"footer"}:
                 end = len(page)
+            if end is not None and not hidden and _ARTICLE.search(page, at, end):
+                longest = _longest_article(page) if longest is None else longest
+                end = None if at <= longest < end else end
             if end is not None:
                 at = end
                 if name in BREAKS or name not in RAW:

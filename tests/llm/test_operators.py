@@ -299,6 +299,24 @@ def test_main_text_where_articles_mislead(page, text):
     assert htmltext.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<main class='with-sidebar'><p>a b</p></main>", "a b"),
+        ("<div class='layout has-comments'><article class='post no-header'><p>a b</p></article></div>", "a b"),
+        ("<div class=sidebar><main class=menu><p>a b</p></main></div><aside><article>c</article></aside>", "a b"),
+        ("<form id=page><article><p>a b</p></article><div class=related><article>c</article></div></form>", "a b"),
+        ("<article><div class='post-header'><h1>Head</h1></div><div class=header><p>by X</p></div><p>a</p></article>", "Head\n\nby X\n\na"),
+        ("<article><p aria-hidden='false'>a</p><p style='overflow:hidden'>b</p><p class='overflow-hidden'>c</p></article>", "a\n\nb\n\nc"),
+        ("<article><p><a title='the hidden garden' data-x='display:none'>a</a></p><p data-hidden=1>b</p></article>", "a\n\nb"),
+        ("<article><p>a</p><p hidden>b</p><p aria-hidden=true>c</p><p style='color:red; DISPLAY : none'>d</p></article>", "a"),
+        ("<article><p>a</p><div class='x cookie-banner'>b</div><div id=\"comments\">c</div><p role=navigation>d</p></article>", "a"),
+    ],
+)
+def test_main_text_skips_marked_and_hidden_only(page, text):
+    assert htmltext.main_text(page) == text
+
+
 def test_main_text_frames(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, "<p>x</p>", "a"), (1, "<p>x</p>", "a")], "page_id int, html string, text string")
     assert sorted(r.text for r in htmltext.extract_main_text(df).collect()) == ["", "x", "x"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ BREAKS = frozenset(
     " tfoot th thead title tr ul".split()
 )
 RAW = frozenset("script style noscript template textarea title svg iframe object select button".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FRAMES = frozenset("nav header footer aside form head menu dialog".split())
 # Words of class, id and role that mark what is not the article.
 MARKS = frozenset(
@@ -33,6 +35,15 @@ _NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _ARTICLE = re.compile(r"<(article|main)(?=[\s/>])[^>]*>", re.I)
 
 
+class Line(NamedTuple):
+    """A text block, the number of the outermost article it lies in or 0, and how many of its characters are links."""
+
+    text: str
+    home: int = 0
+    linked: int = 0
+    heading: bool = False
+
+
 def _attributes(tag: str) -> dict[str, str]:
     """Attribute values by name in lower case; the first of a name counts."""
     found: dict[str, str] = {}
@@ -75,24 +86,27 @@ def _longest_article(page: str) -> int:
     return found
 
 
-def lines(page: str) -> list[tuple[str, int]]:
-    """The page's text blocks in order, and the number of the outermost article each lies in, or 0.
+def lines(page: str) -> list[Line]:
+    """The page's text blocks in order.
 
     Elements that hold no article text, by name or by class, leave ``WINDOW`` empty
     lines, as do the bounds of articles.  One that is never closed is skipped only if
     it may run to the end.  Articles, and what holds the page's longest one, are
     skipped only where they are hidden.
     """
-    found: list[tuple[str, int]] = []
+    found: list[Line] = []
     parts: list[str] = []
-    depth = at = articles = 0
+    depth = at = articles = linked = 0
+    link = heading = False
     longest: int | None = None
 
     def flush():
+        nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            found.append((text, articles if depth else 0))
+            found.append(Line(text, articles if depth else 0, linked, heading))
+        linked = 0
 
     while True:
         m = _TOKEN.search(page, at)
@@ -100,6 +114,7 @@ def lines(page: str) -> list[tuple[str, int]]:
             parts.append(page[at:])
             break
         parts.append(page[at : m.start()])
+        linked += len(parts[-1].strip()) if link else 0
         at = m.end()
         name = (m.group(2) or "").lower()
         if not name:
@@ -108,6 +123,8 @@ def lines(page: str) -> list[tuple[str, int]]:
             parts.append(" ")
             continue
         closing = bool(m.group(1))
+        if name == "a":
+            link = not closing
         inside = name in ("article", "main")
         skip = hidden = False
         if not closing and not m.group(3).rstrip().endswith("/"):
@@ -125,15 +142,16 @@ def lines(page: str) -> list[tuple[str, int]]:
                 at = end
                 if name in BREAKS or name not in RAW:
                     flush()
-                    found.extend([("", 0)] * WINDOW)
+                    found.extend([Line("")] * WINDOW)
                 continue
         if name in BREAKS:
             flush()
+            heading = name in HEADINGS and not closing
             if inside:
                 before, depth = depth, max(0, depth + (-1 if closing else 1))
                 if not before or not depth:
                     articles += not closing
-                    found.extend([("", 0)] * WINDOW)
+                    found.extend([Line("")] * WINDOW)
     flush()
     return found
 
@@ -160,6 +178,13 @@ def _chosen(bodies: list[tuple[int, int, int]], homes: list[int], blocks: np.nda
     return [body for body, home in zip(bodies, homes) if home in stay]
 
 
+def _stray(body: list[Line], longest: int) -> bool:
+    """Whether a short body is mostly links or no more than two characters, and no headline."""
+    size = sum(len(line.text) for line in body)
+    linked = sum(line.linked for line in body)
+    return 10 * size < longest and (size < WINDOW or 2 * linked > size) and not any(line.heading and 2 * line.linked <= len(line.text) for line in body)
+
+
 def main_text(page: str | None) -> str:
     """Text between the surge and dive points of the line-block distribution.
 
@@ -167,24 +192,23 @@ def main_text(page: str | None) -> str:
     from nothing the text surges, where they fall back to nothing it dives; what lies
     between is one body.  On pages that mark up an article, bodies in and outside of it
     are weighed by their text and the height of their blocks; those in articles are all
-    kept unless they are cards beside longer text.  Elsewhere the bodies with a tenth or
-    more of the longest one's length are kept, which drops stray lines.
+    kept unless they are cards beside longer text.  Elsewhere all bodies from the first
+    to the last that is no stray are kept, so what is skipped inside the text does not
+    cut it; strays before and after are dropped.
     """
     found = lines(page or "")
-    sizes = np.array([len(text) for text, _ in found] + [0] * WINDOW, np.int64)
+    sizes = np.array([len(line.text) for line in found] + [0] * WINDOW, np.int64)
     sums = np.concatenate([[0], np.cumsum(sizes)])
     blocks = sums[WINDOW:] - sums[:-WINDOW]
     full = np.concatenate([[False], blocks > 0, [False]])
     surges, dives = np.flatnonzero(~full[:-1] & full[1:]), np.flatnonzero(full[:-1] & ~full[1:])
     bodies = [(a, b, int(sums[min(b + WINDOW - 1, len(sums) - 1)] - sums[a])) for a, b in zip(surges.tolist(), dives.tolist())]
-    home = lambda a, b: max(found[i][1] for i in range(a, min(b + WINDOW - 1, len(found))))
-    bodies = _chosen(bodies, [home(a, b) for a, b, _ in bodies], blocks)
+    held = {a: [line for line in found[a : b + WINDOW - 1] if line.text] for a, b, _ in bodies}
+    bodies = _chosen(bodies, [held[a][0].home for a, _, _ in bodies], blocks)
     longest = max((n for _, _, n in bodies), default=0)
-    kept = []
-    for a, b, n in bodies:
-        if home(a, b) or 10 * n >= longest:
-            kept += [found[i][0] for i in range(a, min(b + WINDOW - 1, len(found))) if sizes[i]]
-    return "\n\n".join(kept)
+    firm = [k for k, (a, _, _) in enumerate(bodies) if held[a][0].home or not _stray(held[a], longest)]
+    kept = bodies[firm[0] : firm[-1] + 1] if firm else []
+    return "\n\n".join(line.text for a, _, _ in kept for line in held[a])
 
 
 def extract_main_text(df: DataFrame, page: str = "html", keep: list[str] | None = None) -> DataFrame:

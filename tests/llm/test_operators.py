@@ -317,6 +317,20 @@ def test_main_text_skips_marked_and_hidden_only(page, text):
     assert htmltext.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<h1>Head</h1><div class=ad>b</div><p>{LONG}</p><form>f</form><p>The end of it.</p>", f"Head\n\n{LONG}\n\nThe end of it."),
+        (f"<p>In brief.</p><aside>b</aside><p>{LONG}</p><div class=notice>b</div><p>7</p><nav>n</nav><p>Last words.</p>", f"In brief.\n\n{LONG}\n\n7\n\nLast words."),
+        (f"<p><a href='/'>Back home</a></p><div class=ad>b</div><p>{LONG}</p><div class=ad>b</div><p><a href='/'>More of</a> it</p>", LONG),
+        (f"<div><p>{LONG}</p></div>{CARD}<div><p>The end of it.</p></div>", f"{LONG}\n\nThe end of it."),
+        ("<p><a href='/'>only links</a></p><nav>n</nav><p><a href='/'>and more</a></p>", "only links\n\nand more"),
+    ],
+)
+def test_main_text_is_not_cut_by_what_is_skipped(page, text):
+    assert htmltext.main_text(page) == text
+
+
 def test_main_text_frames(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, "<p>x</p>", "a"), (1, "<p>x</p>", "a")], "page_id int, html string, text string")
     assert sorted(r.text for r in htmltext.extract_main_text(df).collect()) == ["", "x", "x"]

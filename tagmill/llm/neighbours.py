@@ -38,7 +38,7 @@ def _directions(dim: int) -> np.ndarray:
 
 
 def _rows(batches):
-    """Usable vectors with their first projection; a vector's class is a hash of its values."""
+    """All rows; usable vectors with their first projection and class, a hash of their values."""
     for batch in batches:
         ids, groups, keys, firsts, dims, values = [], [], [], [], [], []
         vectors = batch.column(2)
@@ -48,15 +48,15 @@ def _rows(batches):
         ends = np.cumsum(sizes)
         for i, (end, size) in enumerate(zip(ends.tolist(), sizes.tolist())):
             x = whole[end - size : end]
-            if batch.column(1)[i].as_py() is None or batch.column(0)[i].as_py() is None:
-                continue
             top = np.abs(x).max(initial=0)
-            if not size or not np.isfinite(top) or top == 0:
+            ids.append(batch.column(0)[i].as_py())
+            groups.append(batch.column(1)[i].as_py())
+            if ids[-1] is None or groups[-1] is None or not size or not np.isfinite(top) or top == 0:
+                for column in (keys, firsts, dims, values):
+                    column.append(None)
                 continue
             unit = x / top
             unit = unit / np.sqrt(unit @ unit)
-            ids.append(batch.column(0)[i].as_py())
-            groups.append(batch.column(1)[i].as_py())
             dims.append(size)
             firsts.append(float(unit @ _held_directions(size)[:, 0]))
             data = unit.astype("<f8").tobytes()
@@ -175,7 +175,8 @@ def near_vectors(
     double precision, reaches ``cosine``.  Vectors that are NULL, empty, zero, or hold
     NULL or non-finite components, and rows with a NULL key or label, link with nothing
     (a NULL key has a NULL component).  Vectors with equal directions are one class with
-    a weight and are compared once.
+    a weight and are compared once.  Rows that repeat a key are vectors of their own, each
+    with the result of its own class.
 
     Unit vectors are projected on random directions.  They are sorted by the first
     projection, per label, and packed into blocks of ``block``; only blocks whose ranges
@@ -189,8 +190,9 @@ def near_vectors(
     """
     source = df.select(F.col(key).cast("long"), F.col(label).cast("string"), F.col(vector))
     rows = materialize(source.mapInArrow(_rows, "id long, label string, dim int, class binary, first double, vec binary"), "vectors")
-    classes = materialize(rows.groupBy("class").agg(F.min("id").alias("id"), F.count("*").alias("n")), "classes")
-    kept = rows.join(classes, ["class", "id"]).select("label", "dim", "id", "first", "n", "vec").dropDuplicates(["label", "dim", "id"])
+    classes = rows.where("class is not null").groupBy("class").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    classes = materialize(classes.withColumn("number", F.monotonically_increasing_id()), "classes")
+    kept = rows.join(classes, ["class", "id"]).dropDuplicates(["class"]).select("label", "dim", F.col("number").alias("id"), "first", "n", "vec")
     kept = kept.repartitionByRange("label", "dim", "first", "id").sortWithinPartitions("label", "dim", "first", "id")
     blocks = materialize(
         kept.mapInArrow(_packed(block), "block long, label string, dim int, low double, high double, ids binary, weights binary, vecs binary"),
@@ -206,14 +208,12 @@ def near_vectors(
     pairs = pairs.select("dim", "x_block", "y_block").join(body("x"), "x_block").join(body("y"), "y_block")
     found = materialize(pairs.mapInArrow(_compared(cosine, calibrated_count(recall)), "id long, n long, root long"), "links")
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "roots")
-    counts = found.groupBy("id").agg(F.sum("n").alias("links"))
-    classes = classes.join(counts, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
-    classes = classes.select(
-        "class", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "id").alias("component")
-    )
-    named = rows.select("id", "class").join(classes, "class").select("id", "n_links", "component").dropDuplicates(["id"])
-    return (
-        df.select(F.col(key).cast("long").alias("id"))
-        .join(named, "id", "left")
-        .select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component"))
+    counts = found.groupBy("id").agg(F.sum("n").alias("links")).withColumnRenamed("id", "number")
+    roots = roots.withColumnRenamed("node", "number")
+    lows = roots.join(classes.select("number", "id"), "number").groupBy("root").agg(F.min("id").alias("low"))
+    named = classes.join(counts, "number", "left").join(roots, "number", "left").join(lows, "root", "left").select(
+        "class", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("low", "id").alias("component")
     )
+    linked = rows.where("class is not null").select("id", "class").join(named, "class").select("id", "n_links", "component")
+    alone = rows.where("class is null").select("id", F.lit(0).alias("n_links"), F.col("id").alias("component"))
+    return linked.unionAll(alone).select(F.col("id").alias(key), F.col("n_links").cast("long").alias("n_links"), "component")

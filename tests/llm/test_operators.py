@@ -389,6 +389,13 @@ def test_vectors_as_brute_force(spark):
     assert neighbours.near_vectors(df.limit(0), "vec_id", "v", "label").count() == 0
 
 
+def test_vectors_of_repeated_keys(spark):
+    rows = [(1, [1.0, 0.0], "a"), (1, [0.0, 1.0], "a"), (1, [0.0, 1.0], "b"), (2, [1.0, 0.01], "a"), (3, [0.01, 1.0], "a"), (4, [0.02, 1.0], "b"), (1, None, "a"), (5, [-1.0, 0.0], "a")]
+    df = spark.createDataFrame(rows + [(0, [0.0, 2.0], "a")], "vec_id long, v array<double>, label string")
+    got = sorted((r.vec_id, r.n_links, r.component) for r in neighbours.near_vectors(df, "vec_id", "v", "label").collect())
+    assert got == [(0, 2, 0), (1, 0, 1), (1, 1, 1), (1, 1, 1), (1, 2, 0), (2, 1, 1), (3, 2, 0), (4, 1, 1), (5, 0, 5)]
+
+
 def test_calibrated_count():
     counts = [neighbours.calibrated_count(r) for r in (0.9, 0.99, 0.9999)]
     assert counts == sorted(counts, reverse=True) and 10 < counts[-1] < counts[0] < 24

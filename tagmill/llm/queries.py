@@ -12,7 +12,7 @@ from tagmill.llm.language import fit_languages, identify_languages
 from tagmill.llm.neighbours import near_vectors
 from tagmill.llm.packing import pack, pack_sql
 from tagmill.llm.pieces import decode, encode
-from tagmill.llm.quality import RULES, cascade_order, first_rejection, measured
+from tagmill.llm.quality import MEASURES, RULES, cascade_order, first_rejection, measured
 from tagmill.llm.samples import held_out
 from tagmill.llm.secrets import BASE, listed, scan_secrets
 from tagmill.llm.sharding import shard_by_bytes
@@ -71,19 +71,20 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    """The measures asked for are columns; the others are computed only as far as the cascade gets."""
     documents = table(spark, folder, "documents")
     order = cascade_order(documents, "text", RULES)
-    counts = measured(documents, "text", ["doc_id"])
+    asked = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    counts = measured(documents, "text", ["doc_id", "text"], asked)
+    text = F.coalesce("text", F.lit(""))
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    measure = lambda n: F.col(n) if n in asked else MEASURES[n](text, words)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return counts.select(
         "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
+        *asked,
         failed.alias("base_failed"),
-        (~failed & first_rejection(order, F.col).isNull()).alias("kept"),
+        (~failed & first_rejection(order, measure).isNull()).alias("kept"),
     )
 
 

@@ -28,6 +28,12 @@ def test_query_matches_sql(spark, name):
     assert same and not extra and not missing, (list(extra)[:3], list(missing)[:3])
 
 
+def test_quality_query_computes_the_other_measures_in_the_cascade(spark):
+    plan = QUERIES["op4_quality_cascade"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "n_capitals" not in plan and "n_lines" not in plan
+    assert plan.count("[A-Z]") == 1 and plan.index("CASE WHEN") < plan.index("[A-Z]")
+
+
 @pytest.fixture(scope="module")
 def texts(spark):
     return {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}

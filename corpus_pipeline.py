@@ -41,16 +41,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at 0.75 or more.
 
-    Documents without words or without an id stay.  Of rows that repeat an id one stays.
+    Documents without words or without an id stay.  Rows that repeat an id with another
+    text are documents of their own, judged by their own text; of rows that repeat both
+    one stays.
     """
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return _near_duplicates_by_row(docs)
     found = materialize(ngram_jaccard(docs.select("doc_id", "text")), "groups")
     gone = found.where("component <> doc_id").select("doc_id").distinct()
-    kept = matched(docs.select(COLUMNS), gone, "doc_id", how="left_anti").select(COLUMNS)
-    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if not again.limit(1).count():
-        return kept
-    once = matched(kept, again, "doc_id").select(COLUMNS).dropDuplicates(["doc_id"])
-    return matched(kept, again, "doc_id", how="left_anti").select(COLUMNS).unionAll(once)
+    return matched(docs.select(COLUMNS), gone, "doc_id", how="left_anti").select(COLUMNS)
+
+
+def _near_duplicates_by_row(docs: DataFrame) -> DataFrame:
+    """As above with a number for each id and text; the smallest id, then text hash, of a group stays."""
+    hashed = docs.where("doc_id is not null").select(*COLUMNS, F.coalesce(F.sha2("text", 256), F.lit("")).alias("hash"))
+    rows = materialize(hashed.dropDuplicates(["doc_id", "hash"]).withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = ngram_jaccard(rows.select(F.col("row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "row")
+    named = found.join(rows.select("row", "hash", F.col("doc_id").alias("id")), "row")
+    kept = materialize(named.groupBy("component").agg(F.min(F.struct("id", "hash", "row")).alias("first")).select("first.row"), "first")
+    return matched(rows, kept, "row").select(COLUMNS).unionAll(docs.where("doc_id is null").select(COLUMNS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,3 +116,12 @@ def test_pipeline_with_nulls_and_repeats(spark):
         if name == "n-gram Jaccard join":
             assert sorted(str(r.doc_id) for r in docs.collect()) == ["1", "None"]
     assert docs.count() == 2
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    texts = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcd"}
+    near = texts["a"] + " tail"
+    rows = [(1, texts["a"]), (2, texts["b"]), (2, near), (3, texts["c"]), (3, texts["d"]), (3, texts["d"]), (4, None), (4, ""), (None, near)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()]
+    assert sorted(got, key=str) == sorted((row for row in dict.fromkeys(rows) if row != (2, near)), key=str)

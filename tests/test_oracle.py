@@ -28,3 +28,14 @@ def test_query_matches_sql(spark, con, name):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_day_replaced_by_nothing_writes_all_days(spark, monkeypatch):
+    from workload import loads
+
+    paths = []
+    monkeypatch.setattr(loads, "scratch_path", lambda *given, real=loads.scratch_path: paths.append(real(*given)) or paths[-1])
+    loads.day_replaced_by_nothing(spark, "/root/testdata/sf0.001")
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    want = orders.where("cast(o_orderdate as date) <> date'1998-07-27'").count()
+    assert spark.read.schema(orders.schema).parquet(paths[0]).count() == want

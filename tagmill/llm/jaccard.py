@@ -273,7 +273,7 @@ def ngram_jaccard(
     lists = lists.withColumn("before", F.row_number().over(earlier) - 1)
     lists = materialize(lists.withColumn("lost", (posted - F.count("*").over(whole)).cast("int")), "lists")
     signed = materialize(
-        rows.join(classes, ["k", "id"], "left_semi").select("k", "id", "n", "sig"), "signed"
+        rows.join(classes, ["k", "id"], "left_semi").select("k", "id", "n", "sig").dropDuplicates(["k"]), "signed"
     )
 
     def close(pairs: DataFrame) -> DataFrame:
@@ -288,7 +288,7 @@ def ngram_jaccard(
         members = pairs.select(F.col("a").alias("k")).unionAll(pairs.select(F.col("b").alias("k"))).distinct()
         ids = materialize(signed.join(members, "k", "left_semi").select("id"), "members")
         texts = matched(docs, ids, "id").select("text").mapInArrow(_keyed(size, seed), "k long, text string")
-        texts = materialize(texts, "texts")
+        texts = materialize(texts.dropDuplicates(["k"]), "texts")
         sides = pairs.join(texts.select(F.col("k").alias("a"), F.col("text").alias("ta")), "a")
         sides = sides.join(texts.select(F.col("k").alias("b"), F.col("text").alias("tb")), "b")
         found = sides.select("a", "b", "ta", "tb").mapInArrow(_verified(size, seed, percent), "a long, b long")

@@ -19,6 +19,11 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def words_of(text: Column) -> Column:
+    """The words of a text, in order."""
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+
 def _repeats(words: Column) -> Column:
     """Words inside 3-word windows that occur twice or more in the text.
 
@@ -85,10 +90,14 @@ RULES = (
 
 
 def measured(df: DataFrame, text: str, keep: list[str], names=tuple(MEASURES)) -> DataFrame:
-    """``keep`` and the named measures as bigint columns."""
-    texts = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    texts = texts.withColumn("_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))
-    return texts.select(*keep, *[MEASURES[n](F.col("_text"), F.col("_words")).cast("long").alias(n) for n in names])
+    """``keep`` and the named measures as bigint columns.
+
+    All measures of a row are fields of one expression that finds the words once, so a
+    filter on one of them, which Spark evaluates where the rows are read, finds them once more.
+    """
+    value = F.coalesce(F.col(text), F.lit(""))
+    found = bound(words_of(value), lambda w: F.struct(*[MEASURES[n](value, w).cast("long").alias(n) for n in names]))
+    return df.select(*keep, found.alias("_measures")).select(*keep, *[F.col(f"_measures.{n}").alias(n) for n in names])
 
 
 def cascade_order(df: DataFrame, text: str = "text", rules=RULES, sample_rows: int = 2_000) -> list[Rule]:
@@ -111,7 +120,8 @@ def cascade_order(df: DataFrame, text: str = "text", rules=RULES, sample_rows: i
             took.append(time.perf_counter() - start)
         return min(took), hits
 
-    value, words = F.coalesce("text", F.lit("")), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    value = F.coalesce("text", F.lit(""))
+    words = words_of(value)
     base, _ = seconds(F.length(value) >= 0)
 
     def rate(rule: Rule) -> float:
@@ -134,14 +144,14 @@ def first_rejection(order: list[Rule], measure: Callable[[str], Column]) -> Colu
 def quality_cascade(df: DataFrame, text: str = "text", keep: list[str] | None = None, rules=RULES, sample_rows: int = 2_000) -> DataFrame:
     """The columns ``keep`` (all by default) and ``rejected_by``, NULL for a text to keep.
 
-    Measures are computed only as far as the cascade gets for a row.  A NULL text is
-    an empty one and rejected as short.  Every row is judged by itself, without a
+    Measures are computed only as far as the cascade gets for a row, over words found
+    once for all of them, also where a filter on the verdict is pushed to the scan.  A
+    NULL text is an empty one and rejected as short.  Every row is judged by itself, without a
     shuffle; copies get the same verdict; an empty table gives an empty result; a
     column named ``rejected_by`` is replaced.
     """
     order = cascade_order(df, text, rules, sample_rows)
     kept = [c for c in (keep or df.columns) if c != "rejected_by"]
-    texts = df.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    texts = texts.withColumn("_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))
-    verdict = first_rejection(order, lambda n: MEASURES[n](F.col("_text"), F.col("_words")))
-    return texts.select(*kept, verdict.alias("rejected_by"))
+    value = F.coalesce(F.col(text), F.lit(""))
+    verdict = bound(words_of(value), lambda w: first_rejection(order, lambda n: MEASURES[n](value, w)))
+    return df.select(*kept, verdict.alias("rejected_by"))

@@ -12,7 +12,7 @@ from tagmill.llm.language import fit_languages, identify_languages
 from tagmill.llm.neighbours import near_vectors
 from tagmill.llm.packing import pack, pack_sql
 from tagmill.llm.pieces import decode, encode
-from tagmill.llm.quality import MEASURES, RULES, cascade_order, first_rejection, measured
+from tagmill.llm.quality import MEASURES, RULES, bound, cascade_order, first_rejection, words_of
 from tagmill.llm.samples import held_out
 from tagmill.llm.secrets import BASE, listed, scan_secrets
 from tagmill.llm.sharding import shard_by_bytes
@@ -75,17 +75,18 @@ def op4_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     order = cascade_order(documents, "text", RULES)
     asked = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    counts = measured(documents, "text", ["doc_id", "text"], asked)
     text = F.coalesce("text", F.lit(""))
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    measure = lambda n: F.col(n) if n in asked else MEASURES[n](text, words)
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return counts.select(
-        "doc_id",
-        *asked,
-        failed.alias("base_failed"),
-        (~failed & first_rejection(order, measure).isNull()).alias("kept"),
-    )
+
+    def judged(words):
+        def verdict(m):
+            failed = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+            rejection = first_rejection(order, lambda n: m[n] if n in asked else MEASURES[n](text, words))
+            kept = ~failed & rejection.isNull()
+            return F.struct(*[m[n].alias(n) for n in asked], failed.alias("base_failed"), kept.alias("kept"))
+
+        return bound(F.struct(*[MEASURES[n](text, words).cast("long").alias(n) for n in asked]), verdict)
+
+    return documents.select("doc_id", bound(words_of(text), judged).alias("found")).select("doc_id", "found.*")
 
 
 SQL["op4_quality_cascade"] = r"""WITH w AS MATERIALIZED (

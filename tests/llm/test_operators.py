@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 
 import brute
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tagmill.llm import htmltext, language, neighbours, packing, pieces, quality, secrets, sharding, toxicity
+from tagmill.llm import htmltext, jaccard, language, neighbours, packing, pieces, quality, secrets, sharding, toxicity
 from tagmill.llm.frames import components
 from tagmill.llm.jaccard import ngram_jaccard
 from tagmill.llm.samples import chosen
@@ -185,6 +186,16 @@ def test_repeats_of_long_text(spark):
     assert got.n_repeat_words == 9_000
 
 
+def test_filtered_verdict_of_long_texts_is_linear(spark):
+    text = " ".join(f"word{i * 7919 % 20_011}" for i in range(20_000))
+    df = docs(spark, [(1, text), (2, None)])
+    start = time.perf_counter()
+    kept = quality.quality_cascade(df).where("rejected_by is null").select("doc_id").collect()
+    counts = quality.measured(df, "text", ["doc_id"]).where("n_words > 5 and n_repeat_words = 0").collect()
+    assert [r.doc_id for r in kept] == [r.doc_id for r in counts] == [1]
+    assert time.perf_counter() - start < 60
+
+
 # --- 5 n-gram join
 
 
@@ -207,6 +218,15 @@ def test_jaccard_keys(spark):
     assert ngram_jaccard(docs(spark, [])).count() == 0
 
 
+def test_jaccard_checks_a_pair_of_repeated_rows_once(spark, monkeypatch):
+    frames = {}
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name, real=jaccard.materialize: frames.setdefault(name, real(df, name)))
+    text = " ".join(f"w{i}" for i in range(60))
+    df = docs(spark, [(1, text)] * 4 + [(2, text + " tail")] * 4)
+    assert {(r.doc_id, r.component) for r in ngram_jaccard(df).collect()} == {(1, 1), (2, 1)}
+    assert [frames[n].count() for n in ("signed", "stars", "links")] == [2, 1, 1]
+
+
 # --- 6 toxicity, 9 languages
 
 

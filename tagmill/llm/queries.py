@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagmill.llm.collocations import collocations
 from tagmill.llm.htmltext import extract_main_text
 from tagmill.llm.jaccard import ngram_jaccard
 from tagmill.llm.language import fit_languages, identify_languages
@@ -16,6 +17,8 @@ from tagmill.llm.quality import MEASURES, RULES, bound, cascade_order, first_rej
 from tagmill.llm.samples import held_out
 from tagmill.llm.secrets import BASE, listed, scan_secrets
 from tagmill.llm.sharding import shard_by_bytes
+from tagmill.llm.simhash import document_prints
+from tagmill.llm.spelling import spelling_variants, word_counts
 from tagmill.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES = {}
@@ -182,3 +185,18 @@ reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM
 n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT r.x AS vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(r.y) AS component_id, min(r.y) = r.x AS kept
 FROM reach r LEFT JOIN n ON n.x = r.x GROUP BY r.x"""
+
+
+@query
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return document_prints(table(spark, folder, "documents"), "doc_id", "text", radius=6)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(word_counts(table(spark, folder, "documents"), "doc_id", "text"))
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))

@@ -16,8 +16,9 @@ from tagmill.operators.flags import (
     with_masks,
 )
 from tagmill.operators.interest import interest_wide
+from tagmill.operators.longlists import longest_segment, match_cut_lists
 from tagmill.operators.rules import NESTED_RULES, clean_rules, match_rules
-from tagmill.operators.visits import LIST_URLS, lists_for_rules
+from tagmill.operators.visits import LIST_URLS, lists_for_rules, user_url_lists
 from tagmill.session import materialize
 from tagmill.sinks.jdbc import write_snapshot
 from tagmill.sinks.partitions import create_like, overwrite_partitions
@@ -40,6 +41,7 @@ def product_labels(
     mode: str = "contains",
     on_unknown: str = "add",
     key: str = "distinct_id",
+    match=match_rules,
     **matching,
 ) -> DataFrame:
     """Label snapshot: one row per user, one 0/1 column per label.
@@ -48,7 +50,7 @@ def product_labels(
     labels of the rule map: ``add`` a column for each that some user has, ``drop``
     them, or raise an ``error``.  Which of them to add is read off the masks, which
     are written aside for it, so the texts are matched once.  ``matching`` goes to
-    ``match_rules``.
+    ``match``, by default ``match_rules``.
     """
     if on_unknown not in ("add", "drop", "error"):
         raise ValueError(f"on_unknown {on_unknown!r}")
@@ -67,7 +69,7 @@ def product_labels(
     if matching.get("strategy", "auto") == "auto":
         matching["strategy"] = "nested" if few else "gram"
     every = labels + strange
-    hits = match_rules(
+    hits = match(
         users, with_masks(cleaned, every), key=key, keep_unmatched=True, counted=few, **matching
     )
     merged = merge_masks(hits, key, every)
@@ -91,16 +93,20 @@ def product_labels_of_visits(
 ) -> DataFrame:
     """``product_labels`` from single visits, as if each user had one URL list.
 
-    Lists of heavy users are cut, with as much overlap as the longest needle needs.
-    A LIKE pattern may span any number of URLs, so mode ``like`` is served in scope
-    ``url`` only.  That scope needs no lists at all.
+    Lists of heavy users are cut, with as much overlap as the longest needle needs.  A LIKE
+    pattern may span any number of URLs: in mode ``like`` the parts of a heavy user are
+    matched one by one and what they say is put together in order.  Scope ``url`` needs
+    no lists at all.
     """
-    if options.get("mode", "contains") == "like" and options.get("scope", "row") == "row":
-        raise ValueError("mode 'like' in scope 'row' needs ready lists; use product_labels")
     if options.get("scope", "row") == "url":
         single = visits.select(key, F.array(url).alias("dollar_url_list"))
         return product_labels(single, rules, dictionary, key=key, **options)
     rules, _ = held(rules.select("transfer_rule", "value").distinct(), HELD_RULES)
+    if options.get("mode", "contains") == "like":
+        overlap = longest_segment(clean_rules(rules, "like"))
+        list_urls = max(list_urls, overlap)
+        lists = user_url_lists(visits, key, order, url, list_urls, overlap)
+        return product_labels(lists, rules, dictionary, key=key, match=match_cut_lists, list_urls=list_urls, **options)
     lists = lists_for_rules(visits, clean_rules(rules), key, order, url, list_urls)
     return product_labels(lists, rules, dictionary, key=key, **options)
 

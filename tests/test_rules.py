@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagmill.bounds import TooLarge
+from tagmill.operators import longlists
 from tagmill.operators import rules as R
 from tagmill.operators.skew import spread_join
 from tagmill.operators.visits import user_url_lists
@@ -200,3 +201,34 @@ def test_audit(spark):
         ("label_not_in_dictionary", None, ""),
         ("label_without_rule", None, "IDLE"),
     }
+
+
+def like(text, pattern):
+    """LIKE by a regular expression of Python."""
+    tokens = re.findall(r"(?s)\\.|.", pattern)
+    known = {"%": ".*", "_": "."}
+    return re.fullmatch("".join(known.get(t) or re.escape(t[-1]) for t in tokens), text, re.S) is not None
+
+
+@pytest.mark.parametrize("composed", [500, 2])
+def test_like_over_cut_lists(spark, monkeypatch, composed):
+    """Parts of two or three URLs, patterns that span many of them, few characters so that hits overlap."""
+    monkeypatch.setattr(longlists, "COMPOSED", composed)
+    rnd = random.Random(composed)
+    patterns = ["%", "_%", "%_", "ab%", "%ab", "a%b", "%a%b%a%", "%aa%aa%aa%", "aba", "___", r"%\%%", r"%a\_b%", "%a_b%b_a%", "%é%\n%", "%abab%bb", "b%bab%a_%b", "%%a%%", "ab%ab", "a%a"]
+    patterns += ["%".join("".join(rnd.choice("ab_") for _ in range(rnd.randint(0, 3))) for _ in range(rnd.randint(2, 5))) for _ in range(30)]
+    patterns = [p for p in dict.fromkeys(patterns) if p]
+    visits, texts = [], {}
+    for user in range(40):
+        urls = ["".join(rnd.choice("aaabbb%_é\n") for _ in range(rnd.randint(1, 4))) for _ in range(rnd.choice([1, 3, 4, 7, 12, 25]))]
+        texts[user] = "".join(urls)
+        visits += [(user, i, u) for i, u in enumerate(urls)]
+    rules = R.clean_rules(spark.createDataFrame([(p, f"L{i}") for i, p in enumerate(patterns)], "transfer_rule string, value string"), "like")
+    overlap = longlists.longest_segment(rules)
+    df = spark.createDataFrame(visits, "distinct_id int, seq int, url string")
+    lists = user_url_lists(df, list_urls=max(3, overlap), overlap=overlap)
+    assert lists.where("part > 2").count()
+    hits = longlists.match_cut_lists(lists, rules, key="distinct_id", list_urls=max(3, overlap), keep_unmatched=True)
+    got = {(r.distinct_id, r.label) for r in hits.collect()}
+    want = {(u, f"L{i}") for u, t in texts.items() for i, p in enumerate(patterns) if like(t, p)}
+    assert {g for g in got if g[1]} == want and {g[0] for g in got} == set(texts)

@@ -58,6 +58,22 @@ def product_label_flags_known_only(spark, folder):
     return _label_flags(spark, folder, on_unknown="drop", strategy="gram")
 
 
+LONG_RULES = [
+    ("https://%.net/%html%utm_source=%.net/%", "far apart"),
+    ("%/fr/%/de/%/fr/%/en/%", "tour"),
+    ("%#tophttps://%", "across"),
+    ("https://%/en/__5%", "early"),
+    ("%.com/%.html", "ends"),
+    ("%blog%ref=x%blog%cheap-pills%", " blog"),
+]
+
+
+def product_label_flags_like_cut(spark, folder):
+    """LIKE over each user's whole list, which is cut into parts of 30 URLs."""
+    labels = small(spark, [(v.strip(), "L") for _, v in LONG_RULES] + [("unused", "U")], ["product_label", "product_label2"])
+    return product_labels_of_visits(visits(spark, folder), rule_map(spark, LONG_RULES), labels, mode="like", list_urls=30)
+
+
 def rule_match_pairs(spark, folder):
     rules = clean_rules(rule_map(spark))
     return match_rules(lists_for_rules(visits(spark, folder), rules), rules).distinct()
@@ -218,6 +234,7 @@ QUERIES = {
         product_label_flags_url_scope,
         product_label_flags_per_visit,
         product_label_flags_known_only,
+        product_label_flags_like_cut,
         rule_match_pairs,
         rule_match_pairs_cut,
         label_snapshot_files,
@@ -280,6 +297,9 @@ SQL = {
     "product_label_flags_url_scope": _URL_FLAGS,
     "product_label_flags_per_visit": _URL_FLAGS,
     "product_label_flags_known_only": f'SELECT * EXCLUDE ("REF") FROM ({_ROW_FLAGS})',
+    "product_label_flags_like_cut": "SELECT distinct_id, "
+    + ", ".join(f"""(t LIKE '{rule}')::BIGINT AS "{label.strip().upper()}\"""" for rule, label in LONG_RULES)
+    + f', 0::BIGINT AS "UNUSED" FROM ({_LISTS})',
     "rule_match_pairs": f"""SELECT DISTINCT distinct_id, label FROM ({_LISTS}) u JOIN (VALUES
   ('/fr/', 'FRENCH'), ('utm_source=feed', 'FEED'), ('cheap-pills', 'SPAM'), ('spam-farm', 'SPAM'),
   ('examplenet', 'GLUED'), ('.html', 'ARTICLE'), ('#tophttps', 'TOP_FIRST'), ('ref=x', 'REF')) r(needle, label)

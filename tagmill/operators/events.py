@@ -55,10 +55,15 @@ def dedup_events(events: DataFrame, subset: list[str] | None = None, order_by: s
     return merged.select(*[F.col(c) if c in subset and c != order_by else F.col(f"_first.{c}") for c in events.columns])
 
 
+def merged_events(events: DataFrame, subset: list[str] | None = None, copies: str = "_copies") -> DataFrame:
+    """The distinct ``subset`` rows with the number of events each stands for."""
+    return events.groupBy(*(subset or EVENT_COLUMNS)).agg(F.count(F.lit(1)).alias(copies))
+
+
 def duplicate_report(events: DataFrame, subset: list[str] | None = None, user: str = "distinct_id") -> DataFrame:
     """``rows_before, rows_after, users`` of a deduplication, counted in one job."""
     subset = subset or EVENT_COLUMNS
-    merged = events.groupBy(*subset).agg(F.count(F.lit(1)).alias("_copies"))
+    merged = merged_events(events, subset)
     by_user = merged.groupBy(user).agg(F.sum("_copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
     return by_user.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("rows_before"),

@@ -34,7 +34,7 @@ def clean_rules(rules: DataFrame, mode: str = "contains") -> DataFrame:
     if mode == "contains":
         needle_col, pattern = needle(F.col("transfer_rule")), F.lit(None).cast("string")
     elif mode == "like":
-        needle_col, pattern = _like_parts(F.col("transfer_rule"))
+        needle_col, pattern = like_parts(F.col("transfer_rule"))
     else:
         raise ValueError(f"mode {mode!r}")
     return (
@@ -44,7 +44,7 @@ def clean_rules(rules: DataFrame, mode: str = "contains") -> DataFrame:
     )
 
 
-def _like_parts(rule: Column) -> tuple[Column, Column]:
+def like_parts(rule: Column) -> tuple[Column, Column]:
     """Needle and pattern of a LIKE rule.
 
     ``%text%`` needs no pattern.  Otherwise the needle is the longest run free of

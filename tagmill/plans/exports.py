@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tagmill.bounds import bounded_values
 from tagmill.functions.dates import month_name, shift
-from tagmill.operators.events import LATE_DAYS, day_slice, dedup_events
+from tagmill.operators.events import LATE_DAYS, day_slice, dedup_events, merged_events
 from tagmill.operators.flags import MAX_LABELS, count_matrix
 from tagmill.sinks.jdbc import overwrite_jdbc, publish_day, write_snapshot
-from tagmill.sinks.partitions import replace_day
+from tagmill.sinks.partitions import replace_day, replace_day_counted
 from tagmill.sources.jdbc import Connection
 from tagmill.sources.tables import preview, run_template
 
@@ -55,6 +55,18 @@ def daily_event_files(events: DataFrame, execution_date: str, path: str) -> int:
     return replace_day(daily_events(events, execution_date), path, shift(execution_date, -LATE_DAYS))
 
 
+def daily_event_counts(events: DataFrame, execution_date: str, path: str, dt: str = "dt") -> tuple[int, int]:
+    """``daily_event_files`` that returns the day's events before and after the deduplication.
+
+    Both are counted by the job that writes: every distinct event carries its number of
+    copies over the last shuffle, so no count reads the events again.
+    """
+    day = shift(execution_date, -LATE_DAYS)
+    rows = merged_events(day_slice(events, execution_date, dt=dt))
+    counts = replace_day_counted(rows, path, day, dt, copies="_copies")
+    return counts["before"], counts["rows"]
+
+
 def preview_export(table: DataFrame, connection: Connection, target: str, rows: int = 10) -> None:
     overwrite_jdbc(preview(table, rows), connection, target)
 

@@ -33,9 +33,10 @@ def load_full(source: DataFrame, table: str, path: str | None = None) -> int:
 def load_append(source: DataFrame, table: str, key: str, execution_date: str, path: str | None = None) -> int:
     """Add the rows that earlier loads do not hold, by ``key``.
 
-    Rows with a key above the largest one of all earlier loads are new.  Rows with that
-    very key, or without a key, are new unless a stored row equals them in all columns,
-    so late ones arrive; keys below the largest count as loaded.  Rows are kept by load
+    ``source`` is the whole table as it is now.  Rows with a key above the largest one of all
+    earlier loads are new.  Of rows with that very key, or without a key, and equal in all
+    columns, as many are new as the source has more than is stored, so late ones arrive,
+    a second equal one too; keys below the largest count as loaded.  Rows are kept by load
     date: a repeated run replaces its own rows only, also by none.  A load before the
     latest one is refused, as it would take rows that later loads already hold.
     """
@@ -49,15 +50,22 @@ def load_append(source: DataFrame, table: str, key: str, execution_date: str, pa
         stored = spark.table(table).where(F.col(LOAD_DATE) < F.lit(execution_date).cast("date"))
         largest = F.lit(stored.agg(F.max(key)).first()[0]).cast(source.schema[key].dataType)
         edge = F.col(key).isNull() | F.coalesce(F.col(key) == largest, F.lit(False))
-        old, new = stored.where(edge).alias("o"), dated.where(edge).alias("n")
-        same = [F.col(f"o.{quoted(c)}").eqNullSafe(F.col(f"n.{quoted(c)}")) for c in source.columns]
         above = dated.where(F.coalesce(F.col(key) > largest, F.col(key).isNotNull() & largest.isNull()))
-        dated = above.unionByName(new.join(old, same, "left_anti"))
+        late = source.where(edge).exceptAll(_as_delivered(stored.where(edge), source.schema))
+        dated = above.unionByName(late.withColumn(LOAD_DATE, F.lit(execution_date).cast("date")))
         # The stored rows are read while their table is written.
         dated = materialize(dated, "append")
     return replace_partition(dated, table, LOAD_DATE, execution_date)
 
 
+def _as_delivered(stored: DataFrame, schema: StructType) -> DataFrame:
+    """Stored rows in the columns and types of a delivery; a column the table lacks is NULL."""
+    known = {c.lower() for c in stored.columns}
+    return stored.select(
+        *[(F.col(quoted(f.name)) if f.name.lower() in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
 def month_bounds(day: str) -> tuple[str, str]:
     """First day of the month of ``day`` and of the month after."""
     first = date.fromisoformat(day).replace(day=1)

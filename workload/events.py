@@ -79,6 +79,14 @@ def event_day_replace(spark, folder):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def event_day_counts(spark, folder):
+    """The replaced day with the counts of its writing job: events before and after the deduplication."""
+    rows, path = delivered_twice(spark, folder), scratch_path(spark, "events")
+    before, after = exports.daily_event_counts(rows, "2024-01-22", path)
+    written = spark.read.schema(rows.schema).parquet(path)
+    return written.withColumns({"rows_before": F.lit(before).cast("bigint"), "rows_after": F.lit(after).cast("bigint")})
+
+
 def monthly_name_rollup(spark, folder):
     """Orders per monthly table of an export."""
     orders = table(spark, folder, "orders")
@@ -154,6 +162,7 @@ QUERIES = {
         event_dedup_first,
         event_dup_report,
         event_day_replace,
+        event_day_counts,
         monthly_name_rollup,
         biweekly_snapshots,
         date_functions,
@@ -184,6 +193,9 @@ QUALIFY row_number() OVER (PARTITION BY distinct_id, dt, event ORDER BY event_id
   (SELECT count(DISTINCT user_id) FROM events) AS users""",
     "event_day_replace": f"""SELECT * FROM {_TWICE} WHERE dt <> DATE '2024-01-08'
 UNION ALL SELECT DISTINCT * FROM {_TWICE} WHERE dt = DATE '2024-01-08'""",
+    "event_day_counts": f"""WITH d AS MATERIALIZED (SELECT * FROM {_TWICE} WHERE dt = DATE '2024-01-15')
+SELECT *, (SELECT count(*) FROM d) AS rows_before, (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS rows_after
+FROM (SELECT DISTINCT * FROM d)""",
     "monthly_name_rollup": """SELECT 'event_' || strftime(o_orderdate, '%Y%m') AS table_name, count(*) AS row_count
 FROM orders GROUP BY 1""",
     "biweekly_snapshots": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dt FROM orders

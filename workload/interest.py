@@ -60,12 +60,17 @@ def part_facts(spark, folder):
     return table(spark, folder, "part").select(F.col("p_size").cast("string").alias("customuid"), name.alias("interest_class"))
 
 
+# Every brand with every kind, whether a part has them or not.
+KINDS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+PART_CLASSES = [f"Brand#{brand}_{kind}" for brand in range(1, 26) for kind in KINDS]
+
+
 def class_flags_wide(spark, folder):
-    return ops.class_flags(part_facts(spark, folder))
+    return ops.class_flags(part_facts(spark, folder), classes=PART_CLASSES)
 
 
 def activity_counts_wide(spark, folder):
-    return exports.activity_counts(part_facts(spark, folder), "customuid", "interest_class")
+    return exports.activity_counts(part_facts(spark, folder), "customuid", "interest_class", PART_CLASSES)
 
 
 QUERIES = {
@@ -96,9 +101,12 @@ _FLAGS = "SELECT customuid, " + ", ".join(
 FROM lineitem) GROUP BY customuid"""
 
 SQL = {
-    "class_flags_wide": f"""SELECT customuid, CASE WHEN COLUMNS(* EXCLUDE customuid) > 0 THEN '1' ELSE '0' END
-FROM (PIVOT ({_PARTS}) ON class USING count(*) GROUP BY customuid)""",
-    "activity_counts_wide": f"PIVOT ({_PARTS}) ON class USING count(*) GROUP BY customuid",
+    "class_flags_wide": "SELECT customuid, "
+    + ", ".join(f"CASE WHEN bool_or(class = '{c}') THEN '1' ELSE '0' END AS \"{c}\"" for c in PART_CLASSES)
+    + f" FROM ({_PARTS}) GROUP BY customuid",
+    "activity_counts_wide": "SELECT customuid, "
+    + ", ".join(f"count(*) FILTER (class = '{c}') AS \"{c}\"" for c in PART_CLASSES)
+    + f" FROM ({_PARTS}) GROUP BY customuid",
     "interest_snapshot_files": f"SELECT * FROM ({_DEGREES}) d FULL JOIN ({_FLAGS}) c USING (customuid)",
     "interest_degree_matrix": _DEGREES,
     "interest_class_flags": _FLAGS,

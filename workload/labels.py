@@ -174,6 +174,22 @@ def user_tag_case_column_scope(spark, folder):
     return with_tags(pages, product_rules(_code_map(spark), "Media___and___News"), scope="column")
 
 
+def user_tags_by_lookup(spark, folder):
+    """A rule per part and one per order of digits, some thousand in all, over names, brands and numbers of the parts."""
+    part = table(spark, folder, "part")
+    sku = F.concat_ws("-", "p_name", F.replace("p_brand", F.lit("#"), F.lit("_")), F.col("p_partkey").cast("string"))
+    rows = part.select("p_partkey", sku.alias("sku"), F.col("p_type").alias("kind"))
+    number = F.col("p_partkey").cast("string")
+    rules = part.select(
+        F.lit("sku").alias("mapping_col"),
+        F.concat(F.lit("%"), F.split_part("p_name", F.lit(" "), F.lit(2)), F.lit("-Brand__%"), number).alias("transfer_rule"),
+        F.col("p_type").alias("value"),
+    ).unionAll(
+        part.select(F.lit("sku"), F.concat(F.lit("% -"), number, F.lit("%")), F.lit("dash"))
+    ).unionAll(part.select(F.lit("kind"), F.concat(F.substring("p_type", 1, 3), F.lit("%")), F.substring("p_type", 1, 1)))
+    return with_tags(rows, rules)
+
+
 def tag_partition_overwrite(spark, folder):
     """Two products tag the pages; then the first runs again and keeps tagged rows only."""
     name, path = scratch_table(spark, "product_tag")
@@ -246,6 +262,7 @@ QUERIES = {
         label_dictionary_upper,
         user_tag_case,
         user_tag_case_column_scope,
+        user_tags_by_lookup,
         tag_partition_overwrite,
         run_log_replace,
         user_url_list,
@@ -321,6 +338,20 @@ FROM part WHERE lower(p_name) = 'small ring'""",
   CASE WHEN url LIKE '%/fr/%' OR url LIKE '%/es/%' OR url LIKE '%utm_source=feed' THEN 'feed' END AS user_tag_1,
   CASE WHEN url LIKE '%/fr/%' OR url LIKE '%/es/%' OR url LIKE '%utm_source=feed' THEN 'romance' END AS user_tag_2
 FROM pages""",
+    "user_tags_by_lookup": """WITH s AS (
+  SELECT p_partkey, p_name || '-' || replace(p_brand, '#', '_') || '-' || p_partkey AS sku, p_type AS kind FROM part),
+r AS (SELECT DISTINCT '%' || split_part(p_name, ' ', 2) || '-Brand__%' || p_partkey AS rule, p_type AS tag FROM part
+  UNION ALL SELECT '%-' || p_partkey || '%', 'dash' FROM part),
+h AS (SELECT p_partkey, list(DISTINCT tag) AS tags FROM s JOIN r ON s.sku LIKE r.rule GROUP BY p_partkey)
+SELECT s.p_partkey, sku, kind,
+  """
+    + ",\n  ".join(f"CASE WHEN kind LIKE '{v}%' THEN '{v}' END AS user_tag_{i}" for i, v in enumerate("ELMPS", 1))
+    + ",\n  "
+    + ",\n  ".join(
+        f"CASE WHEN list_contains(tags, '{v}') THEN '{v}' END AS user_tag_{i}"
+        for i, v in enumerate(("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "dash"), 6)
+    )
+    + " FROM s LEFT JOIN h USING (p_partkey)",
     "tag_partition_overwrite": """SELECT page_id, url, 'mobile' AS user_tag, '08:00:00' AS process_time,
   'site-01' AS product_type, '2024-01-03' AS dt FROM pages WHERE url LIKE '%//m.%' OR url LIKE '%//www.%'
 UNION ALL SELECT page_id, url, CASE WHEN url LIKE '%blog%' THEN 'blog' END, '08:00:00', 'news-02', '2024-01-02'

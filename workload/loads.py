@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from tagmill.plans import loads
-from tagmill.session import scratch_path
+from tagmill.session import materialize, scratch_path
 from tagmill.sinks import files
-from tagmill.sinks.partitions import create_like, overwrite_partitions, overwrite_paths, replace_day
+from tagmill.sinks.partitions import create_like, overwrite_partitions, overwrite_paths, publish_partition, replace_day
 from tagmill.sources.files import read_tsv
 from tagmill.sources.tables import LoadSpec
 from workload.inputs import scratch_table, small, table, written
@@ -50,6 +50,55 @@ def load_append_late(spark, folder):
     return written(spark, name, path)
 
 
+def load_append_copies(spark, folder):
+    """Rows of the largest date come late and in equal copies: a delivery holds as many as its number says."""
+    orders = table(spark, folder, "orders")
+    last = F.lit("2001-08-01").cast("timestamp_ntz")
+    edge = orders.where(F.col("o_orderdate") == last).unionAll(orders.where("o_orderkey % 25 = 0").withColumn("o_orderdate", F.lit(None).cast("timestamp_ntz")))
+
+    def delivered(copies):
+        return orders.where(F.col("o_orderdate") < last).unionAll(edge.withColumn("i", F.explode(F.sequence(F.lit(1), copies))).drop("i"))
+
+    name, path = scratch_table(spark, "orders_copies")
+    loads.load_append(delivered(1 + F.col("o_custkey") % 2), name, "o_orderdate", "2024-01-01", path)
+    for _ in range(2):
+        loads.load_append(delivered(2 + F.col("o_custkey") % 3), name, "o_orderdate", "2024-01-02", path)
+    return written(spark, name, path)
+
+
+def load_month_reshaped(spark, folder):
+    """Between two loads the source gains a column, loses one and widens another; the table follows."""
+    orders = table(spark, folder, "orders")
+    name, path = scratch_table(spark, "orders_reshaped")
+    loads.load_month(orders.withColumn("o_custkey", F.col("o_custkey").cast("int")), name, "o_orderdate", path=path)
+    grown = orders.withColumn("o_channel", F.concat(F.lit("ch"), (F.col("o_orderkey") % 3).cast("string"))).drop("o_orderpriority")
+    for month in ("1996-02-10", "1997-12-31"):
+        loads.load_month(grown, name, "o_orderdate", month, path)
+    return written(spark, name, path)
+
+
+def publish_interrupted(spark, folder):
+    """Every month is published by itself; one again, first by a job that dies midway, then by one that ends."""
+    orders = table(spark, folder, "orders").withColumn("ym", F.date_format("o_orderdate", "yyyyMM"))
+    name, path = scratch_table(spark, "orders_published")
+    create_like(spark, name, orders, ["ym"], path)
+    overwrite_partitions(orders, name)
+    for month, sign in (("199702", 1), ("199703", -1)):
+        rows = orders.where(F.col("ym") == month).withColumn("o_totalprice", -F.col("o_totalprice"))
+        dying = F.when(F.col("o_orderkey") % 7 == 0, F.raise_error(F.lit("dies midway")).cast("double")).otherwise(F.col("o_totalprice"))
+        try:
+            publish_partition(rows.withColumn("o_totalprice", dying), name, "ym", month)
+        except Exception as error:  # noqa: BLE001
+            if "dies midway" not in str(error):
+                raise
+        if sign < 0:
+            publish_partition(rows, name, "ym", month)
+    publish_partition(orders.limit(0), name, "ym", "199704")
+    held = materialize(spark.table(name), "published")
+    spark.sql(f"DROP TABLE {name}")
+    return held
+
+
 def load_append_emptied(spark, folder):
     """A load is run again without rows and so takes its rows back."""
     orders = table(spark, folder, "orders")
@@ -90,6 +139,15 @@ def day_replaced_by_nothing(spark, folder):
     return spark.read.schema(orders.schema).parquet(path).where(F.col("dt") >= F.lit("1998-07-25").cast("date"))
 
 
+def day_emptied_in_folder(spark, folder):
+    """A day of a folder with all days is replaced by no rows; the whole folder comes back."""
+    orders = table(spark, folder, "orders").withColumn("dt", F.to_date("o_orderdate"))
+    path = scratch_path(spark, "days")
+    overwrite_paths(orders, path, ["dt"])
+    replace_day(orders.limit(0), path, "1998-07-27")
+    return spark.read.schema(orders.schema).parquet(path)
+
+
 def job_table_loads(spark, folder):
     """Loads as a job table lists them, each by its pattern; returns what the targets hold."""
     run = uuid.uuid4().hex[:12]
@@ -188,11 +246,15 @@ QUERIES = {
         load_full_partitioned,
         load_append,
         load_append_late,
+        load_append_copies,
         load_append_emptied,
         load_month,
         load_month_emptied,
+        load_month_reshaped,
+        publish_interrupted,
         job_table_loads,
         day_replaced_by_nothing,
+        day_emptied_in_folder,
         mapping_refresh,
         vendor_file_load,
         slice_export_tsv,
@@ -211,6 +273,19 @@ SQL = {
     OR (d = TIMESTAMP '1998-03-02' AND o_orderkey % 2 = 0) OR (d IS NULL AND o_orderkey % 100 = 0)
   THEN DATE '2024-01-01' ELSE DATE '2024-01-02' END AS load_dt
 FROM (SELECT *, CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate END AS d FROM orders)""",
+    "load_append_copies": """WITH e AS (SELECT * FROM orders WHERE o_orderdate = TIMESTAMP '2001-08-01'
+  UNION ALL SELECT * REPLACE (NULL::TIMESTAMP AS o_orderdate) FROM orders WHERE o_orderkey % 25 = 0)
+SELECT *, DATE '2024-01-01' AS load_dt FROM orders WHERE o_orderdate < TIMESTAMP '2001-08-01'
+UNION ALL SELECT e.*, DATE '2024-01-01' FROM e, range(2) t(i) WHERE i <= o_custkey % 2
+UNION ALL SELECT e.*, DATE '2024-01-02' FROM e, range(4) t(i) WHERE i > o_custkey % 2 AND i <= 1 + o_custkey % 3""",
+    "load_month_reshaped": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+  CASE WHEN m NOT IN ('199602', '199712') THEN o_orderpriority END AS o_orderpriority,
+  CASE WHEN m IN ('199602', '199712') THEN 'ch' || (o_orderkey % 3) END AS o_channel, m AS yyyymm
+FROM (SELECT *, strftime(o_orderdate, '%Y%m') AS m FROM orders)""",
+    "publish_interrupted": """SELECT * REPLACE (CASE WHEN ym = '199703' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice)
+FROM (SELECT *, strftime(o_orderdate, '%Y%m') AS ym FROM orders) WHERE ym <> '199704'""",
+    "day_emptied_in_folder": """SELECT *, CAST(o_orderdate AS DATE) AS dt FROM orders
+  WHERE CAST(o_orderdate AS DATE) <> DATE '1998-07-27'""",
     "load_append_emptied": """SELECT *, DATE '2024-01-01' AS load_dt FROM orders
   WHERE o_orderdate < TIMESTAMP '1995-01-01'""",
     "load_month_emptied": """SELECT *, strftime(o_orderdate, '%Y%m') AS yyyymm FROM orders

@@ -6,6 +6,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tagmill import session
 from tagmill.functions import dates, types
+from tagmill.operators import calendar
 from tagmill.operators import events as E
 from tagmill.operators.casetags import tag_columns
 from tagmill.operators.interest import degree_matrix
@@ -259,3 +260,30 @@ def test_day_slice_prunes_partitions(spark, tmp_path, capsys):
     day.explain()
     plan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(dt" in plan and day.count() == 1 and "Python" not in plan
+
+
+def test_calendar_prunes_partitions_when_read(spark, tmp_path):
+    path = str(tmp_path / "by_day")
+    days = spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-02-28')) AS dt")
+    days.selectExpr("dt", "cast(day(dt) % 5 as string) AS u").write.partitionBy("dt").parquet(path)
+    stored = spark.read.schema("u string, dt date").parquet(path)
+    table = calendar.calendar(spark, "2023-12-25", "2024-03-31")
+    grid = calendar.snapshots_by_calendar(stored, table, "2024-01-29")
+    assert "dynamicpruning" in grid._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.dt.isoformat() for r in grid.collect()) == ["2024-01-01", "2024-01-15", "2024-01-29", "2024-02-12", "2024-02-26"]
+    windows = calendar.look_backs(table, F.col("weekday") == 1, 6)
+    inside = calendar.events_in_windows(stored, windows)
+    assert "dynamicpruning" in inside._jdf.queryExecution().executedPlan().toString()
+    got = {r.base.isoformat(): r.n for r in inside.groupBy("base").agg(F.count("*").alias("n")).collect()}
+    assert got["2024-01-07"] == got["2024-02-25"] == 7 and got["2024-03-03"] == 3 and "2023-12-31" not in got
+
+
+def test_sketches_of_windows(spark):
+    df = spark.range(40_000).selectExpr("cast(id % 15000 as string) AS distinct_id", "date_add(date'2024-01-01', cast(id % 10 as int)) AS dt")
+    df = df.unionAll(spark.sql("SELECT cast(null as string), date'2024-01-01'"))
+    windows = spark.sql("SELECT date'2024-01-10' AS base, explode(sequence(date'2024-01-01', date'2024-01-10')) AS day").unionAll(
+        spark.sql("SELECT date'2023-06-01', date'2023-06-01'")
+    )
+    sketches = calendar.daily_sketches(df)
+    got = {r.base.isoformat(): r.users for r in calendar.users_in_windows(sketches, windows).collect()}
+    assert sketches.count() == 10 and abs(got["2024-01-10"] - 15_000) < 450 and got["2023-06-01"] == 0

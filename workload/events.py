@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tagmill.functions.dates import compact, event_instant, month_name, month_of, on_grid, parse_tm, shift, table_suffix, underscored
 from tagmill.functions.types import cast_wide
+from tagmill.operators import calendar as calendars
 from tagmill.operators import events as ops
 from tagmill.plans import exports
 from tagmill.plans.exports import daily_event_files
-from tagmill.session import scratch_path
+from tagmill.session import materialize, scratch_path
 from tagmill.sinks.partitions import overwrite_paths
 from tagmill.sources.tables import preview, run_template, run_text_template
 from workload.inputs import EVENTS_SQL, OTHER_SQL, delivered_twice, events, table
@@ -87,6 +88,39 @@ def event_day_counts(spark, folder):
     return written.withColumns({"rows_before": F.lit(before).cast("bigint"), "rows_after": F.lit(after).cast("bigint")})
 
 
+def _events_by_day(spark, folder, columns=("event_id", "distinct_id", "event")):
+    """The events as a folder partitioned by day."""
+    path = scratch_path(spark, "by-day")
+    rows = events(spark, folder).select(*columns, "dt")
+    overwrite_paths(rows, path, ["dt"])
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def calendar_snapshots(spark, folder):
+    """Every third day of a partitioned event table, chosen by a date table."""
+    days = calendars.calendar(spark, "2023-12-01", "2024-03-31")
+    return calendars.snapshots_by_calendar(_events_by_day(spark, folder), days, "2024-01-05", 3)
+
+
+def calendar_windows(spark, folder):
+    """Events and users of the seven days up to each Sunday."""
+    days = calendars.calendar(spark, "2024-01-01", "2024-02-05")
+    windows = calendars.look_backs(days, F.col("weekday") == 1, 6)
+    inside = calendars.events_in_windows(_events_by_day(spark, folder), windows)
+    return inside.groupBy("base").agg(F.count(F.lit(1)).alias("events"), F.countDistinct("distinct_id").alias("users"))
+
+
+def user_sketches(spark, folder):
+    """Distinct users of look-back windows: exact, and whether merged daily sketches are within 3 %."""
+    rows = _events_by_day(spark, folder)
+    stored = materialize(calendars.daily_sketches(rows), "sketches")
+    days = calendars.calendar(spark, "2024-01-01", "2024-02-05")
+    windows = calendars.look_backs(days, F.col("weekday").isin(1, 4), 10)
+    exact = calendars.events_in_windows(rows, windows).groupBy("base").agg(F.countDistinct("distinct_id").alias("exact"))
+    both = calendars.users_in_windows(stored, windows).join(exact, "base", "left").withColumn("exact", F.coalesce("exact", F.lit(0)))
+    return both.select("base", "exact", (F.abs(F.col("users") - F.col("exact")) * 100 <= F.col("exact") * 3).alias("close"))
+
+
 def monthly_name_rollup(spark, folder):
     """Orders per monthly table of an export."""
     orders = table(spark, folder, "orders")
@@ -163,6 +197,9 @@ QUERIES = {
         event_dup_report,
         event_day_replace,
         event_day_counts,
+        calendar_snapshots,
+        calendar_windows,
+        user_sketches,
         monthly_name_rollup,
         biweekly_snapshots,
         date_functions,
@@ -176,6 +213,8 @@ QUERIES = {
 _TWICE = "(" + " UNION ALL ".join(f"SELECT * EXCLUDE event_id FROM ({s})" for s in (EVENTS_SQL, EVENTS_SQL, OTHER_SQL)) + ")"
 _COLUMNS = "distinct_id, dt, tm, event_duration, element_content, event"
 
+_BASES = "SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-05', INTERVAL 1 DAY)) AS DATE) AS base"
+
 SQL = {
     "event_day_slice": f"SELECT event_id, {_COLUMNS} FROM ({EVENTS_SQL}) WHERE dt = DATE '2024-01-08'",
     "event_lookback": f"SELECT event_id, {_COLUMNS} FROM ({EVENTS_SQL}) WHERE dt BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'",
@@ -196,6 +235,12 @@ UNION ALL SELECT DISTINCT * FROM {_TWICE} WHERE dt = DATE '2024-01-08'""",
     "event_day_counts": f"""WITH d AS MATERIALIZED (SELECT * FROM {_TWICE} WHERE dt = DATE '2024-01-15')
 SELECT *, (SELECT count(*) FROM d) AS rows_before, (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS rows_after
 FROM (SELECT DISTINCT * FROM d)""",
+    "calendar_snapshots": f"""SELECT event_id, distinct_id, event, dt FROM ({EVENTS_SQL})
+WHERE date_diff('day', DATE '2024-01-05', dt) % 3 = 0""",
+    "calendar_windows": f"""SELECT base, count(*) AS events, count(DISTINCT distinct_id) AS users FROM ({EVENTS_SQL})
+JOIN ({_BASES}) b ON dt BETWEEN base - 6 AND base WHERE dayofweek(base) = 0 GROUP BY base""",
+    "user_sketches": f"""SELECT base, count(DISTINCT distinct_id) AS exact, true AS close
+FROM ({_BASES}) b LEFT JOIN ({EVENTS_SQL}) ON dt BETWEEN base - 10 AND base WHERE dayofweek(base) IN (0, 3) GROUP BY base""",
     "monthly_name_rollup": """SELECT 'event_' || strftime(o_orderdate, '%Y%m') AS table_name, count(*) AS row_count
 FROM orders GROUP BY 1""",
     "biweekly_snapshots": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dt FROM orders

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +26,15 @@ def template_export(
 
 
 def template_exports(
-    spark: SparkSession, texts: dict[str, str], connection: Connection | str, day: str, **options
+    spark: SparkSession, texts: dict[str, str], connection: Connection | str, day: str, parallel: int = 4, **options
 ) -> list[str]:
-    """``template_export`` for several tables, such as the second-level interests."""
-    return [template_export(spark, text, connection, table, day, **options) for table, text in texts.items()]
+    """``template_export`` for several tables, such as the second-level interests, ``parallel`` at a time.
+
+    All are tried; the first error is raised when the others have ended.
+    """
+    with ThreadPoolExecutor(parallel) as pool:
+        runs = [pool.submit(template_export, spark, text, connection, table, day, **options) for table, text in texts.items()]
+    return [run.result() for run in runs]
 
 
 def activity_counts(facts: DataFrame, key: str, activity: str, activities: list[str] | None = None) -> DataFrame:

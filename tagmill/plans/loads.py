@@ -16,10 +16,12 @@ from tagmill.functions.dates import month_of
 from tagmill.functions.text import quoted
 from tagmill.session import materialize
 from tagmill.sinks.partitions import create_like, overwrite_partitions, overwrite_table, replace_partition
-from tagmill.sources.files import BAD_LINE, good_and_bad, read_vendor_file
-from tagmill.sources.jdbc import Connection, read_jdbc
+from tagmill.sources.files import BAD_LINE, good_and_bad, read_deliveries, read_vendor_file
+from tagmill.sources.jdbc import Connection, equal_depth_predicates, read_jdbc
 from tagmill.sources.tables import LoadSpec
 
+# Tasks that read a mirrored table.
+READ_TASKS = 32
 LOAD_DATE = "load_dt"
 MONTH = "yyyymm"
 
@@ -105,13 +107,18 @@ def mirror(
     """``load`` from the relational table of the specification.
 
     The table is read in parallel by ranges of ``split_by``, by default the key of new
-    data.  Reading it in one task must be asked for.
+    data: by ranges of equally many rows where an earlier mirror tells its quantiles, else by equally wide ones.
+    Reading it in one task must be asked for.
     """
     split_by = reading.pop("split_by", None) or spec.key_to_new_data
     if not one_task:
         if not split_by:
             raise ValueError(f"{spec.table}: name split_by, or ask for one_task")
-        reading["split_by"] = split_by
+        if spark.catalog.tableExists(spec.target):
+            parts = reading.get("partitions", READ_TASKS)
+            reading["predicates"] = equal_depth_predicates(spark.table(spec.target), split_by, parts)
+        else:
+            reading["split_by"] = split_by
     return load(read_jdbc(spark, connection, spec.table, **reading), spec, execution_date)
 
 
@@ -145,3 +152,21 @@ def load_vendor_file(
     dated = good.withColumn(dt, F.lit(day).cast("date"))
     create_like(spark, table, dated, [dt], path)
     return replace_partition(dated, table, dt, day)
+
+
+def load_deliveries(
+    spark: SparkSession, files: str, schema: StructType, table: str, quarantine: str, day: str, *, dt: str = "dt", path: str | None = None, **reading
+) -> tuple[int, int]:
+    """Replace the day of ``table`` by the readable rows of all files and that of ``quarantine`` by the others.
+
+    Returns how many rows went to each.  Good rows keep the name of their file in
+    ``source_file``; a line in quarantine keeps its text, its file and the reason.  Both tables
+    may be loaded again for the same day; ``path`` is the folder of both tables, each below its own name.
+    """
+    good, bad = read_deliveries(spark, files, schema, **reading)
+    sent = []
+    for rows, name in ((good, table), (bad, quarantine)):
+        dated = rows.withColumn(dt, F.lit(day).cast("date"))
+        create_like(spark, name, dated, [dt], f"{path.rstrip('/')}/{name}" if path else None)
+        sent.append(replace_partition(dated, name, dt, day))
+    return sent[0], sent[1]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagmill.sources.tables import checked_name
 
@@ -40,6 +41,36 @@ def split_options(column: str, lower, upper, partitions: int) -> dict[str, str]:
     }
 
 
+def equal_depth_predicates(stored: DataFrame, column: str, parts: int) -> list[str]:
+    """Conditions that cut a table into about equally many rows each, by the quantiles of ``column``.
+
+    ``stored`` is what is known of the table, such as its last mirror.  Every row meets exactly one
+    condition, rows above or below all stored ones and rows without the column included.  A
+    value cannot be split: one that holds more than its share makes a part of its own.
+    """
+    name = checked_name(column)
+    kind = stored.schema[column].dataType.typeName()
+    if kind in ("float", "double"):
+        raise ValueError(f"{column}: split by a whole number, date, time or decimal")
+    if parts < 2:
+        return ["1 = 1"]
+    shares = [i / parts for i in range(1, parts)]
+    found = stored.select(F.percentile_approx(name, shares, 100 * parts).alias("cuts"))
+    texts = found.select(F.transform("cuts", lambda c: c.cast("string")).alias("cuts")).first().cuts
+    quote = "'" if kind in ("date", "timestamp", "timestamp_ntz") else ""
+    cuts = [quote + c + quote for c in texts or []]
+    if not cuts:
+        return ["1 = 1"]
+    out, above = [], ""
+    for cut in dict.fromkeys(cuts):
+        out.append(f"{above}{name} < {cut}" if out else f"{name} < {cut} OR {name} IS NULL")
+        heavy = cuts.count(cut) > 1
+        if heavy:
+            out.append(f"{name} = {cut}")
+        above = f"{name} {'>' if heavy else '>='} {cut} AND "
+    return [*out, above.removesuffix(" AND ")]
+
+
 def read_jdbc(
     spark: SparkSession,
     connection: Connection,
@@ -47,13 +78,19 @@ def read_jdbc(
     split_by: str | None = None,
     partitions: int = 32,
     fetch_size: int = 10_000,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
     """A table over JDBC; filters and columns reach the server.
 
+    With ``predicates``, such as those of ``equal_depth_predicates``, one task reads the
+    rows of each.
     With ``split_by`` the bounds are asked of the server and the table is read by
     ``partitions`` tasks.  Without it one task reads everything, which suits
     mapping tables only.
     """
+    if predicates:
+        properties = {k: v for k, v in connection.options().items() if k != "url"}
+        return spark.read.jdbc(connection.url, table, predicates=predicates, properties={**properties, "fetchsize": str(fetch_size)})
     reader = (
         spark.read.format("jdbc")
         .options(**connection.options())

@@ -160,3 +160,71 @@ def test_tags_by_lookup_equal_the_expression(spark, monkeypatch, scope):
 def test_lookup_without_rules(spark):
     df = spark.createDataFrame([("a",)], "u string")
     assert casetags.with_tags_by_lookup(df, spark.createDataFrame([], "mapping_col string, transfer_rule string, value string")).columns == ["u"]
+
+
+def test_deliveries_keep_what_they_cannot_read(spark, tmp_path):
+    files = {
+        "a.csv": "id,name,score\n1,x,0.5\n2,y,bad\n3,z\n4,w,1,9\n\n5,\"q,r\",2\n",
+        "b.csv": "﻿SCORE,Id,name\n7.5,8,b\nid,name,score,more\n",
+        "c.csv": "9,no,1\n",
+        "d.csv": "id,name,score\n10,x,1\nname,id,score\nx,11,1\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    kind = ddl("id long, name string, score double")
+    good, bad = loads.read_deliveries(spark, str(tmp_path), kind)
+    base = F.element_at(F.split("source_file", "/"), -1)
+    assert rows(good.withColumn("source_file", base)) == sorted(
+        [(1, "x", 0.5, "a.csv"), (5, "q,r", 2.0, "a.csv"), (8, "b", 7.5, "b.csv")], key=repr
+    )
+    want = [("a.csv", t, "unreadable") for t in ("2,y,bad", "3,z", "4,w,1,9")] + [("b.csv", "id,name,score,more", "unreadable")]
+    want += [("c.csv", "9,no,1", "no header"), ("d.csv", "10,x,1", "two headers"), ("d.csv", "x,11,1", "two headers")]
+    assert rows(bad.withColumn("source_file", base)) == sorted(want, key=repr)
+
+
+def test_equal_depth_cuts(spark):
+    from tagmill.sources.jdbc import equal_depth_predicates
+
+    df = spark.range(4000).selectExpr("if(id % 3 = 0, 5, id) AS k", "if(id % 50 = 0, null, date_add(date'2024-01-01', cast(id * id % 700 as int))) AS d")
+    for column, most in (("k", 1400), ("d", 520)):
+        cuts = equal_depth_predicates(df, column, 10)
+        counts = df.agg(*[F.count_if(F.coalesce(F.expr(c), F.lit(False))) for c in cuts]).first()
+        assert sum(counts) == 4000 and max(counts) <= most and len(cuts) > 5
+    assert equal_depth_predicates(df.limit(0), "k", 10) == equal_depth_predicates(df, "k", 1) == ["1 = 1"]
+    with pytest.raises(ValueError):
+        equal_depth_predicates(df.selectExpr("cast(k as double) k"), "k", 3)
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
+    from tagmill.sinks.bucketed import side_by_side, write_bucketed
+
+    a = spark.range(200).selectExpr("cast(id % 60 as string) AS u", "id AS x").dropDuplicates(["u"])
+    b = spark.range(30, 90).selectExpr("cast(id as string) AS u", "id AS y")
+    write_bucketed(a, "side_a", "u", str(tmp_path / "a"), 4)
+    write_bucketed(b, "side_b", "u", str(tmp_path / "b"), 4)
+    both = side_by_side(spark, "side_a", "side_b", "u")
+    assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
+    assert rows(both) == rows(a.join(b, "u", "full_outer"))
+    assert "Exchange" not in spark.table("side_a").groupBy("u").count()._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        side_by_side(spark, "side_a", "side_a", "u")
+    for name in ("side_a", "side_b"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_all_templates_are_tried(spark, tmp_path):
+    texts = {"one": "SELECT 1 AS n", "bad": "SELECT missing FROM nowhere", "two": "SELECT 2 AS n"}
+    with pytest.raises(Exception, match="nowhere"):
+        exports.template_exports(spark, texts, str(tmp_path), "2024-01-20")
+    assert [spark.read.parquet(f"{tmp_path}/{n}_2024_01_20").first().n for n in ("one", "two")] == [1, 2]
+
+
+def test_base_queries_survive_a_missing_module(monkeypatch):
+    import sys
+
+    import __spark_entry__ as entry
+    from workload import all_queries
+
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    with pytest.warns(UserWarning, match="corpus_pipeline"):
+        assert set(entry.queries()) == set(all_queries())

@@ -57,6 +57,23 @@ def template_export_files(spark, folder):
     return spark.read.parquet(f"{root}/{name}").withColumn("name", F.lit(name))
 
 
+_LEVEL2 = {
+    "by_type": "SELECT event_type AS name, count(*) AS rows FROM {source} WHERE ts < cast(:baseTime AS timestamp_ntz) GROUP BY 1",
+    "by_user": "SELECT cast({key} AS string) AS name, count(*) AS rows FROM {source} GROUP BY 1",
+    "by_day": "SELECT date_format(ts, 'yyyyMMdd') AS name, count(*) AS rows FROM {source} GROUP BY 1",
+}
+
+
+def template_exports_files(spark, folder):
+    """Several templates, each the snapshot of a date on shared storage."""
+    root = scratch_path(spark, "snapshots")
+    names = exports.template_exports(
+        spark, _LEVEL2, root, "2024-01-20", names={"key": "user_id"}, source=table(spark, folder, "events")
+    )
+    held = [spark.read.parquet(f"{root}/{name}").withColumn("snapshot", F.lit(name)) for name in names]
+    return held[0].unionAll(held[1]).unionAll(held[2])
+
+
 def event_dedup(spark, folder):
     return ops.dedup_events(delivered_twice(spark, folder))
 
@@ -192,6 +209,7 @@ QUERIES = {
         event_tm_instant,
         export_names,
         template_export_files,
+        template_exports_files,
         event_dedup,
         event_dedup_first,
         event_dup_report,
@@ -224,6 +242,10 @@ SQL = {
 FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1997-12-31'""",
     "template_export_files": """SELECT user_id AS customuid, count(*) AS events, round(sum(value), 2) AS total,
   'interest_2024_01_20' AS name FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY user_id""",
+    "template_exports_files": """SELECT event_type AS name, count(*) AS rows, 'by_type_2024_01_20' AS snapshot FROM events
+WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1
+UNION ALL SELECT CAST(user_id AS VARCHAR), count(*), 'by_user_2024_01_20' FROM events GROUP BY 1
+UNION ALL SELECT strftime(ts, '%Y%m%d'), count(*), 'by_day_2024_01_20' FROM events GROUP BY 1""",
     "event_dedup": f"SELECT DISTINCT * FROM {_TWICE}",
     "event_dedup_first": f"""SELECT event_id, {_COLUMNS} FROM ({EVENTS_SQL})
 QUALIFY row_number() OVER (PARTITION BY distinct_id, dt, event ORDER BY event_id) = 1""",

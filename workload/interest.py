@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tagmill.operators import interest as ops
 from tagmill.plans import exports
 from tagmill.plans.labels import interest_snapshot
-from tagmill.session import scratch_path
-from workload.inputs import table
+from tagmill.session import materialize, scratch_path
+from tagmill.sinks.bucketed import side_by_side, write_bucketed
+from workload.inputs import scratch_table, table
 
 
 def degree_facts(spark, folder):
@@ -43,6 +44,19 @@ def interest_wide(spark, folder):
     return ops.interest_wide(degree_facts(spark, folder), class_facts(spark, folder))
 
 
+def interest_bucketed(spark, folder):
+    """Degrees and classes kept by user in buckets, put side by side without moving rows."""
+    names = []
+    for kind, rows in (("degrees", ops.degree_matrix(degree_facts(spark, folder))), ("classes", ops.class_flags(class_facts(spark, folder)))):
+        name, path = scratch_table(spark, kind)
+        write_bucketed(rows, name, "customuid", path, 8)
+        names.append(name)
+    held = materialize(side_by_side(spark, *names, "customuid"), "interest")
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return held
+
+
 def activity_counts(spark, folder):
     return exports.activity_counts(table(spark, folder, "events"), "user_id", "event_type")
 
@@ -80,6 +94,7 @@ QUERIES = {
         interest_class_flags,
         interest_wide,
         interest_snapshot_files,
+        interest_bucketed,
         class_flags_wide,
         activity_counts,
         activity_counts_wide,
@@ -108,6 +123,7 @@ SQL = {
     + ", ".join(f"count(*) FILTER (class = '{c}') AS \"{c}\"" for c in PART_CLASSES)
     + f" FROM ({_PARTS}) GROUP BY customuid",
     "interest_snapshot_files": f"SELECT * FROM ({_DEGREES}) d FULL JOIN ({_FLAGS}) c USING (customuid)",
+    "interest_bucketed": f"SELECT * FROM ({_DEGREES}) d FULL JOIN ({_FLAGS}) c USING (customuid)",
     "interest_degree_matrix": _DEGREES,
     "interest_class_flags": _FLAGS,
     "interest_wide": f"SELECT * FROM ({_DEGREES}) d FULL JOIN ({_FLAGS}) c USING (customuid)",

@@ -12,6 +12,7 @@ from tagmill.session import materialize, scratch_path
 from tagmill.sinks import files
 from tagmill.sinks.partitions import create_like, overwrite_partitions, overwrite_paths, publish_partition, replace_day
 from tagmill.sources.files import read_tsv
+from tagmill.sources.jdbc import equal_depth_predicates
 from tagmill.sources.tables import LoadSpec
 from workload.inputs import scratch_table, small, table, written
 
@@ -208,6 +209,43 @@ def vendor_file_load(spark, folder):
     return written(spark, name, path)
 
 
+def vendor_quarantine(spark, folder):
+    """Two deliveries with their columns in another order, some lines broken; good and bad rows are kept apart."""
+    customer = table(spark, folder, "customer")
+    drop = scratch_path(spark, "deliveries")
+    score = F.when(F.col("c_custkey") % 40 == 7, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
+    segment = F.when(F.col("c_custkey") % 60 == 11, F.lit("a,b")).otherwise(F.col("c_mktsegment"))
+    sent = customer.select(F.col("c_custkey").alias("user_id"), segment.alias("segment"), score.alias("score"))
+    for i, order in enumerate((["user_id", "segment", "score"], ["score", "user_id", "segment"])):
+        part = sent.where(F.col("user_id") % 2 == i).select(order)
+        part.write.options(header=True, quote="'").csv(f"{drop}/from{i}")
+    names = [f"vendor_{kind}_{uuid.uuid4().hex[:12]}" for kind in ("good", "bad")]
+    root = scratch_path(spark, "vendors")
+    for _ in range(2):
+        loads.load_deliveries(spark, f"{drop}/*", _VENDOR, *names, "2024-01-05", path=root)
+    source = F.element_at(F.split("source_file", "/"), -2).alias("source")
+    good = spark.table(names[0]).select("user_id", "segment", "score", F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason"), source, "dt")
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in _VENDOR.fields]
+    held = materialize(good.unionAll(spark.table(names[1]).select(*none, "line", "reason", source, "dt")), "vendors")
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return held
+
+
+def equal_depth_reads(spark, folder):
+    """Orders read by the conditions that quantiles of a skewed key give: parts, rows, and whether they are even."""
+    orders = table(spark, folder, "orders")
+    held = []
+    for key in (F.pow(F.col("o_orderkey") % 5000, F.lit(3)).cast("bigint"), F.nullif(F.to_date("o_orderdate"), F.lit("1995-01-02").cast("date"))):
+        rows = orders.withColumn("k", key)
+        cuts = equal_depth_predicates(rows, "k", 16)
+        counts = rows.agg(*[F.count_if(F.expr(c)).alias(f"c{i}") for i, c in enumerate(cuts)])
+        every = F.array(*counts.columns)
+        total = F.aggregate(every, F.lit(0).cast("bigint"), lambda n, c: n + c)
+        held.append(counts.select(F.lit(str(rows.schema["k"].dataType.typeName())).alias("kind"), F.size(every).alias("parts"), total.alias("row_count"), (F.array_max(every) * 16 <= 2 * total).alias("even")))
+    return held[0].unionAll(held[1])
+
+
 def slice_export_tsv(spark, folder):
     orders = table(spark, folder, "orders")
     path = scratch_path(spark, "tsv")
@@ -257,6 +295,8 @@ QUERIES = {
         day_emptied_in_folder,
         mapping_refresh,
         vendor_file_load,
+        vendor_quarantine,
+        equal_depth_reads,
         slice_export_tsv,
         slice_export_csv,
         text_export_tsv,
@@ -300,6 +340,15 @@ UNION ALL SELECT 'orders', 'yyyymm', count(*) FROM orders WHERE strftime(o_order
     "mapping_refresh": "SELECT * REPLACE (upper(s_name) AS s_name) FROM supplier",
     "vendor_file_load": """SELECT c_custkey AS user_id, c_mktsegment AS segment, c_acctbal AS score,
   DATE '2024-01-05' AS dt FROM customer""",
+    "vendor_quarantine": """WITH c AS (SELECT c_custkey AS user_id, c_custkey % 2 AS i,
+    CASE WHEN c_custkey % 60 = 11 THEN '''a,b''' ELSE c_mktsegment END AS segment, c_acctbal AS score,
+    CASE WHEN c_custkey % 40 = 7 THEN 'n/a' ELSE CAST(c_acctbal AS VARCHAR) END AS told,
+    c_custkey % 40 = 7 OR c_custkey % 60 = 11 AS bad FROM customer)
+SELECT CASE WHEN NOT bad THEN user_id END AS user_id, CASE WHEN NOT bad THEN segment END AS segment, CASE WHEN NOT bad THEN score END AS score,
+  CASE WHEN bad THEN CASE WHEN i = 0 THEN user_id || ',' || segment || ',' || told ELSE told || ',' || user_id || ',' || segment END END AS line,
+  CASE WHEN bad THEN 'unreadable' END AS reason, 'from' || i AS source, DATE '2024-01-05' AS dt FROM c""",
+    "equal_depth_reads": """SELECT 'long' AS kind, 16 AS parts, count(*) AS row_count, true AS even FROM orders
+UNION ALL SELECT 'date', 16, count(*), true FROM orders""",
     "slice_export_tsv": "SELECT * FROM orders WHERE o_orderdate = TIMESTAMP '1998-03-02'",
     "slice_export_csv": "SELECT * FROM events",
     "text_export_tsv": "SELECT * FROM documents",

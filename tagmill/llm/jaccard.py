@@ -15,7 +15,11 @@ from tagmill.llm.textbytes import raw, row_hashes, shingles, words
 from tagmill.session import materialize
 
 BLOCK = 1 << 14
-BINS = 128
+# Bits of a signature: the parities of the shingle counts in so many ranges of the hash.
+BITS = 1024
+# Postings of one task, classes of one list compared with each other in a group, pairs looked at together.
+TASK_POSTINGS, LIST_BLOCK, PAIRS = 2_000_000, 2048, 1 << 20
+LIST_ROWS = 100_000
 POSTING = np.dtype([("h", "<u8"), ("k", "<i8"), ("n", "<u4"), ("pos", "<u4")])
 SCAN = "id long, k long, k2 long, n int, sig binary, block int, salt int, cells binary"
 HELD = 400_000
@@ -65,14 +69,14 @@ def _scan(batches, size, seed, cells):
         if n and (flat := np.concatenate(found)).size:
             cell, times = np.unique(flat >> shift, return_counts=True)
             seen[cell.astype(np.int64)] += times.astype(np.uint32)
-        signs = [np.minimum(np.bincount((x >> np.uint64(57)).astype(np.int64), minlength=BINS), 255) for x in found]
+        signs = [np.packbits(np.bincount((x >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1) for x in found]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0).cast(pa.int64()),
                 pa.array(row_hashes(rows, hashes, seed).view(np.int64)),
                 pa.array(row_hashes(rows, hashes, seed + 1).view(np.int64)),
                 pa.array(np.array([len(x) for x in found], np.int32)),
-                pa.array([s.astype(np.uint8).tobytes() for s in signs], pa.binary()),
+                pa.array([s.tobytes() for s in signs], pa.binary()),
                 pa.nulls(n, pa.int32()),
                 pa.nulls(n, pa.int32()),
                 pa.nulls(n, pa.binary()),
@@ -174,22 +178,61 @@ def _shared(buckets, percent):
     return run
 
 
+def _signs(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many shingles two sets have not in common, at least: parities that differ."""
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+
+
 def _suffix(percent):
-    """Pairs whose sets may be close enough: shingles are counted in hash ranges, and
-    the counts' differences bound the size of the symmetric difference from below."""
+    """Pairs whose sets may be close enough: the parities of their counts in hash ranges
+    bound the size of the symmetric difference from below."""
 
     def run(batches):
         for batch in batches:
-            sig = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int32) for c in ("sa", "sb")]
             na, nb = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("na", "nb"))
-            apart = np.abs(sig[0] - sig[1])
-            apart[(sig[0] == 255) | (sig[1] == 255)] = 0
-            near = apart.sum(axis=1) <= na + nb - 2 * _needed(na, nb, percent)
+            near = _apart(_signs(batch.column("sa")), _signs(batch.column("sb"))) <= na + nb - 2 * _needed(na, nb, percent)
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
     return run
 
 
+def _met(percent):
+    """Pairs of classes that meet in the lists of a task and pass all filters, a row for a list and pair."""
+
+    def run(table: pa.Table) -> pa.Table:
+        col = {c: table.column(c).to_numpy() for c in ("g", "side", "k", "n", "pos", "before", "root")}
+        order = np.lexsort((col["k"], col["g"]))
+        g, side, k, n, pos, before, root = (col[c][order].astype(np.int64) for c in ("g", "side", "k", "n", "pos", "before", "root"))
+        signs = _signs(table.column("sig"))[order]
+        parts, left = [], np.arange(len(g))
+        for step in range(1, len(g)):
+            left = left[left + step < len(g)]
+            left = left[g[left] == g[left + step]]
+            if not len(left):
+                break
+            for at in range(0, len(left), PAIRS):
+                x = left[at : at + PAIRS]
+                y = x + step
+                fits = ((side[x] < 0) | (side[x] != side[y])) & (k[x] != k[y]) & (root[x] != root[y])
+                need = _needed(n[x], n[y], percent)
+                fits &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+                fits &= np.minimum(before[x], before[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
+                x, y, need = x[fits], y[fits], need[fits]
+                near = _apart(signs[x], signs[y]) <= n[x] + n[y] - 2 * need
+                x, y = x[near], y[near]
+                high = np.where(k[x] > k[y], x, y)
+                low = x + y - high
+                parts.append(np.stack([c[i] for c in (k, root, pos, n) for i in (high, low)]))
+        found = np.concatenate(parts, axis=1) if parts else np.zeros((8, 0), np.int64)
+        return pa.table([pa.array(c) for c in found], names=["a", "b", "ra", "rb", "pa", "pb", "na", "nb"])
+
+    return run
+
+
 def _keyed(size, seed):
     def run(batches):
         for batch in _slices(batches):
@@ -214,6 +257,25 @@ def _verified(size, seed, percent):
     return run
 
 
+def _meeting(open_: DataFrame, percent: int) -> DataFrame:
+    """Pairs that meet in the open lists; a long list is cut into blocks, and each pair of blocks compared by itself."""
+    long = materialize(open_.groupBy("h").count().where(f"count > {LIST_BLOCK}"), "long-lists")
+    total = open_.count()
+    none = F.lit(0).cast("long")
+    dealt = open_.withColumns({"i": none, "j": none, "side": F.lit(-1)})
+    if not long.isEmpty():
+        blocks = F.coalesce(F.ceil(F.col("count") / LIST_BLOCK), F.lit(1))
+        dealt = open_.join(long, "h", "left").withColumn("own", F.pmod(F.xxhash64("k"), blocks))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(none, blocks - 1)))
+        side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1)
+        dealt = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other"), "side": side})
+        total += long.agg(F.sum(F.col("count") * F.ceil(F.col("count") / LIST_BLOCK))).first()[0]
+    dealt = dealt.select(F.xxhash64("h", "i", "j").alias("g"), "side", "k", "n", "pos", "before", "root", "sig")
+    part = F.pmod("g", F.lit(max(1, total // LIST_ROWS))).alias("part")
+    kind = ", ".join(f"{c} long" for c in ("a", "b", "ra", "rb", "pa", "pb", "na", "nb"))
+    return dealt.groupBy(part).applyInArrow(_met(percent), kind)
+
+
 def ngram_jaccard(
     df: DataFrame,
     key: str = "doc_id",
@@ -221,7 +283,7 @@ def ngram_jaccard(
     size: int = 5,
     percent: int = 75,
     cells: int = 1 << 22,
-    buckets: int = 1024,
+    buckets: int | None = None,
     heavy: int = 200_000,
     rounds: int = 2,
 ) -> DataFrame:
@@ -238,14 +300,14 @@ def ngram_jaccard(
     2. A count of all shingles in ``cells`` cells, an array of fixed size, orders
        shingles rare first; any fixed order gives exact results.
     3. Each class posts the first shingles of its order, just so many that two classes
-       similar enough must share one.  Postings travel packed by hash bucket, and those
+       similar enough must share one.  Postings travel packed by hash bucket, in as many buckets as their count asks for, and those
        without a second class of a fitting size in their list are dropped.  Shingles in cells counted ``heavy`` times or more
        are dealt by class instead, so no bucket gathers a very long list.
     4. In a few ``rounds`` every class is compared with one class of each of its lists, the
        one with fewest shingles of its own, which others are likely copies of.  The number
        of pairs is linear in the lists, and lists whose classes are all linked are done.  Then all pairs of classes follow that share a posting and are
-       not linked yet, those first that share most.  Length, positional and suffix filters run before texts are
-       fetched, and each remaining pair is verified once.
+       not linked yet, those first that share most.  Length, positional and suffix filters run inside the tasks that
+       hold the lists, so only pairs that pass them become rows; each is verified once.
 
     Shingles are 64-bit hashes; two classes with equal hashes are told apart by a second
     hash, and the first is drawn anew if that happens.
@@ -261,6 +323,9 @@ def ngram_jaccard(
             break
         seed += 2
     classes = classes.select("k", "id")
+    if buckets is None:
+        postings = rows.agg(F.sum(F.expr(f"n - (n * {percent}L + 99) div 100 + 1"))).first()[0] or 0
+        buckets = max(64, postings // TASK_POSTINGS)
     sent = spark.sparkContext.broadcast(shingle_counts(scan, cells))
     lists = docs.where("id is not null").select("text").mapInArrow(
         lambda it: _postings(it, size, seed, percent, sent, buckets, heavy), "bucket int, held int, postings binary"
@@ -307,18 +372,8 @@ def ngram_jaccard(
         placed = lists.join(known, "k", "left").withColumn("root", F.coalesce("root", "k"))
         mixed = placed.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
         open_ = materialize(placed.join(mixed, "h", "left_semi"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    pairs = x.join(
-        y,
-        F.expr(
-            "x.h = y.h and x.k < y.k and x.root <> y.root"
-            f" and 100L * least(x.n, y.n) >= {percent}L * greatest(x.n, y.n)"
-            " and least(x.before, y.before) + least(x.n - x.pos, y.n - y.pos)"
-            f" >= ceil({percent}L * (x.n + y.n) / {100 + percent})"
-        ),
-    ).groupBy(F.col("x.k").alias("b"), F.col("y.k").alias("a"))
-    pairs = pairs.agg(
-        F.first("x.root").alias("rb"), F.first("y.root").alias("ra"), F.count("*").alias("c"), F.max("x.pos").alias("pb"), F.max("y.pos").alias("pa"), F.max("x.n").alias("nb"), F.max("y.n").alias("na")
+    pairs = _meeting(open_.join(signed.select("k", "sig"), "k"), percent).groupBy("a", "b").agg(
+        *[F.first(c).alias(c) for c in ("ra", "rb", "na", "nb")], F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb")
     )
     # All that both have up to the last shared posting is counted; the rest cannot exceed the shorter tail.
     pairs = pairs.where(f"c + least(na - pa, nb - pb) - 1 >= ceil({percent}L * (na + nb) / {100 + percent})")

@@ -209,6 +209,16 @@ def test_jaccard_as_brute_force(spark, options):
     assert got == brute.jaccard(dict(enumerate(texts)))
 
 
+def test_jaccard_of_long_lists_in_blocks(spark, monkeypatch):
+    """A chain of near texts with one frequent passage: most pairs meet, few link, no star reaches all."""
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", 8)
+    monkeypatch.setattr(jaccard, "LIST_ROWS", 50)
+    words = [f"w{i}" for i in range(400)]
+    texts = {i: " ".join(words[2 * i : 2 * i + 40] + ["common"] * 6) for i in range(120)}
+    got = {r.doc_id: (r.n_shingles, r.component) for r in ngram_jaccard(docs(spark, list(texts.items())), rounds=1).collect()}
+    assert got == brute.jaccard(texts)
+
+
 def test_jaccard_keys(spark):
     df = docs(spark, [(None, "a b c"), (4, "a b c"), (4, "a b c"), (2, None)])
     got = sorted(ngram_jaccard(df).collect(), key=str)

@@ -24,28 +24,31 @@ class Pieces:
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
-        self.text: list[str] = []
+        text: list[bytes] = []
         self.byte = [0] * 256
         self.rank: dict[str, float] = {}
         self.id: dict[str, int] = {}
-        self.high: dict[int, int] = {}
+        self.high = np.zeros(n, bool)
         for i in range(n):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 value = int(piece[1:-1], 16)
                 self.byte[value] = i
-                if value >= 128:
-                    self.high[i] = value
-                self.text.append(chr(value))
+                self.high[i] = value >= 128
+                text.append(bytes([value]))
             elif model.is_control(i):
-                self.text.append("")
+                text.append(b"")
             elif model.is_unknown(i):
-                self.text.append(" ⁇ ")
+                text.append(" ⁇ ".encode())
             else:
                 self.id[piece] = i
                 self.rank[piece] = model.get_score(i)
-                self.text.append(piece.replace(SPACE, " "))
-        self.lead = frozenset(i for p, i in self.id.items() if p.startswith(SPACE))
+                text.append(piece.replace(SPACE, " ").encode())
+        self.bytes = np.frombuffer(b"".join(text), np.uint8)
+        self.sizes = np.array([len(t) for t in text], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.leads = np.zeros(n, bool)
+        self.leads[[i for p, i in self.id.items() if p.startswith(SPACE)]] = True
         self.automaton = ahocorasick.Automaton()
         for piece in self.id:
             self.automaton.add_word(piece, len(piece))
@@ -53,6 +56,8 @@ class Pieces:
         # No merge crosses the start of a run of spaces, nor a line feed, if no piece does.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.id)
         self.by_line = not any("\n" in p for p in self.id)
+        # Nothing merges across two neighbouring characters that no piece has side by side.
+        self.inside = frozenset(p[i : i + 2] for p in self.id for i in range(len(p) - 1))
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -90,21 +95,27 @@ class Pieces:
         A character in no piece stands alone and becomes its UTF-8 bytes.
         """
         n = len(text)
-        lengths: list[list[int]] = [[1] for _ in range(n)]
+        alone = [1]
+        lengths = [alone] * n
         for end, size in self.automaton.iter(text):
             if size > 1:
-                lengths[end - size + 1].append(size)
-        failed = bytearray((n >> 3) + 1)
-        fits, stack, tokens = self.fits, [], []
+                start = end - size + 1
+                if lengths[start] is alone:
+                    lengths[start] = [1, size]
+                else:
+                    lengths[start].append(size)
+        failed, none_failed = bytearray((n >> 3) + 1), True
+        fits, known_pair, stack, tokens = self.fits, self.pairs.get, [], []
         pos, last = 0, ""
         at = len(lengths[0]) - 1 if n else -1
         while pos < n:
             choices = lengths[pos]
             while at >= 0:
                 end = pos + choices[at]
-                if not failed[end >> 3] >> (end & 7) & 1:
+                if none_failed or not failed[end >> 3] >> (end & 7) & 1:
                     token = text[pos:end]
-                    if fits(last, token):
+                    fit = known_pair((last, token))
+                    if fit or (fit is None and fits(last, token)):
                         break
                 at -= 1
             if at >= 0:
@@ -114,6 +125,7 @@ class Pieces:
                 at = len(lengths[pos]) - 1 if pos < n else -1
             else:
                 failed[pos >> 3] |= 1 << (pos & 7)
+                none_failed = False
                 pos, at = stack.pop()
                 tokens.pop()
                 last = tokens[-1] if tokens else ""
@@ -134,8 +146,12 @@ class _Cache(dict):
     def __init__(self, pieces: Pieces, prefix: str):
         super().__init__()
         self.pieces, self.prefix = pieces, prefix
+        # Single characters inside a run stand there without the prefix.
+        self.single = _Cache(pieces, "") if prefix else self
 
     def __missing__(self, run: str) -> bytes:
+        if 1 < len(run) <= CACHED_CHARS and run[-2:] not in self.pieces.inside:
+            return self[run[:-1]] + self.single[run[-1]]
         ids = array("i", self.pieces.encode_run(self.prefix + run)).tobytes()
         if len(run) <= CACHED_CHARS and len(self) < CACHED:
             self[run] = ids
@@ -184,24 +200,27 @@ def encoder(path: str) -> Encoder:
 
 
 def decoded(pieces: Pieces, ids: list[int]) -> str:
-    """The text of ids as ``encode`` gives them: one space of the first piece is dropped,
-    and byte pieces are read together as UTF-8."""
-    if pieces.high.keys().isdisjoint(ids):
-        text = "".join(map(pieces.text.__getitem__, ids))
-    else:
-        parts, held = [], bytearray()
-        for i in ids:
-            high = pieces.high.get(i)
-            if high is not None:
-                held.append(high)
-                continue
-            if held:
-                parts.append(held.decode(errors="replace"))
-                held = bytearray()
-            parts.append(pieces.text[i])
-        parts.append(held.decode(errors="replace"))
-        text = "".join(parts)
-    return text[1:] if ids and ids[0] in pieces.lead else text
+    """The text of one list of ids."""
+    return decoded_rows(pieces, np.array(ids, np.int32), np.array([0, len(ids)]))[0].as_py()
+
+
+def decoded_rows(pieces: Pieces, flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Texts of rows of ids as ``encode`` gives them, taken from a table of the pieces' bytes.
+
+    One space of a row's first piece is dropped.  Byte pieces put single bytes together; where
+    they make no UTF-8 the text has replacement characters.
+    """
+    starts, sizes = pieces.starts[flat].copy(), pieces.sizes[flat].copy()
+    firsts = bounds[:-1][np.diff(bounds) > 0]
+    led = firsts[pieces.leads[flat[firsts]]]
+    starts[led] += 1
+    sizes[led] -= 1
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    data = pieces.bytes[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
+    cuts = ends[bounds]
+    if pieces.high[flat].any():
+        return pa.array([data[a:b].tobytes().decode(errors="replace") for a, b in zip(cuts[:-1], cuts[1:])], pa.string())
+    return pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
 
 
 def encode(df: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -241,8 +260,12 @@ def decode(df: DataFrame, path: str, ids: str = "ids", keep: list[str] | None =
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                texts = [decoded(pieces, [i for i in x if i is not None] if x and None in x else x or []) for x in batch.column(len(keep)).to_pylist()]
+                lists = batch.column(len(keep)).cast(pa.list_(pa.int32()))
+                if lists.null_count or lists.flatten().null_count:
+                    lists = pa.array([[i for i in x or [] if i is not None] for x in lists.to_pylist()], pa.list_(pa.int32()))
+                flat, bounds = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+                texts = decoded_rows(pieces, flat, bounds - bounds[0])
                 columns = [batch.column(i) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(texts, pa.string())], names=[*keep, "decoded"])
+                yield pa.RecordBatch.from_arrays([*columns, texts], names=[*keep, "decoded"])
 
     return df.select(*keep, df[ids].alias("_ids")).mapInArrow(run, f"{kind}, decoded string")

@@ -1,6 +1,7 @@
 """Slow, plain versions of the operators to compare with."""
 
 import re
+from html.parser import HTMLParser
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -62,3 +63,55 @@ def base_spans(text):
             if len(m.group(group)) >= least:
                 found.append((m.start(), place, m.end(), kind))
     return [f"{kind}:{start}:{end}" for start, _, end, kind in sorted(found)]
+
+
+def line_block_text(lines, window, share):
+    """Text by the line-block distribution of a page without articles, sum by sum."""
+    light = [2 * line.linked > len(line.text) for line in lines]
+    size = [0 if x else len(line.text) for line, x in zip(lines, light)]
+    if not any(size):
+        size = [len(line.text) for line in lines]
+    total = lambda i: sum(size[k] for k in range(i, i + window) if 0 <= k < len(size))
+    starts = range(1 - window, len(lines))
+    some = [total(i) for i in starts if total(i)]
+    bodies, held = [], []
+    for i in [*starts, None]:
+        if i is not None and total(i):
+            held.append(i)
+        elif held:
+            inside = [k for k in range(held[0], held[-1] + window) if 0 <= k < len(lines) and size[k]]
+            bodies.append((inside[0], inside[-1], max(map(total, held)) * len(some) * share >= sum(some)))
+            held = []
+    firm = [b for b in bodies if b[2]]
+    kept = [b for b in bodies if firm and firm[0] <= b <= firm[-1]]
+    return "\n\n".join(line.text for a, b, _ in kept for line in lines[a : b + 1] if line.text)
+
+
+class _Article(HTMLParser):
+    def __init__(self):
+        super().__init__()
+        self.depth, self.blocks = 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        if tag in ("p", "h1", "h2", "h3", "li", "ul", "div", "article", "blockquote"):
+            self.blocks.append("")
+        elif tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        if tag in ("p", "h1", "h2", "h3", "li", "ul", "div", "article", "blockquote"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.depth:
+            self.blocks[-1] += data
+
+
+def article_text(page):
+    """The blocks of a page's article elements, by the standard library's parser."""
+    parser = _Article()
+    parser.feed(page or "")
+    parser.close()
+    return "\n\n".join(t for t in (" ".join(b.split()) for b in parser.blocks) if t)

@@ -361,6 +361,47 @@ def test_main_text_is_not_cut_by_what_is_skipped(page, text):
     assert htmltext.main_text(page) == text
 
 
+MENU = "<div>" + "".join(f"<div><a href='/{w}'>{w}</a></div>" for w in ("Home", "World", "Sport", "Money", "About")) + "</div>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"{MENU}<div><h1>Head</h1><p>{LONG}</p><p>Short.</p></div><div>© 2024 The Site. All rights reserved.</div>", f"Head\n\n{LONG}\n\nShort."),
+        (f"<div><a href='/'>Home</a> | <a href='/b'>About us</a></div><div><p>{LONG}</p>{MENU}<p>{LONG}</p></div>", f"{LONG}\n\n{LONG}"),
+        (f"<div><p>{LONG}</p><p><a href='/x'>All of the source</a></p><p>{LONG}</p></div>", f"{LONG}\n\nAll of the source\n\n{LONG}"),
+        *[
+            (f"<div><p>{LONG}</p><div class='{name}'><p>{LONG}</p></div><p>The end.</p></div>", f"{LONG}\n\nThe end.")
+            for name in ("comment-list", "user-comments", "ad-slot", "site-header", "main-nav", "site-footer", "ad-2 wide", "left_sidebar")
+        ],
+        (f"<div class='post-footer-less ad-free'><p>{LONG}</p></div>", LONG),
+        (f"<article><h1>Head</h1><p>In brief.</p></article><div><p>{LONG}</p></div>", f"Head\n\nIn brief.\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><article class=comment><p>Nice.</p></article></article>", LONG),
+        (f"<p>{LONG}</p><script>if (a <b) '</p>'", LONG),
+    ],
+)
+def test_main_text_without_marks_or_articles(page, text):
+    assert htmltext.main_text(page) == text
+
+
+def test_main_text_equals_plain_blocks():
+    """Surge, dive and threshold by plain loops over the same lines, on random pages without articles."""
+    rng = random.Random(3)
+    for _ in range(400):
+        page = ""
+        for _ in range(rng.randrange(1, 25)):
+            words = " ".join(rng.choice(("ab", "cde", "f")) for _ in range(rng.choice((1, 3, 40, 200))))
+            page += rng.choice(("<p>{}</p>", "<p><a href=x>{}</a></p>", "<div></div></div><p>{}", "<nav>{}</nav>", "<h2>{}</h2>", "<td></td><td></td>{}")).format(words)
+        assert htmltext.main_text(page) == brute.line_block_text(htmltext.lines(page), htmltext.WINDOW, htmltext.SHARE), page
+
+
+@pytest.mark.parametrize("piece", ["<nav>", "<div class=ad>", "<article>", "<!--", "<a<", "<script>", "<p hidden>", "</nav><nav>x", "<x class=ad><p>y</p>", "<div class=ad><article>y</article>"])
+def test_main_text_takes_time_with_the_length_of_a_page(piece):
+    start = time.perf_counter()
+    htmltext.main_text(f"<p>{LONG}</p>" + piece * 40_000)
+    assert time.perf_counter() - start < 10
+
+
 def test_main_text_frames(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, "<p>x</p>", "a"), (1, "<p>x</p>", "a")], "page_id int, html string, text string")
     assert sorted(r.text for r in htmltext.extract_main_text(df).collect()) == ["", "x", "x"]

@@ -125,3 +125,14 @@ def test_near_duplicates_of_repeated_ids(spark):
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()]
     assert sorted(got, key=str) == sorted((row for row in dict.fromkeys(rows) if row != (2, near)), key=str)
+
+
+def test_main_text_query(spark):
+    """The given pages hold one article each; its text is read with another parser."""
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").collect()
+    found = {r.page_id: r for r in QUERIES["op7_main_text"](spark, FOLDER).collect()}
+    assert len(found) == len(pages)
+    for page in pages:
+        want = brute.article_text(page.html)
+        got = found[page.page_id]
+        assert (got.url, got.text, got.n_chars) == (page.url, want, len(want))

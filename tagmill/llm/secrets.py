@@ -9,27 +9,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagmill.llm.frames import SENT_ROWS
+from tagmill.llm.quality import bound
 from tagmill.session import materialize
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Matches of ``pattern`` whose ``group`` has ``least`` characters or more.
-
-    ``screen``, if given, is a plain necessary condition for a rule without trigrams.
-    """
+    """Matches of ``pattern`` whose ``group`` has ``least`` characters or more."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
-    screen: str | None = None
 
 
 BASE = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24, "[0-9a-f]{24}"),
+    Rule("access", r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"[0-9a-f]{24,}"),
 )
 MORE = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
@@ -39,6 +36,7 @@ MORE = (
     Rule("payment", r"sk_live_[A-Za-z0-9]{24,}"),
 )
 RULES = BASE + MORE
+PART = 1024  # code points of a part while spans are masked
 MOST = 8  # alternatives kept apart while a pattern is read
 
 
@@ -150,6 +148,17 @@ def candidates(index: DataFrame, rules, trigrams: list[str]) -> DataFrame:
     return sets.select("_h", rule_bits.cast("int").alias("_rules")).where("_rules <> 0")
 
 
+def running(values: Column, both) -> Column:
+    """For every place ``both`` folded over the integers up to it; each pass doubles how far back a place sees."""
+    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def doubled(held, k):
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(held, lambda v, i: F.when(i < back, v).otherwise(both(v, F.get(held, i - back))))
+
+    return F.aggregate(passes, values, doubled)
+
+
 def _spans(text: Column, rule: Rule) -> Column:
     """Matches from left to right.  What lies between them and what they hold alternate, so
     running lengths give the positions, in code points."""
@@ -162,18 +171,13 @@ def _spans(text: Column, rule: Rule) -> Column:
         F.slice(F.transform(between, F.length), 1, F.size(held)),
         lambda m, gap: F.struct(m["n"].alias("n"), m["g"].alias("g"), gap.alias("gap")),
     )
-    none = F.array().cast("array<struct<start:int,end:int,g:int>>")
-    placed = F.aggregate(
+    placed = bound(
         zipped,
-        F.struct(F.lit(0).alias("at"), none.alias("found")),
-        lambda acc, m: F.struct(
-            (acc["at"] + m["gap"] + m["n"]).alias("at"),
-            F.concat(
-                acc["found"],
-                F.array(F.struct((acc["at"] + m["gap"]).alias("start"), (acc["at"] + m["gap"] + m["n"]).alias("end"), m["g"].alias("g"))),
-            ).alias("found"),
+        lambda some: F.zip_with(
+            some,
+            running(F.transform(some, lambda m: m["gap"] + m["n"]), lambda x, y: x + y),
+            lambda m, end: F.struct((end - m["n"]).alias("start"), end.alias("end"), m["g"].alias("g")),
         ),
-        lambda acc: acc["found"],
     )
     return F.filter(placed, lambda m: m["g"] >= rule.least)
 
@@ -210,7 +214,7 @@ def scan_secrets(df: DataFrame, text: str, keep: list[str], rules=RULES, sent: i
         if trigram_query(rule.pattern):
             maybe = F.coalesce("_rules", F.lit(0)).bitwiseAND(F.lit(1 << bit)) != 0
         else:
-            maybe = F.rlike(value, F.lit(rule.screen or rule.pattern))
+            maybe = F.rlike(value, F.lit(rule.pattern))
         spans = _named(_spans(value, rule), bit, rule.kind)
         parts.append(F.when(maybe, spans.cast(SPANS)).otherwise(F.array().cast(SPANS)))
     return texts.select(*keep, F.sort_array(F.concat(*parts)).alias("secrets"))
@@ -222,19 +226,26 @@ def listed(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; spans may overlap."""
-    done = F.aggregate(
-        spans,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(
-            F.struct(
-                F.concat(
-                    acc["out"],
-                    F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]"))).otherwise(F.lit("")),
-                ).alias("out"),
-                s["end"].alias("at"),
-            )
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    """The text with every span replaced by its kind in brackets; spans, by start, may overlap.
+
+    A span that begins before an earlier one ends prolongs it.  What stands between them
+    is taken from parts of ``PART`` code points, so a piece costs no walk from the start.
+    """
+
+    def between(parts, start, end):
+        first = F.floor(start / PART).cast("int")
+        some = F.slice(parts, first + 1, F.greatest(F.ceil(end / PART).cast("int") - first, F.lit(0)))
+        return F.substring(F.array_join(some, ""), start - first * PART + 1, end - start)
+
+    def joined(parts):
+        def pieces(reached):
+            def piece(s, i):
+                at = F.when(i == 0, 0).otherwise(F.get(reached, i - 1))
+                return F.when(s["start"] >= at, F.concat(between(parts, at, s["start"]), F.lit("["), s["kind"], F.lit("]"))).otherwise("")
+
+            tail = between(parts, F.element_at(reached, -1), F.length(text))
+            return F.concat(F.array_join(F.transform(spans, piece), ""), tail)
+
+        return bound(running(F.transform(spans, lambda s: s["end"]), F.greatest), pieces)
+
+    return F.when(F.size(spans) > 0, bound(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0)), joined)).otherwise(text)

@@ -166,6 +166,25 @@ def _compared(cosine: float, count: int):
     return run
 
 
+def _close_blocks(ranges: DataFrame, reach: float) -> DataFrame:
+    """(dim, x_block, y_block), once a pair: blocks of one label whose ranges come within ``reach``.
+
+    Ranges are cut into bins and joined on them, so blocks meet only where they are near;
+    a pair that shares several bins counts in the first.  A block lies in at most some
+    thousand bins, as projections of unit vectors lie between -1 and 1.
+    """
+    width = max(reach, 2.0**-9)
+
+    def side(name, slack):
+        low, high = (F.floor((F.col(c) + d) / width) for c, d in (("low", -slack), ("high", slack)))
+        some = [F.col("block").alias(f"{name}_block"), (F.col("low") - slack).alias(f"{name}_from"), (F.col("high") + slack).alias(f"{name}_to")]
+        return ranges.select("label", "dim", *some, low.alias(f"{name}_bin"), F.explode(F.sequence(low, high)).alias("bin"))
+
+    met = side("x", 0.0).join(side("y", reach), ["label", "dim", "bin"])
+    near = "x_block <= y_block and x_from <= y_to and y_from <= x_to and bin = greatest(x_bin, y_bin)"
+    return met.where(near).select("dim", "x_block", "y_block")
+
+
 def near_vectors(
     df: DataFrame, key: str, vector: str, label: str, cosine: float = 0.98, recall: float = 0.9999, block: int = 512
 ) -> DataFrame:
@@ -199,13 +218,9 @@ def near_vectors(
         "blocks",
     )
     reach = FIRST_SPREAD * math.sqrt(2 - 2 * cosine)
-    ranges = blocks.select("block", "label", "dim", "low", "high")
-    side = lambda s: ranges.select("label", "dim", *[F.col(c).alias(f"{s}_{c}") for c in ("block", "low", "high")])
-    pairs = side("x").join(side("y"), ["label", "dim"]).where(
-        f"x_block <= y_block and x_low - {reach} <= y_high and y_low - {reach} <= x_high"
-    )
+    pairs = _close_blocks(blocks.select("block", "label", "dim", "low", "high"), reach)
     body = lambda s: blocks.select(*[F.col(c).alias(f"{s}_{c}") for c in ("block", "ids", "weights", "vecs")])
-    pairs = pairs.select("dim", "x_block", "y_block").join(body("x"), "x_block").join(body("y"), "y_block")
+    pairs = pairs.join(body("x"), "x_block").join(body("y"), "y_block")
     found = materialize(pairs.mapInArrow(_compared(cosine, calibrated_count(recall)), "id long, n long, root long"), "links")
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "roots")
     counts = found.groupBy("id").agg(F.sum("n").alias("links")).withColumnRenamed("id", "number")

@@ -295,6 +295,29 @@ def test_backoff_goes_to_shorter_grams():
     assert (language.backed_off(language.train(pa.array(["q"]), ["a"]), "") != 1).all()
 
 
+def test_toxicity_thresholds_come_from_rows_apart(monkeypatch):
+    """The network sees five of six rows, the thresholds the sixth."""
+    texts = pa.chunked_array([[f"word{i} {'bad' if i % 3 == 0 else 'good'}" for i in range(300)]])
+    labels = np.array([int(i % 3 == 0) for i in range(300)])
+    seen = []
+    monkeypatch.setattr(toxicity, "_fitted", lambda t, y, *rest, fit=toxicity._fitted: seen.append((t.to_pylist(), y)) or fit(t, y, *rest))
+    monkeypatch.setattr(toxicity, "_calibrate", lambda net, t, y, langs: seen.append((t.to_pylist(), y)))
+    toxicity.train(texts, labels, [None] * 300)
+    (fitted, _), (held, y) = seen
+    assert not set(fitted) & set(held) and set(fitted) | set(held) == set(texts.to_pylist())
+    assert len(held) == 49 and y.sum() == 16
+
+
+def test_toxicity_sample_of_repeated_ids(spark):
+    """A key counts once, however many rows repeat it."""
+    rows = [(i % 40, f"{'bad' if i % 2 else 'good'} {i} words", "en") for i in range(2_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 3, "doc_id long, toxic int")
+    net = toxicity.fit_toxicity(df, labels)
+    found = {(r.doc_id % 2, r.score > 0.5) for r in toxicity.score_toxicity(df, net).collect()}
+    assert found == {(0, False), (1, True)}
+
+
 def test_sample_is_bounded_and_fixed(spark):
     df = spark.range(4_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("y"))
     first, again = (sorted(r.doc_id for r in chosen(df.repartition(n), "doc_id", "y", 200, 300).collect()) for n in (2, 7))
@@ -413,6 +436,20 @@ def test_main_text_takes_time_with_the_length_of_a_page(piece):
     assert time.perf_counter() - start < 10
 
 
+def test_blocks_meet_where_their_ranges_are_near(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        low = rng.uniform(-1, 1)
+        rows.append((i, rng.choice("ab"), 4, low, low + rng.choice((0.0, 0.01, 0.3))))
+    df = spark.createDataFrame(rows, "block long, label string, dim int, low double, high double")
+    for reach in (0.0, 0.02, 0.4):
+        got = neighbours._close_blocks(df, reach).collect()
+        near = lambda x, y: x[1] == y[1] and x[3] <= y[4] + reach and y[3] - reach <= x[4]
+        want = {(x[0], y[0]) for x in rows for y in rows if x[0] <= y[0] and near(x, y)}
+        assert len(got) == len(want) and {(r.x_block, r.y_block) for r in got} == want
+
+
 def test_main_text_frames(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, "<p>x</p>", "a"), (1, "<p>x</p>", "a")], "page_id int, html string, text string")
     assert sorted(r.text for r in htmltext.extract_main_text(df).collect()) == ["", "x", "x"]

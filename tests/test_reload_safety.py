@@ -67,10 +67,10 @@ def test_managed_tables_are_not_dropped_to_widen_them(spark):
 
 
 def test_full_load_that_reads_its_own_table_may_grow(spark, tmp_path):
-    loads.load_full(spark.createDataFrame([(1,), (2,)], "id int"), "grown", str(tmp_path / "g"))
-    assert loads.load_full(spark.table("grown").withColumn("twice", F.col("id") * 2), "grown") == 2
-    assert rows(spark.table("grown")) == [(1, 2), (2, 4)]
-    spark.sql("DROP TABLE grown")
+    loads.load_full(spark.createDataFrame([(1,), (2,)], "id int"), "doubled", str(tmp_path / "g"))
+    assert loads.load_full(spark.table("doubled").withColumn("twice", F.col("id") * 2), "doubled") == 2
+    assert rows(spark.table("doubled")) == [(1, 2), (2, 4)]
+    spark.sql("DROP TABLE doubled")
 
 
 def test_a_failed_publication_keeps_the_old_partition(spark, tmp_path):

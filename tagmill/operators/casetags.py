@@ -104,8 +104,8 @@ def with_tags_by_lookup(df: DataFrame, code_map: DataFrame, scope: str = "value"
         at = len(cells)
         named = {n: f"_m{at}_{n}" for n in mask_names(labels)}
         masks = masks.withColumnsRenamed(named).withColumnRenamed("_text", f"_text{at}")
-        if fits(masks, SENT_TEXTS):
-            masks = F.broadcast(masks)
+        # Without the hint more are broadcast after all if their file is small by compression.
+        masks = F.broadcast(masks) if fits(masks, SENT_TEXTS) else masks.hint("merge")
         same = F.col(quoted(column)).cast("string") == F.col(f"_text{at}")
         out = out.join(masks, same, "left").drop(f"_text{at}")
         for i, value in enumerate(values):

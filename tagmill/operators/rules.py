@@ -24,6 +24,10 @@ BROADCAST_RULES = 200_000
 # from texts at every step-th place, so ``step`` neighbouring ones of the needle
 # meet each place it can stand at.  A shorter needle is looked up whole.
 LOOKUPS = ((11, 6, 6), (7, 4, 4), (4, 4, 1))
+# What a rule is looked up by: substrings of its needle, or the text's first or last
+# characters, at most EDGE of them, where the pattern names those.
+INSIDE, HEAD, TAIL = 0, 1, 2
+EDGE = 32
 # Characters of a text looked at together, and of the cuts those are taken from.
 PIECE = 200
 COARSE = 50 * PIECE
@@ -78,8 +82,9 @@ def rule_hits(
     ``nested`` compares every text with every rule where the text lies: no
     shuffle, and the broadcast rules are counted first.  ``gram`` is an equi join
     for rule maps beyond that size: each rule is looked up by its rarest
-    substrings, and the few candidates are checked in full.  Both are exact and list
-    a hit once for each row of ``texts``.
+    substrings, or by the start or end of its pattern where fewer rules share that, and
+    the few candidates are checked in full.  Both are exact and list a hit once for each
+    row of ``texts``.
     ``counted`` says that the caller has found at most ``NESTED_RULES`` rules.
     """
     if strategy == "auto":
@@ -102,31 +107,43 @@ def _gram_hits(texts: DataFrame, text: str, rules: DataFrame) -> DataFrame:
     anchors = _anchors(rules)
     patterned = F.bool_or(F.col("pattern").isNotNull())
     cuts = bounded_rows(
-        anchors.groupBy("_size", "_step").agg(F.max(F.length("needle")).alias("longest"), patterned.alias("patterned")),
-        8,
+        anchors.groupBy("_kind", "_size", "_step").agg(
+            F.max(F.length("needle")).alias("longest"), patterned.alias("patterned"), F.count(F.lit(1)).alias("rows")
+        ),
+        8 + 2 * EDGE,
         "substring sizes",
     )
-    if fits(anchors, BROADCAST_RULES):
-        anchors = F.broadcast(anchors)
+    # Without the hint a large map is broadcast after all if its file is small by compression.
+    few = sum(cut.rows for cut in cuts) <= BROADCAST_RULES
+    anchors = F.broadcast(anchors) if few else anchors.hint("merge")
     texts = texts.withColumn("_row", F.monotonically_increasing_id())
     pieces = texts.withColumn("_piece", F.col(text))
     if cuts and not any(cut.patterned for cut in cuts):
         pieces = texts.withColumn("_piece", F.explode(_pieces(F.col(text), max(cut.longest for cut in cuts))))
-    found = F.array(F.lit(""))
+    found = F.array(F.struct(F.lit(INSIDE).alias("_kind"), F.lit("").alias("_gram")))
     if cuts:
-        found = F.array_distinct(
-            F.flatten(F.array(*[grams(F.col("_piece"), cut["_size"], cut["_step"]) for cut in cuts]))
-        )
+        found = F.array_distinct(F.flatten(F.array(*[_keys(F.col("_piece"), cut) for cut in cuts])))
     return (
-        pieces.select("*", F.explode(found).alias("_gram"))
-        .join(anchors.drop("_size", "_step"), "_gram")
+        pieces.select("*", F.inline(found))
+        .join(anchors.drop("_size", "_step"), ["_kind", "_gram"])
         .where(_holds(F.col("_piece")))
-        .drop("_piece", "_gram")
+        .drop("_piece", "_kind", "_gram")
         .dropDuplicates(["_row", *rules.columns])
         .drop("_row", "needle", "pattern")
     )
 
 
+def _keys(text: Column, cut) -> Column:
+    """What rules of one kind and size are looked up by in a text."""
+    size = cut["_size"]
+    if cut["_kind"] == INSIDE:
+        found = grams(text, size, cut["_step"])
+    else:
+        edge = F.left(text, F.lit(size)) if cut["_kind"] == HEAD else F.right(text, F.lit(size))
+        found = F.when(F.length(text) >= size, F.array(edge)).otherwise(F.array().cast("array<string>"))
+    return F.transform(found, lambda gram: F.struct(F.lit(cut["_kind"]).alias("_kind"), gram.alias("_gram")))
+
+
 def _pieces(text: Column, longest: int) -> Column:
     """Pieces of a text that overlap enough to hold every needle whole.
 
@@ -144,7 +161,42 @@ def _pieces(text: Column, longest: int) -> Column:
 
 
 def _anchors(rules: DataFrame) -> DataFrame:
-    """A row per rule and substring it is looked up by: its rarest run of neighbours."""
+    """A row per rule and key it is looked up by: an edge, or its needle's rarest run of neighbours."""
+    chosen = _lookups(rules)
+    edges = chosen.where(F.col("_kind") != INSIDE).select(
+        *rules.columns, "_kind", F.length("_gram").alias("_size"), F.lit(1).alias("_step"), "_gram"
+    )
+    inside = chosen.where(F.col("_kind") == INSIDE).select(*rules.columns)
+    return _needle_anchors(inside).select(*edges.columns).unionAll(edges)
+
+
+def _lookups(rules: DataFrame) -> DataFrame:
+    """``rules`` with the kind of their lookup, and the characters of an edge in ``_gram``.
+
+    Of its needle and the edges of its pattern a rule takes what the fewest rules share,
+    the longer of equals.  Many rules may share a needle, as those of one product do that differ
+    in a short number; a text has one start and one end of each size, so it meets few rules there.
+    """
+    runs = F.split("pattern", "[%_]")
+
+    def option(kind: int, run: Column) -> Column:
+        key = run if kind == INSIDE else F.left(run, F.lit(EDGE)) if kind == HEAD else F.right(run, F.lit(EDGE))
+        return F.struct(F.lit(kind).alias("_kind"), key.alias("_gram"), F.length(run).alias("n"))
+
+    options = F.array(option(INSIDE, F.col("needle")), option(HEAD, runs[0]), option(TAIL, F.element_at(runs, -1)))
+    usable = F.filter(options, lambda o: (o["_kind"] == INSIDE) | (o["n"] > 0))
+    # A pattern with an escape has no runs to rely on.
+    free = F.col("pattern").isNotNull() & ~F.col("pattern").contains("\\")
+    edged = rules.where(free).select(*rules.columns, F.inline(usable))
+    uses = edged.groupBy("_kind", "_gram").agg(F.count(F.lit(1)).alias("_uses"))
+    best = F.min_by(F.struct("_kind", "_gram"), F.struct("_uses", -F.col("n"), -F.col("_kind"))).alias("best")
+    edged = edged.join(uses, ["_kind", "_gram"]).groupBy(*rules.columns).agg(best).select(*rules.columns, "best.*")
+    others = rules.where(~F.coalesce(free, F.lit(False)))
+    return edged.unionAll(others.select(*rules.columns, F.lit(INSIDE).alias("_kind"), F.lit("").alias("_gram")))
+
+
+def _needle_anchors(rules: DataFrame) -> DataFrame:
+    """A row per rule and substring of its needle's rarest run of neighbours."""
     size, step = F.length("needle"), F.lit(1)
     for least, at_size, at_step in reversed(LOOKUPS):
         long_enough = F.length("needle") >= least
@@ -170,7 +222,7 @@ def _anchors(rules: DataFrame) -> DataFrame:
     chosen = known.withColumn("_from", F.array_min(runs)["at"])
     looked_up = F.array_distinct(F.transform(run, lambda p: p["_gram"]))
     anchors = chosen.select("needle", "_size", "_step", F.explode(looked_up).alias("_gram"))
-    return rules.join(anchors, "needle")
+    return rules.join(anchors, "needle").withColumn("_kind", F.lit(INSIDE))
 
 
 def match_rules(

@@ -232,3 +232,17 @@ def test_like_over_cut_lists(spark, monkeypatch, composed):
     got = {(r.distinct_id, r.label) for r in hits.collect()}
     want = {(u, f"L{i}") for u, t in texts.items() for i, p in enumerate(patterns) if like(t, p)}
     assert {g for g in got if g[1]} == want and {g[0] for g in got} == set(texts)
+
+
+def test_rules_that_share_a_needle_are_looked_up_by_their_edges(spark):
+    """400 rules on two needles: a text meets the few with its own end or start, not all of its needle."""
+    texts = [(f"{'ab'[i % 2]}-{i}-shared needle {i}", i) for i in range(200)]
+    patterns = [f"%shared needle%{i}" for i in range(200)] + [f"_-{i}-shared%le%" for i in range(100)] + [f"a-{i}-%shared needle%" for i in range(100)]
+    patterns += ["b%", "%9", "a-4-shared needle 4", "%", "%needle 7_", r"%needle\%5%", "x" * 40 + "%" + "y" * 40]
+    texts += [("x" * 40 + "y" * 40, 200), ("x" * 39 + "y" * 40, 201), ("", 202), (None, 203)]
+    df = spark.createDataFrame(texts, "t string, i int")
+    rules = R.clean_rules(spark.createDataFrame([(p, f"L{n}") for n, p in enumerate(patterns)], RULES), "like")
+    hits = [(r.i, r.label) for r in R.rule_hits(df, "t", rules, strategy="gram").collect()]
+    assert sorted(hits) == sorted((i, f"L{n}") for t, i in texts if t is not None for n, p in enumerate(patterns) if like(t, p))
+    shared = R._anchors(rules).groupBy("_kind", "_gram").count().agg(F.max("count")).first()[0]
+    assert shared <= 100

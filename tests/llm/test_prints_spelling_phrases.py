@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from functools import cache
+from types import SimpleNamespace
 
 import brute
 import numpy as np
@@ -279,6 +281,29 @@ def test_collocations_as_by_hand(spark, monkeypatch, bounds):
     check_phrases(C.collocations(df, top=40).collect(), plain_phrases(rows, top=40))
 
 
+def test_collocations_hold_little_memory():
+    """A batch of 20 MB of text, then its pairs: a task stays far below what an executor of two has beside its heap."""
+    rnd = random.Random(1)
+    vocabulary = [f"w{rnd.randrange(20_000)}" for _ in range(5_000)]
+    text = " ".join(rnd.choices(vocabulary, k=2_000)) + ". "
+    texts = [text] * (20_000_000 // len(text))
+    batch = pa.RecordBatch.from_arrays([pa.array(["xx"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        chunks = list(C._numbered([batch]))
+        assert tracemalloc.get_traced_memory()[1] - before < 250e6
+        keys = pa.chunked_array([b.column(1) for b in chunks]).combine_chunks().values.unique()
+        level = C.Ranks(pa.table({"lang": pa.array(["xx"] * len(keys)), "k": keys}), True)
+        rows = [b.select(["lang", "keys", "size", "sequence"]) for b in chunks] * 2
+        before = tracemalloc.get_traced_memory()[0]
+        tracemalloc.reset_peak()
+        pairs = sum(sum(b.column(2).to_pylist()) for b in C._paired(SimpleNamespace(value=[level]), 3)(iter(rows)))
+        assert pairs and tracemalloc.get_traced_memory()[1] - before < 250e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_collocations_of_nothing(spark):
     assert C.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
     assert C.collocations(spark.createDataFrame([("xx", "one two three")], "lang string, text string")).count() == 0

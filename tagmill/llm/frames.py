@@ -21,22 +21,33 @@ def matched(rows: DataFrame, keys: DataFrame, on: str, limit: int = SENT_ROWS, h
     return rows.join(F.broadcast(keys) if few else keys, on, how)
 
 
-def components(edges: DataFrame, name: str) -> DataFrame:
+def components(edges: DataFrame, name: str, known: DataFrame | None = None) -> DataFrame:
     """``(node, root)`` for every node of ``edges`` (a, b); root is the smallest node reachable.
 
+    ``known``, the result for other edges, may stand for these: what it links stays linked,
+    and only the new edges cost rounds, none if there are no new ones.
+
     Alternates the large-star and small-star steps: every round links all larger
     neighbours of a node, then all smaller ones, to its smallest neighbour, until
     nothing changes; the number of rounds grows with the logarithm of the longest
     path.  Minima combine before the shuffle, so a node with very many links costs
     a task no more than others.  Every round is written to the shared folder.
     """
+    if known is not None:
+        if edges.isEmpty():
+            return known
+        edges = edges.select("a", "b").unionAll(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
     edges = materialize(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
         name,
     )
-    before = None
+
+    def state(edges):
+        return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+    before = state(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
@@ -50,7 +61,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             .distinct()
         )
         edges = materialize(small, name)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now = state(edges)
         if now == before:
             break
         before = now

@@ -303,11 +303,13 @@ def ngram_jaccard(
        similar enough must share one.  Postings travel packed by hash bucket, in as many buckets as their count asks for, and those
        without a second class of a fitting size in their list are dropped.  Shingles in cells counted ``heavy`` times or more
        are dealt by class instead, so no bucket gathers a very long list.
-    4. In a few ``rounds`` every class is compared with one class of each of its lists, the
+    4. In a few ``rounds``, fewer if no list is left open, every class is compared with one class of each of its lists, the
        one with fewest shingles of its own, which others are likely copies of.  The number
        of pairs is linear in the lists, and lists whose classes are all linked are done.  Then all pairs of classes follow that share a posting and are
        not linked yet, those first that share most.  Length, positional and suffix filters run inside the tasks that
        hold the lists, so only pairs that pass them become rows; each is verified once.
+       Components are carried from step to step, and a step without pairs starts no joins:
+       plans and threads are what fills the driver's memory.
 
     Shingles are 64-bit hashes; two classes with equal hashes are told apart by a second
     hash, and the first is drawn anew if that happens.
@@ -349,7 +351,9 @@ def ngram_jaccard(
         return both.mapInArrow(_suffix(percent), "a long, b long")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """The materialized pairs whose texts are similar enough."""
+        """The materialized pairs whose texts are similar enough; none need no reading of texts."""
+        if pairs.isEmpty():
+            return pairs.select("a", "b")
         members = pairs.select(F.col("a").alias("k")).unionAll(pairs.select(F.col("b").alias("k"))).distinct()
         ids = materialize(signed.join(members, "k", "left_semi").select("id"), "members")
         texts = matched(docs, ids, "id").select("text").mapInArrow(_keyed(size, seed), "k long, text string")
@@ -359,7 +363,7 @@ def ngram_jaccard(
         found = sides.select("a", "b", "ta", "tb").mapInArrow(_verified(size, seed, percent), "a long, b long")
         return materialize(found, "links")
 
-    open_, stars, links = lists.withColumn("root", F.col("k")), None, None
+    open_, stars, known = lists.withColumn("root", F.col("k")), None, None
     for turn in range(rounds):
         rank = F.struct("lost", F.xxhash64("k", F.lit(turn)))
         centre = open_.groupBy("h").agg(*[F.min_by(c, rank).alias(f"c{c}") for c in ("k", "n", "root")])
@@ -367,11 +371,12 @@ def ngram_jaccard(
         rays = rays.select(F.greatest("k", "ck").alias("a"), F.least("k", "ck").alias("b")).distinct()
         rays = materialize(close(rays if stars is None else rays.join(stars, ["a", "b"], "left_anti")), "stars")
         stars = rays if stars is None else stars.unionAll(rays)
-        links = linked(rays) if links is None else links.unionAll(linked(rays))
-        known = components(links, "known").withColumnRenamed("node", "k")
-        placed = lists.join(known, "k", "left").withColumn("root", F.coalesce("root", "k"))
+        known = components(linked(rays), "known", known)
+        placed = lists.join(known.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
         mixed = placed.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("h")
         open_ = materialize(placed.join(mixed, "h", "left_semi"), "open")
+        if open_.isEmpty():
+            break
     pairs = _meeting(open_.join(signed.select("k", "sig"), "k"), percent).groupBy("a", "b").agg(
         *[F.first(c).alias(c) for c in ("ra", "rb", "na", "nb")], F.count("*").alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb")
     )
@@ -381,15 +386,15 @@ def ngram_jaccard(
     # Of a class and a component, the pairs that share most come first; one link between them will do.
     nth = [F.row_number().over(Window.partitionBy(*w).orderBy(F.desc("c"), *w[::2], "a", "b")) for w in (("a", "rb"), ("b", "ra"))]
     pairs = materialize(pairs.withColumn("nth", F.greatest(*nth)), "pairs")
-    links = links.unionAll(linked(materialize(close(pairs.where("nth <= 4").select("a", "b")), "first")))
-    known = components(links, "known")
-    rest = pairs.where("nth > 4").select("a", "b")
-    for side in ("a", "b"):
-        rest = rest.join(known.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
-    rest = rest.where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
-    links = links.unionAll(linked(materialize(close(rest), "rest")))
-    roots = components(links, "roots").withColumnRenamed("node", "k")
-    classes = classes.join(roots, "k", "left").withColumn("root", F.coalesce("root", "k"))
+    first, rest = (pairs.where(nth).select("a", "b") for nth in ("nth <= 4", "nth > 4"))
+    if not first.isEmpty():
+        known = components(linked(materialize(close(first), "first")), "known", known)
+    if not rest.isEmpty():
+        for side in ("a", "b"):
+            rest = rest.join(known.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
+        rest = rest.where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
+        known = components(linked(materialize(close(rest), "rest")), "roots", known)
+    classes = classes.join(known.withColumnRenamed("node", "k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
     least = classes.groupBy("root").agg(F.min("id").alias("component"))
     named = classes.join(least, "root").select("k", "component")
     return (

@@ -13,10 +13,11 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tagmill.llm import htmltext, jaccard, language, neighbours, packing, pieces, quality, secrets, sharding, toxicity
+from tagmill.llm import frames, htmltext, jaccard, language, neighbours, packing, pieces, quality, secrets, sharding, toxicity
 from tagmill.llm.frames import components
 from tagmill.llm.jaccard import ngram_jaccard
 from tagmill.llm.samples import chosen
+from tagmill.session import materialize
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -56,6 +57,22 @@ def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "c").count() == 0
 
 
+def test_components_carried_on(spark, monkeypatch):
+    """New edges join what is known; a star costs one round, and no new edges none."""
+    rnd = random.Random(2)
+    old, new = ([(rnd.randrange(200), rnd.randrange(200)) for _ in range(70)] for _ in range(2))
+    frame = lambda edges: spark.createDataFrame(edges, "a long, b long")
+    known = components(frame(old), "c")
+    got = {r.node: r.root for r in components(frame(new), "c", known).collect()}
+    want = brute.roots({n for e in old + new for n in e}, old + new)
+    assert got == {n: want[n] for a, b in old + new if a != b for n in (a, b)}
+    written = []
+    monkeypatch.setattr(frames, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    assert components(frame([]), "c", known) is known and not written
+    components(frame([(i, 0) for i in range(1, 9)]), "c")
+    assert len(written) == 2
+
+
 # --- 1 packing
 
 
@@ -230,6 +247,18 @@ def test_jaccard_of_long_lists_in_blocks(spark, monkeypatch):
     assert got == brute.jaccard(texts)
 
 
+def test_jaccard_starts_no_joins_without_pairs(spark, monkeypatch):
+    """Each query leaves memory of the driver in use, so a step with no pairs left reads no texts."""
+    written = []
+    for module in (jaccard, frames):
+        monkeypatch.setattr(module, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    words = [f"w{i}" for i in range(60)]
+    texts = {0: " ".join(words), 1: " ".join([*words, "tail"]), 2: "another text of some more words than five"}
+    got = {r.doc_id: (r.n_shingles, r.component) for r in ngram_jaccard(docs(spark, list(texts.items()))).collect()}
+    assert got == brute.jaccard(texts)
+    assert [written.count(n) for n in ("stars", "texts", "known", "first", "rest", "roots")] == [1, 1, 2, 0, 0, 0]
+
+
 def test_jaccard_keys(spark):
     df = docs(spark, [(None, "a b c"), (4, "a b c"), (4, "a b c"), (2, None)])
     got = sorted(ngram_jaccard(df).collect(), key=str)

@@ -15,8 +15,15 @@ RANKED = 1 << 20
 # Side of a tile, and tiles in a row that are looked at for being dense.
 TILE, DENSE = 1 << 10, 4
 # Bytes of text worked on together, pairs a task holds before it passes them on, pairs of one reducing task.
-# Measured on made-up words, a task allocates 17 bytes for each byte of the first and 80 for each pair of the second.
-STEP, HELD, TASK_PAIRS = 1 << 23, 1 << 21, 1 << 22
+# Measured on made-up words, a task allocates 16 bytes for each byte of the first and 57 for each pair of the second.
+STEP, HELD, TASK_PAIRS = 1 << 22, 1 << 21, 1 << 22
+# Distinct words of a slice passed on in a batch.
+ENTRIES = 1 << 14
+# Rows of a slice and language: one with the keys of its words and the sequence, and one for each word.
+CHUNKS = pa.schema(
+    [("lang", pa.string()), ("keys", pa.list_(pa.int64())), ("size", pa.int64()), ("sequence", pa.binary())]
+    + [("k", pa.int64()), ("word", pa.string()), ("times", pa.int64())]
+)
 
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -52,7 +59,8 @@ def _pieces(batch):
 def _numbered(batches):
     """Texts as numbers: per language of a slice its distinct words, their counts and the sequence.
 
-    A word is the number of its place in ``words`` plus one, negative where a piece starts.
+    A word is the number of its place in ``keys`` plus one, negative where a piece starts.  Words are rows of
+    their own: as arrays of one row they take the JVM many times their size of heap, which it does not give back.
     """
     for batch in batches:
         for piece in _pieces(batch):
@@ -78,22 +86,17 @@ def _encoded(piece: pa.RecordBatch) -> list[pa.RecordBatch]:
         if not len(mine):
             continue
         key, where, place, times = np.unique(hashes[mine], return_index=True, return_inverse=True, return_counts=True)
-        texts = [data[starts[m] : ends[m]].tobytes().translate(_LOWER).decode() for m in mine[where]]
         sequence = (place + 1).astype(np.int32) * np.where(first[mine], -1, 1).astype(np.int32)
         blob = pa.Codec("zstd", 1).compress(sequence.tobytes(), asbytes=True)
-        out.append(
-            pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang], pa.string()),
-                    pa.array([key.view(np.int64)], pa.list_(pa.int64())),
-                    pa.array([texts], pa.list_(pa.string())),
-                    pa.array([times], pa.list_(pa.int64())),
-                    pa.array([len(sequence)], pa.int64()),
-                    pa.array([blob], pa.binary()),
-                ],
-                names=["lang", "keys", "words", "times", "size", "sequence"],
-            )
-        )
+        del place
+        row = [pa.array([lang], pa.string()), pa.array([key.view(np.int64)], pa.list_(pa.int64())), pa.array([len(sequence)]), pa.array([blob], pa.binary())]
+        out.append(pa.RecordBatch.from_arrays(row + [pa.nulls(1, c.type) for c in CHUNKS][4:], schema=CHUNKS))
+        for at in range(0, len(key), ENTRIES):
+            some = slice(at, at + ENTRIES)
+            texts = [data[starts[m] : ends[m]].tobytes().translate(_LOWER).decode() for m in mine[where[some]]]
+            cells = [pa.array(key[some].view(np.int64)), pa.array(texts, pa.string()), pa.array(times[some])]
+            nothing = [pa.nulls(len(texts), c.type) for c in CHUNKS][1:4]
+            out.append(pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(texts)), *nothing, *cells], schema=CHUNKS))
     return out
 
 
@@ -141,8 +144,8 @@ def summed(x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> np.ndar
     low = (x < TILE * DENSE) & (y < TILE * DENSE)
     left = np.ones(len(x), bool)
     if low.any():
-        tile = np.full(len(x), -1)
-        tile[low] = ((x[low] // TILE) * DENSE + y[low] // TILE).astype(np.int64)
+        tile = np.full(len(x), -1, np.int32)
+        tile[low] = (x[low] // TILE).astype(np.int32) * DENSE + (y[low] // TILE).astype(np.int32)
         for t in np.flatnonzero(np.bincount(tile[low], minlength=DENSE * DENSE) >= TILE * TILE // 16):
             mine = tile == t
             cell = ((x[mine] % TILE) * TILE + y[mine] % TILE).astype(np.int64)
@@ -156,17 +159,25 @@ def summed(x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> np.ndar
             part["x"], part["y"], part["n"] = at // TILE + t // DENSE * TILE, at % TILE + t % DENSE * TILE, cells[at]
             parts.append(part)
             left &= ~mine
+        del tile
     x, y = x[left], y[left]
-    n = np.ones(len(x), np.uint64) if n is None else n[left]
     if len(x):
         ranked = max(int(x.max()), int(y.max())) < 1 << 32
-        order = np.argsort((x << np.uint64(32)) | y, kind="stable") if ranked else np.lexsort((y, x))
-        x, y, n = x[order], y[order], n[order]
-        new = np.ones(len(x), bool)
-        new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-        at = np.flatnonzero(new)
+        if ranked and n is None:
+            both = (x << np.uint64(32)) | y
+            del x, y
+            both.sort()
+            at = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+            sums = np.diff(at, append=len(both))
+            x, y = both[at] >> np.uint64(32), both[at] & np.uint64((1 << 32) - 1)
+        else:
+            order = np.argsort((x << np.uint64(32)) | y, kind="stable") if ranked else np.lexsort((y, x))
+            x, y = x[order], y[order]
+            at = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+            sums = np.diff(at, append=len(x)) if n is None else np.add.reduceat(n[left][order], at)
+            x, y = x[at], y[at]
         part = np.empty(len(at), _ROW)
-        part["x"], part["y"], part["n"] = x[at], y[at], np.add.reduceat(n, at)
+        part["x"], part["y"], part["n"] = x, y, sums
         parts.append(part)
     return np.concatenate(parts) if parts else np.zeros(0, _ROW)
 
@@ -215,7 +226,7 @@ def _paired(sent, buckets):
     def run(batches):
         levels, held, waiting = sent.value, {}, 0
         for batch in batches:
-            for i in range(batch.num_rows):
+            for i in np.flatnonzero(batch.column(3).is_valid().to_numpy(zero_copy_only=False)):
                 lang, size = batch.column(0)[i].as_py(), batch.column(2)[i].as_py()
                 keys = batch.column(1)[i].values.to_numpy().view(np.uint64)
                 pair = _neighbours(lang, keys, batch.column(3)[i].as_py(), size, levels)
@@ -264,8 +275,7 @@ def frequent_phrases(chunks: DataFrame, longest: int, least: int) -> list[DataFr
     of the level before and ranks the frequent ones anew.
     """
     spark = chunks.sparkSession
-    entries = chunks.select("lang", F.explode(F.arrays_zip("keys", "times")).alias("e"))
-    level = entries.groupBy("lang", F.col("e.keys").alias("k")).agg(F.sum("e.times").alias("a")).where(f"a >= {least}")
+    level = chunks.where("k is not null").groupBy("lang", "k").agg(F.sum("times").alias("a")).where(f"a >= {least}")
     level = materialize(level.withColumn("words", F.array("k")), "phrases")
     tokens = chunks.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, -(-tokens // TASK_PAIRS))
@@ -273,7 +283,7 @@ def frequent_phrases(chunks: DataFrame, longest: int, least: int) -> list[DataFr
     for m in range(2, longest + 1):
         ranks.append(_ranked(level))
         sent = spark.sparkContext.broadcast(list(ranks))
-        pairs = chunks.select("lang", "keys", "size", "sequence").mapInArrow(
+        pairs = chunks.where("sequence is not null").select("lang", "keys", "size", "sequence").mapInArrow(
             _paired(sent, buckets), "bucket int, lang string, rows int, pairs binary"
         )
         found = pairs.groupBy("bucket").applyInArrow(_frequent(sent, least), "lang string, k long, x long, y long, a long")
@@ -332,8 +342,7 @@ def collocations(
     """
     docs = df.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     chunks = materialize(
-        docs.mapInArrow(_numbered, "lang string, keys array<long>, words array<string>, times array<long>, size long, sequence binary"),
-        "chunks",
+        docs.mapInArrow(_numbered, "lang string, keys array<long>, size long, sequence binary, k long, word string, times long"), "chunks"
     )
     levels = frequent_phrases(chunks, longest, least)
     kept = []
@@ -356,11 +365,10 @@ def collocations(
     parts = materialize(parts, "numbered")
     cells = parts.select("lang", "phrase_id", F.posexplode("words").alias("place", "k"))
     needed = cells.select("lang", "k").distinct()
-    entries = chunks.select("lang", F.explode(F.arrays_zip("keys", "words")).alias("e")).select("lang", F.col("e.keys").alias("k"), F.col("e.words").alias("word"))
-    spelt = entries.join(needed, ["lang", "k"], "left_semi").dropDuplicates(["lang", "k"])
+    spelt = chunks.where("k is not null").select("lang", "k", "word").join(needed, ["lang", "k"], "left_semi").dropDuplicates(["lang", "k"])
     texts = cells.join(spelt, ["lang", "k"]).groupBy("phrase_id").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("w"))
     phrases = parts.join(texts.select("phrase_id", F.array_join(F.transform("w", lambda x: x["word"]), " ").alias("phrase")), "phrase_id")
-    total = chunks.groupBy("lang").agg(F.sum("size").alias("n"))
+    total = chunks.where("sequence is not null").groupBy("lang").agg(F.sum("size").alias("n"))
     last = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = phrases.withColumn("rank", F.row_number().over(last).cast("long")).where(f"rank <= {top}")
     return ranked.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))

@@ -304,6 +304,16 @@ def test_collocations_hold_little_memory():
         tracemalloc.stop()
 
 
+def test_collocations_pass_words_on_as_rows():
+    """No row holds the words of a slice, which the JVM would expand to many times their size: only its keys and its sequence."""
+    n = 200_000
+    texts = [" ".join(f"w{i}" for i in range(at, at + 10_000)) for at in range(0, n, 10_000)]
+    found = list(C._numbered([pa.RecordBatch.from_arrays([pa.array(["xx"] * len(texts)), pa.array(texts)], names=["lang", "text"])]))
+    assert max(b.nbytes / b.num_rows for b in found) < 16 * n
+    assert sum(b.num_rows for b in found) == n + 1
+    assert sum(sum(filter(None, b.column("times").to_pylist())) for b in found) == n
+
+
 def test_collocations_of_nothing(spark):
     assert C.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
     assert C.collocations(spark.createDataFrame([("xx", "one two three")], "lang string, text string")).count() == 0

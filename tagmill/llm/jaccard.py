@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tagmill.llm.frames import components, matched
 from tagmill.llm.textbytes import raw, row_hashes, shingles, words
-from tagmill.session import materialize
+from tagmill.session import materialize, small_batches
 
 BLOCK = 1 << 14
 # Bits of a signature: the parities of the shingle counts in so many ranges of the hash.
@@ -21,20 +21,46 @@ BITS = 1024
 TASK_POSTINGS, LIST_BLOCK, PAIRS = 2_000_000, 2048, 1 << 20
 LIST_ROWS = 100_000
 POSTING = np.dtype([("h", "<u8"), ("k", "<i8"), ("n", "<u4"), ("pos", "<u4")])
+# Postings on their way: each class once, and its place in the others.
+CLASS, PLACED = np.dtype([("k", "<i8"), ("n", "<u4")]), np.dtype([("h", "<u8"), ("place", "<u4"), ("pos", "<u4")])
 SCAN = "id long, k long, k2 long, n int, sig binary, block int, salt int, cells binary"
 HELD = 400_000
 
 
+def _planes(rows: np.ndarray) -> bytes:
+    """Rows byte by byte: first bytes, second ones and so on, as high bytes of sorted and small numbers are mostly alike."""
+    return rows.view(np.uint8).reshape(-1, rows.itemsize).T.tobytes()
+
+
+def _rows(flat: bytes, kind: np.dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
 def _squeezed(postings: np.ndarray) -> bytes:
-    """Postings as compressed byte planes: sorted hashes and small numbers leave most high bytes alike."""
-    planes = postings.view(np.uint8).reshape(-1, POSTING.itemsize).T
-    return pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
+    """Postings compressed, with a table of their classes: a class posts many shingles and its hash does not compress."""
+    keys, first, place = np.unique(postings["k"], return_index=True, return_inverse=True)
+    table, body = np.empty(len(keys), CLASS), np.empty(len(postings), PLACED)
+    table["k"], table["n"] = keys, postings["n"][first]
+    body["h"], body["place"], body["pos"] = postings["h"], place, postings["pos"]
+    packed = pa.Codec("zstd", 1).compress(_planes(table) + _planes(body), asbytes=True)
+    return len(keys).to_bytes(4, "little") + packed
 
 
 def _spread(blob: bytes, rows: int) -> np.ndarray:
-    flat = pa.Codec("zstd").decompress(blob, rows * POSTING.itemsize, asbytes=True)
-    planes = np.frombuffer(flat, np.uint8).reshape(POSTING.itemsize, rows)
-    return np.ascontiguousarray(planes.T).view(POSTING).ravel()
+    split = int.from_bytes(blob[:4], "little") * CLASS.itemsize
+    flat = pa.Codec("zstd").decompress(blob[4:], split + rows * PLACED.itemsize, asbytes=True)
+    table, body = _rows(flat[:split], CLASS), _rows(flat[split:], PLACED)
+    out = np.empty(rows, POSTING)
+    out["h"], out["pos"] = body["h"], body["pos"]
+    out["k"], out["n"] = table["k"][body["place"]], table["n"][body["place"]]
+    return out
+
+
+def _released(batches):
+    """The batches; then memory that the worker, which waits for other tasks, does not need goes back to the system."""
+    yield from batches
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
 
 
 def _needed(na, nb, percent):
@@ -84,7 +110,7 @@ def _scan(batches, size, seed, cells):
             schema=kind,
         )
     used = [b for b in range(cells // BLOCK) if seen[b * BLOCK : (b + 1) * BLOCK].any()]
-    packed = [zlib.compress(seen[b * BLOCK : (b + 1) * BLOCK].tobytes(), 1) for b in used]
+    packed = [zlib.compress(_planes(seen[b * BLOCK : (b + 1) * BLOCK]), 1) for b in used]
     m, salt = len(used), TaskContext.get().partitionId() % 64
     nothing = [pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())]
     counts = [pa.array(used, pa.int32()), pa.array([salt] * m, pa.int32()), pa.array(packed, pa.binary())]
@@ -94,8 +120,8 @@ def _scan(batches, size, seed, cells):
 def _sum_blocks(table: pa.Table) -> pa.Table:
     total = np.zeros(BLOCK, np.uint64)
     for cell in table.column("cells"):
-        total += np.frombuffer(zlib.decompress(cell.as_py()), np.uint32)
-    packed = zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)
+        total += _rows(zlib.decompress(cell.as_py()), np.dtype(np.uint32))
+    packed = zlib.compress(_planes(np.minimum(total, 2**32 - 1).astype(np.uint32)), 1)
     return pa.table({"block": table.column("block").slice(0, 1), "cells": pa.array([packed], pa.binary())})
 
 
@@ -106,7 +132,7 @@ def shingle_counts(scan: DataFrame, cells: int) -> np.ndarray:
     blocks = blocks.groupBy("block", "salt").applyInArrow(_sum_blocks, kind).groupBy("block").applyInArrow(_sum_blocks, kind)
     counts = np.zeros(cells, np.uint32)
     for row in blocks.toLocalIterator():
-        counts[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(zlib.decompress(row.cells), np.uint32)
+        counts[row.block * BLOCK : (row.block + 1) * BLOCK] = _rows(zlib.decompress(row.cells), np.dtype(np.uint32))
     return counts
 
 
@@ -318,7 +344,8 @@ def ngram_jaccard(
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     seed = 1
     while True:
-        scan = materialize(docs.mapInArrow(lambda it, s=seed: _scan(it, size, s, cells), SCAN), "scan")
+        with small_batches(spark):
+            scan = materialize(docs.mapInArrow(lambda it, s=seed: _released(_scan(it, size, s, cells)), SCAN), "scan")
         rows = scan.where("block is null")
         classes = rows.where("n > 0 and id is not null").groupBy("k").agg(F.min("id").alias("id"), F.min("k2").alias("k2"), F.max("k2").alias("k3"))
         if not classes.where("k2 <> k3").limit(1).count():
@@ -330,7 +357,7 @@ def ngram_jaccard(
         buckets = max(64, postings // TASK_POSTINGS)
     sent = spark.sparkContext.broadcast(shingle_counts(scan, cells))
     lists = docs.where("id is not null").select("text").mapInArrow(
-        lambda it: _postings(it, size, seed, percent, sent, buckets, heavy), "bucket int, held int, postings binary"
+        lambda it: _released(_postings(it, size, seed, percent, sent, buckets, heavy)), "bucket int, held int, postings binary"
     )
     lists = lists.groupBy("bucket").applyInArrow(_shared(buckets, percent), "h long, k long, n int, pos int")
     # before: a class's earlier postings that some other class has; the rest cannot be shared.
@@ -338,7 +365,8 @@ def ngram_jaccard(
     earlier, whole = Window.partitionBy("k").orderBy("pos"), Window.partitionBy("k")
     posted = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     lists = lists.withColumn("before", F.row_number().over(earlier) - 1)
-    lists = materialize(lists.withColumn("lost", (posted - F.count("*").over(whole)).cast("int")), "lists")
+    with small_batches(spark):
+        lists = materialize(lists.withColumn("lost", (posted - F.count("*").over(whole)).cast("int")), "lists")
     signed = materialize(
         rows.join(classes, ["k", "id"], "left_semi").select("k", "id", "n", "sig").dropDuplicates(["k"]), "signed"
     )
@@ -356,12 +384,14 @@ def ngram_jaccard(
             return pairs.select("a", "b")
         members = pairs.select(F.col("a").alias("k")).unionAll(pairs.select(F.col("b").alias("k"))).distinct()
         ids = materialize(signed.join(members, "k", "left_semi").select("id"), "members")
-        texts = matched(docs, ids, "id").select("text").mapInArrow(_keyed(size, seed), "k long, text string")
-        texts = materialize(texts.dropDuplicates(["k"]), "texts")
+        texts = matched(docs, ids, "id").select("text").mapInArrow(lambda it: _released(_keyed(size, seed)(it)), "k long, text string")
+        with small_batches(spark):
+            texts = materialize(texts.dropDuplicates(["k"]), "texts")
         sides = pairs.join(texts.select(F.col("k").alias("a"), F.col("text").alias("ta")), "a")
         sides = sides.join(texts.select(F.col("k").alias("b"), F.col("text").alias("tb")), "b")
-        found = sides.select("a", "b", "ta", "tb").mapInArrow(_verified(size, seed, percent), "a long, b long")
-        return materialize(found, "links")
+        found = sides.select("a", "b", "ta", "tb").mapInArrow(lambda it: _released(_verified(size, seed, percent)(it)), "a long, b long")
+        with small_batches(spark):
+            return materialize(found, "links")
 
     open_, stars, known = lists.withColumn("root", F.col("k")), None, None
     for turn in range(rounds):

@@ -259,6 +259,38 @@ def test_jaccard_starts_no_joins_without_pairs(spark, monkeypatch):
     assert [written.count(n) for n in ("stars", "texts", "known", "first", "rest", "roots")] == [1, 1, 2, 0, 0, 0]
 
 
+def test_jaccard_hands_texts_over_in_small_batches(spark, monkeypatch):
+    """A worker of a stage that reads texts gets 12 MB of them in parts; other stages and later ones as the session says."""
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches)
+
+    def largest():
+        texts = spark.range(0, 60, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("text"))
+        return texts.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+
+    seen = {}
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name: seen.setdefault(name, largest()) and materialize(df, name))
+    words = [f"w{i}" for i in range(60)]
+    texts = {0: " ".join(words), 1: " ".join([*words, "tail"])}
+    assert {r.component for r in ngram_jaccard(docs(spark, list(texts.items()))).collect()} == {0}
+    assert all(seen[name] < 5e6 for name in ("scan", "lists", "texts", "links"))
+    assert seen["signed"] > 12e6 - 1 and largest() > 12e6 - 1
+
+
+def test_postings_travel_with_each_class_once():
+    """A class posts many shingles; its hash and size are packed once."""
+    rnd = np.random.default_rng(5)
+    keys = np.sort(rnd.integers(-(1 << 62), 1 << 62, 500))
+    posted = np.empty(40_000, jaccard.POSTING)
+    place = rnd.integers(0, 500, len(posted))
+    posted["h"], posted["k"], posted["n"] = np.sort(rnd.integers(0, 1 << 62, len(posted))), keys[place], 40 + place
+    posted["pos"] = rnd.integers(0, 150, len(posted))
+    blob = jaccard._squeezed(posted)
+    assert (jaccard._spread(blob, len(posted)) == posted).all() and len(blob) < 11 * len(posted)
+    assert len(jaccard._spread(jaccard._squeezed(posted[:0]), 0)) == 0
+
+
 def test_jaccard_keys(spark):
     df = docs(spark, [(None, "a b c"), (4, "a b c"), (4, "a b c"), (2, None)])
     got = sorted(ngram_jaccard(df).collect(), key=str)
